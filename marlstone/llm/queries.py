@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, mixing, secrets
+from marlstone.llm import bpe, mixing, quality, secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,10 +81,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_documents(spark, sf_dir))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    crf = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.quality_rules(docs, crf, carry=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op4_source_mix": op4_source_mix,
     "op7_token_counts": op7_token_counts,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {
     "op2_secret_scan": OP2_SQL,
