@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, mixing, quality, secrets
+from marlstone.llm import bpe, mixing, naming, quality, secrets, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,22 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, names = naming.exact_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_documents(spark, sf_dir))
 
@@ -90,10 +106,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op4_source_mix": op4_source_mix,
+    "op5_exact_dedup": op5_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {
     "op2_secret_scan": OP2_SQL,
     "op4_source_mix": OP4_SQL,
+    "op5_exact_dedup": OP5_SQL,
 }
