@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, mixing, naming, quality, secrets, simhash
+from marlstone.llm import bpe, mixing, naming, packing, quality, secrets, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ FROM docs d LEFT JOIN joined j USING (doc_id)
 """
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_documents(spark, sf_dir).select("doc_id", "source", "text"))
     return plan.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
@@ -105,6 +109,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mix": op4_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_token_counts": op7_token_counts,
