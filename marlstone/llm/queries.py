@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, mixing, naming, packing, quality, secrets, simhash
+from marlstone.llm import bpe, mixing, naming, packing, quality, secrets, simhash, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_documents(spark, sf_dir)).drop("spans")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_documents(spark, sf_dir))
 
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mix": op4_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
