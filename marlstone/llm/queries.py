@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, mixing, naming, packing, quality, secrets, simhash, substrings
+from marlstone.llm import bpe, lattice, mixing, naming, packing, quality, secrets, simhash, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(_documents(spark, sf_dir))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     ledger = secrets.Ledger(spark)
@@ -112,6 +116,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice_score": op1_lattice_score,
     "op2_secret_scan": op2_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mix": op4_source_mix,
