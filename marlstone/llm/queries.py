@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, lattice, mixing, naming, packing, quality, secrets, simhash, substrings
+from marlstone.llm import bpe, lattice, mixing, naming, packing, quality, secrets, shards, simhash, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,21 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+#: Arrivals that the table of documents is taken for.
+ARRIVALS = 8
+
+
+def op8_compacted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it stands in the compacted store: the number of its shard in the manifest, and its text's sum."""
+    store = shards.ShardStore(spark)
+    store.append_all(_documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)).cast("int"), ARRIVALS)
+    store.compact()
+    names = F.create_map(*(F.lit(x) for k, s in enumerate(store.manifest()[1]) for x in (s.path.rpartition("/")[2], k)))
+    rows = store.read().select("doc_id", "text", names[F.col("_metadata.file_name")].alias("shard"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", "shard", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -123,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_compacted_shards": op8_compacted_shards,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
