@@ -18,6 +18,15 @@ ISO_TEXT = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?(?:Z
 COMPACT_TEXT = r"^\d{8}T\d{6}$"
 
 
+def once(c: Column) -> Column:
+    """The same value, in a form that the optimiser leaves where it is.
+
+    Filters are otherwise pushed below a projection by repeating what it computes, and projections merged the same
+    way: a message that dozens of conditions look into would be parsed dozens of times. The guard is always true.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def field(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "variant")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.cast import compact_timestamp, contract_double, contract_long, cut_nanoseconds, field, is_null, iso_timestamp, kind, strict_string
+from marlstone.functions.cast import compact_timestamp, contract_double, contract_long, cut_nanoseconds, field, is_null, iso_timestamp, kind, once, strict_string
 
 # Patterns and labels of the contracts.
 SYMBOL = r"^[.-]*\p{L}[\p{L}.-]*$"
@@ -142,7 +142,7 @@ def check(df: DataFrame, stream: str, compat: bool = False) -> DataFrame:
         other = kind(v).startswith("OBJECT") & ~F.coalesce(strict_string(field(v, "type")).isin(*MATCH_TYPES), F.lit(False))
         broken = F.when(F.coalesce(other, F.lit(False)), F.array().cast("array<string>")).otherwise(broken)
         status = F.when(F.coalesce(other, F.lit(False)), "ignored").otherwise(status)
-    return df.withColumn("codes", broken).withColumn("status", status)
+    return df.withColumn("codes", once(broken)).withColumn("status", once(status))
 
 
 def sentiment_of(score: Column) -> Column:

@@ -7,50 +7,63 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.cast import compact_timestamp, field, is_null, iso_timestamp, kind, loose_string, strict_string, to_double, to_long
+from marlstone.functions.cast import compact_timestamp, field, is_null, iso_timestamp, kind, loose_string, once, strict_string, to_double, to_long
 from marlstone.operators import derive, schemas
 from marlstone.operators.contracts import ask_size
 
 
 class _Reader:
-    """Collects a message's columns with the conditions under which each fails."""
+    """A message's columns in three steps: its fields, typed values of them, and the conditions under which each fails."""
 
     def __init__(self, v: Column):
-        self.v, self.columns, self.errors = v, {}, []
+        self.v, self.fields, self.columns, self.marks, self.errors = v, {}, {}, {}, []
 
-    def _fails(self, code: str, when: Column) -> None:
+    def field(self, key: str, f: Column | None = None) -> Column:
+        name = f"__f{len(self.fields)}"  # keys that differ in case only would clash
+        self.fields[name] = field(self.v, key) if f is None else f
+        return F.col(name)
+
+    def mark(self, condition: Column) -> Column:
+        """A condition on fields, kept beside the typed values."""
+        name = f"__m{len(self.marks)}"
+        self.marks[name] = F.coalesce(condition, F.lit(False))
+        return F.col(name)
+
+    def fails(self, code: str, when: Column) -> None:
         self.errors.append((code, when))
 
     def typed(self, name: str, key: str, cast: Callable[[Column], Column], what: str, f: Column | None = None) -> None:
         """A required field: the key must be there and its value must be of the type."""
-        f = field(self.v, key) if f is None else f
+        f = self.field(key, f)
         self.columns[name] = cast(f)
-        self._fails(f"missing:{key}", f.isNull())
-        self._fails(f"cast:{key}:{what}", f.isNotNull() & cast(f).isNull())
+        missing = self.mark(f.isNull())
+        self.fails(f"missing:{key}", missing)
+        self.fails(f"cast:{key}:{what}", ~missing & F.col(name).isNull())
 
     def given(self, name: str, key: str) -> None:
         """The key must be there; its value may be null here."""
-        f = field(self.v, key)
+        f = self.field(key)
         self.columns[name] = loose_string(f)
-        self._fails(f"missing:{key}", f.isNull())
+        self.fails(f"missing:{key}", self.mark(f.isNull()))
 
     def maybe(self, name: str, key: str, cast: Callable[[Column], Column] = loose_string) -> None:
-        self.columns[name] = cast(field(self.v, key))
+        self.columns[name] = cast(self.field(key))
 
     def nullable_double(self, name: str, key: str, empty_is_null: bool = False) -> None:
         """Null stays null; any other value must be a number. empty_is_null: 0, "" and false are null too."""
-        f = field(self.v, key)
+        f = self.field(key)
         none = is_null(f)
+        value = to_double(f)
         if empty_is_null:
-            falsy = (strict_string(f) == "") | ((kind(f) != "STRING") & (to_double(f) == 0))
-            none = none | F.coalesce(falsy, F.lit(False))
-        self.columns[name] = F.when(~none, to_double(f))
-        self._fails(f"cast:{key}:double", ~none & to_double(f).isNull())
+            none = none | F.coalesce(strict_string(f) == "", F.lit(False))
+            value = F.when((value != 0) | (kind(f) == "STRING"), value)
+            none = none | F.coalesce((kind(f) != "STRING") & (to_double(f) == 0), F.lit(False))
+        self.columns[name] = F.when(~none, value)
+        self.fails(f"cast:{key}:double", ~self.mark(none) & F.col(name).isNull())
 
     def tags(self, name: str, key: str) -> None:
         """A list of strings; missing, null and empty values are the empty list."""
-        f = field(self.v, key)
-        self.columns[name] = F.coalesce(F.try_variant_get(f, "$", "array<string>"), F.array().cast("array<string>"))
+        self.columns[name] = F.coalesce(F.try_variant_get(self.field(key), "$", "array<string>"), F.array().cast("array<string>"))
 
 
 def _iso(f: Column) -> Column:
@@ -111,15 +124,16 @@ def _news(r: _Reader) -> None:
         r.maybe(name, name)
     r.typed("time_published", "time_published", _compact, "timestamp")
     r.nullable_double("overall_sentiment_score", "overall_sentiment_score")
-    f = field(r.v, "topics")
+    f = r.field("topics")
     items = F.coalesce(F.when(kind(f).startswith("ARRAY"), F.try_variant_get(f, "$", "array<variant>")), F.array().cast("array<variant>"))
     score = lambda x: F.when(field(x, "relevance_score").isNull(), 0.0).otherwise(to_double(field(x, "relevance_score")))
     name = lambda x: F.when(field(x, "topic").isNull(), "").otherwise(loose_string(field(x, "topic")))
-    r.columns["topics"] = F.transform(items, lambda x: F.struct(name(x).alias("topic"), score(x).alias("relevance_score")))
+    # an element that is no object becomes a null element, which the conditions tell from a null score
+    r.columns["topics"] = F.transform(items, lambda x: F.when(kind(x).startswith("OBJECT"), F.struct(name(x).alias("topic"), score(x).alias("relevance_score"))))
     empty = is_null(f) | F.coalesce(strict_string(f) == "", F.lit(False)) | F.coalesce((kind(f) != "STRING") & (to_double(f) == 0), F.lit(False))
-    r._fails("cast:topics:array", ~empty & ~kind(f).startswith("ARRAY") & (kind(f) != "OBJECT<>"))
-    r._fails("cast:topics:object", F.exists(items, lambda x: ~F.coalesce(kind(x).startswith("OBJECT"), F.lit(False))))
-    r._fails("cast:topics:double", F.exists(items, lambda x: F.coalesce(kind(x).startswith("OBJECT"), F.lit(False)) & score(x).isNull()))
+    r.fails("cast:topics:array", r.mark(~empty & ~kind(f).startswith("ARRAY") & (kind(f) != "OBJECT<>")))
+    r.fails("cast:topics:object", F.exists("topics", lambda x: x.isNull()))
+    r.fails("cast:topics:double", F.exists("topics", lambda x: x.isNotNull() & x["relevance_score"].isNull()))
 
 
 READERS = {"trades": _trades, "quotes": _quotes, "crypto": _crypto, "news": _news}
@@ -145,11 +159,13 @@ def normalise(df: DataFrame, stream: str, now: Column | None = None, carry: list
     reader = _Reader(F.col("v"))
     READERS[stream](reader)
     table = schemas.TABLES[stream]
+    carry = carry or []
     object_ = F.coalesce(kind(F.col("v")).startswith("OBJECT"), F.lit(False))
+    out = df.select(*carry, "raw", "codes", once(object_).alias("__object"), *(x.alias(n) for n, x in reader.fields.items()))
+    out = out.select(*carry, "raw", "codes", once(F.col("__object")).alias("__object"), *(x.alias(n) for n, x in (reader.marks | reader.columns).items()))
     found = F.filter(F.array(*(F.when(when, F.lit(code)) for code, when in reader.errors)), lambda x: x.isNotNull())
-    codes = F.when(F.size("codes") > 0, F.col("codes")).when(~object_, F.array(F.lit("type:object"))).otherwise(found)
-    carry = carry or []
-    out = df.select(*carry, "raw", codes.alias("codes"), *(x.alias(n) for n, x in reader.columns.items()))
+    codes = F.when(F.size("codes") > 0, F.col("codes")).when(~F.col("__object"), F.array(F.lit("type:object"))).otherwise(found)
+    out = out.select(*carry, "raw", codes.alias("codes"), *reader.columns)
     out = _derived(stream, out, F.current_timestamp() if now is None else now)
     needed = [f.name for f in table.fields if not f.nullable]
     if needed:

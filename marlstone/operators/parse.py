@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.cast import field, kind, strict_string
+from marlstone.functions.cast import field, kind, once, strict_string
 
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
@@ -13,17 +13,18 @@ def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
 
     Other columns stay. The variant is made in a projection of its own, so what follows reads it parsed once.
     """
-    s = F.col(value).cast("string")
-    out = df.withColumn("raw", F.make_valid_utf8(s))
-    out = out.withColumn("v", F.when(F.is_valid_utf8(s), F.try_parse_json(s)))
-    why = F.when(F.col("v").isNull(), F.array(F.when(F.is_valid_utf8(s), F.lit("parse:json")).otherwise(F.lit("parse:utf8")))).otherwise(F.array().cast("array<string>"))
-    return out.withColumn("codes", why).drop(value)
+    rest = [c for c in df.columns if c != value]
+    s = F.col("__text")
+    out = df.select(*rest, once(F.col(value).cast("string")).alias("__text"))
+    out = out.select(*rest, F.make_valid_utf8(s).alias("raw"), F.is_valid_utf8(s).alias("__good"), once(F.when(F.is_valid_utf8(s), F.try_parse_json(s))).alias("v"))
+    why = F.when(F.col("v").isNull(), F.array(F.when(F.col("__good"), F.lit("parse:json")).otherwise(F.lit("parse:utf8")))).otherwise(F.array().cast("array<string>"))
+    return out.select(*rest, "raw", "v", why.alias("codes"))
 
 
 def explode_batches(df: DataFrame) -> DataFrame:
     """One row for each element of an array message, one for any other message, none for an empty array."""
     items = F.when(kind(F.col("v")).startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
-    out = df.withColumn("v", F.explode(items))
+    out = df.withColumn("v", F.explode(items)).withColumn("v", once(F.col("v")))
     return out.withColumn("raw", F.when(F.size("codes") == 0, F.to_json("v")).otherwise(F.col("raw")))
 
 
