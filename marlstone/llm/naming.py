@@ -82,7 +82,8 @@ def catalogue(docs: DataFrame, text: str = "text", block: int = BLOCK) -> tuple[
 def numbered(rows: DataFrame, key: list[str], carry: list[str]) -> DataFrame:
     """The carried columns with `name`, an integer for each distinct key, by a distributed sort on the key.
 
-    Range partitions are sorted and numbered from the partition's number on, so a repeated task gives the same names.
+    A key's rows meet in one partition; partitions are sorted and numbered from the partition's number on, so a
+    repeated task gives the same names. Dealing by a hash needs no sample of the keys, whole blocks, on the driver.
     """
     schema = T.StructType([rows.schema[c] for c in carry] + [T.StructField("name", T.LongType(), False)])
 
@@ -96,7 +97,7 @@ def numbered(rows: DataFrame, key: list[str], carry: list[str]) -> DataFrame:
                 out.append(name)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(out, pa.int64())], names=[*carry, "name"])
 
-    return rows.select(*dict.fromkeys([*key, *carry])).repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*key, *carry])).repartition(*map(F.col, key)).sortWithinPartitions(*key).mapInArrow(run, schema)
 
 
 def identities(cat: DataFrame, names: dict[str, str], text: str = "text", block: int = BLOCK) -> DataFrame:
