@@ -4,9 +4,13 @@ Fingerprints are sorted by Gray rank, so neighbours share many bits. Upper nodes
 that all fingerprints below share, each bit at the highest node where it is common. A search adds up, level by level,
 the differences on the bits a node fixes, and drops the whole group when they exceed the limit.
 
-The top of the index is a table of prefixes, fine enough that each holds about NODE fingerprints; it has at most
-MOST_NODES rows and goes to all executors. Each fingerprint is sent to the prefixes that it can reach, from its own in
-Gray order onwards, and each prefix is searched through a tree of its own.
+There are two such indexes, one over the fingerprints and one over their halves swapped: of two fingerprints within
+the limit, one half differs in at most half as many bits, so each index drops what differs more in its upper half.
+
+The top of an index is a table of prefixes of the upper half, fine enough that each holds about NODE fingerprints; it
+has at most MOST_NODES rows and goes to all executors. Each fingerprint is sent to the prefixes that it can reach,
+from its own in Gray order onwards (about one for each bit of a prefix), and each prefix is searched through a tree of
+its own.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ MOST_NODES = 1 << 18
 FAN = 8
 #: Queries that are searched at a time.
 CHUNK = 1024
-_ONE = np.uint64(1)
+_HALF = np.uint64(32)
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> list[int]:
@@ -100,44 +104,48 @@ class GrayIndex:
             self.levels.append((p, m & ~above))
         self.levels.reverse()
 
-    def search(self, queries: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places in queries, places in patterns) of all pairs that differ in at most `bits` of the masked bits."""
+    def search(self, queries: np.ndarray, bits: int, upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in queries, places in patterns) of all pairs that differ in at most `bits` of the masked bits, and in
+        at most `upper` of those in the upper half."""
         for at in range(0, len(queries), CHUNK):
             part = queries[at : at + CHUNK]
-            q, node, far = np.arange(len(part)), np.zeros(len(part), np.int64), np.zeros(len(part), np.uint8)
+            q, node = np.arange(len(part)), np.zeros(len(part), np.int64)
+            far, high = np.zeros(len(part), np.uint8), np.zeros(len(part), np.uint8)
             for k, (pattern, mask) in enumerate(self.levels):
                 if k:
                     n = len(q)
-                    q, far = np.repeat(q, FAN), np.repeat(far, FAN)
+                    q, far, high = np.repeat(q, FAN), np.repeat(far, FAN), np.repeat(high, FAN)
                     node = (np.repeat(node * FAN, FAN).reshape(n, FAN) + np.arange(FAN)).ravel()
                     if len(pattern) % FAN:
                         there = node < len(pattern)
-                        q, far, node = q[there], far[there], node[there]
-                far = far + np.bitwise_count((part[q] ^ pattern[node]) & mask[node])
-                near = far <= bits
-                q, node, far = q[near], node[near], far[near]
+                        q, far, high, node = q[there], far[there], high[there], node[there]
+                apart = (part[q] ^ pattern[node]) & mask[node]
+                far, high = far + np.bitwise_count(apart), high + np.bitwise_count(apart >> _HALF)
+                near = (far <= bits) & (high <= upper)
+                q, node, far, high = q[near], node[near], far[near], high[near]
             yield q + at, node
 
 
 def prefixes(prints: DataFrame, count: int, node: int = NODE) -> tuple[np.ndarray, np.ndarray]:
     """(patterns, masks) of the index's top, in Gray order; together they cover each of the prints just once.
 
-    A prefix that holds over four times its share is split further, so clustered prints don't meet in one node.
+    A prefix that holds over four times its share is split further, down to the upper half's 32 bits, so clustered
+    prints don't meet in one node.
     """
     node = max(node, -(-4 * count // MOST_NODES))
-    depth = min(16, max(1, math.ceil(math.log2(max(2, count / node)))))
+    depth = min(18, max(1, math.ceil(math.log2(max(2, count / node)))))
     leaves: list[tuple[int, int]] = []
     rest = prints
     while True:
-        top = F.shiftrightunsigned("fp", 64 - depth) if depth < 64 else F.col("fp")
+        top = F.shiftrightunsigned("fp", 64 - depth)
         found = [(r["top"], r["count"]) for r in rest.groupBy(top.alias("top")).count().collect()]  # at most 16 for each heavy one
-        heavy = [t for t, n in found if n > 4 * node and depth < 64]
-        leaves += [(t % (1 << 64), depth) for t, n in found if n <= 4 * node or depth == 64]
+        heavy = [t for t, n in found if n > 4 * node and depth < 32]
+        leaves += [(t % (1 << 64), depth) for t, n in found if n <= 4 * node or depth == 32]
         if not heavy:
             break
         marked = prints.sparkSession.createDataFrame([(t,) for t in heavy], "top long")
         rest = rest.withColumn("top", top).join(F.broadcast(marked), "top").select("fp")
-        depth = min(64, depth + 4)
+        depth = min(32, depth + 4)
     patterns = np.array([t << (64 - d) for t, d in leaves], np.uint64)
     masks = np.array([((1 << d) - 1) << (64 - d) for _, d in leaves], np.uint64)
     order = np.argsort(gray_rank(patterns), kind="stable")
@@ -164,6 +172,15 @@ def links(prints: DataFrame, count: int, bits: int = BITS, node: int = NODE) ->
     prints has one row for each distinct fp. Within each prefix the pairs are contracted to one link for each print
     before they leave the task.
     """
+    swapped = lambda c: F.shiftleft(c, 32).bitwiseOR(F.shiftrightunsigned(c, 32))
+    found = _half_links(prints, count, bits, node)
+    turned = _half_links(prints.select(swapped("fp").alias("fp")), count, bits, node)
+    return found.unionByName(turned.select(swapped("a").alias("a"), swapped("b").alias("b")))
+
+
+def _half_links(prints: DataFrame, count: int, bits: int, node: int) -> DataFrame:
+    """The links whose upper half differs in at most half the bits."""
+    upper = bits // 2
     patterns, masks = prefixes(prints, count, node)
     tables = prints.sparkSession.sparkContext.broadcast((patterns, masks))
 
@@ -171,7 +188,7 @@ def links(prints: DataFrame, count: int, bits: int = BITS, node: int = NODE) ->
         index = GrayIndex(*tables.value)
         for batch in batches:
             codes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            found = [(q.copy(), n.copy(), ((codes[q] ^ tables.value[0][n]) & tables.value[1][n]) == 0) for q, n in index.search(codes, bits)]
+            found = [(q.copy(), n.copy(), ((codes[q] ^ tables.value[0][n]) & tables.value[1][n]) == 0) for q, n in index.search(codes, upper, upper)]
             q, n, own = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found, strict=True))
             home = np.zeros(len(codes), np.int64)
             home[q[own]] = n[own]
@@ -189,7 +206,7 @@ def links(prints: DataFrame, count: int, bits: int = BITS, node: int = NODE) ->
         both = np.concatenate([members, others])
         index = GrayIndex(members, np.full(len(members), ~np.uint64(0)))
         root, a, b, size = np.arange(len(both)), [], [], 0
-        for q, m in index.search(both, bits):
+        for q, m in index.search(both, bits, upper):
             far = q != m
             a.append(q[far])
             b.append(m[far])
