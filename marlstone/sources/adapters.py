@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: one small file is one partition, while a feed of this size would have many."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def epoch_micros(ts: str) -> Column:
     """Microseconds of a timestamp without a zone, taken as UTC whatever the session's zone."""
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', CAST({ts} AS TIMESTAMP_NTZ))")
@@ -47,7 +53,7 @@ def quoted(c: Column) -> Column:
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trade for each line item; the seventh line of an order has no price but text."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"))
     price = F.when(F.col("l_linenumber") == 7, F.lit('"n/a"')).otherwise(number(F.col("l_extendedprice")))
     body = _object(
         {"p": price, "S": quoted(F.concat(F.lit("SYM"), "l_returnflag", "l_linestatus")), "T": F.lit('"t"')},
@@ -70,12 +76,12 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         i=F.col("event_id"), x=F.lit("V"), t=F.when(fault == 7, F.lit("2025")).otherwise(iso("ts")),
         ingest_timestamp=F.when(F.col("event_id") % 10 != 0, epoch_micros("ts") / 1e6 + (F.col("event_id") % 1000) / 1000.0),
     )
-    return table(spark, sf_dir, "events").select("event_id", "ts", F.when(fault == 8, F.lit("not json").cast("binary")).otherwise(body).alias("value"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", "ts", F.when(fault == 8, F.lit("not json").cast("binary")).otherwise(body).alias("value"))
 
 
 def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quote for each event; every fifth has no bid, every thirteenth a negative ask size."""
-    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
     bid = F.when(k % 5 == 0, F.lit(0.0)).otherwise(F.round(F.col("value"), 2))
     body = _object(
         {"S": quoted(F.regexp_replace("event_type", "[^A-Za-z]", "")), "T": F.lit('"q"'), "as": F.when(k % 13 == 0, F.lit("-1")).otherwise(F.lit("3"))},
@@ -86,7 +92,7 @@ def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_crypto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A match for each event; faults by event_id % 9, every fourteenth a heartbeat."""
-    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
     fault = k % 9
     body = _object(
         {"price": F.when(fault == 1, number(F.col("value"))).when(fault == 2, F.lit('"0"')).otherwise(quoted(F.round(F.col("value"), 2)))},
