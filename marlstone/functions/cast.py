@@ -141,6 +141,10 @@ def metric_name(label: Column) -> Column:
     return F.lower(F.regexp_replace(label, "[- ]", "_"))
 
 
-def first_error(*pairs: tuple[str, Column]) -> Column:
-    """The codes whose condition holds, as array<string>; a condition that is NULL doesn't hold."""
-    return F.filter(F.array(*(F.when(c, F.lit(code)) for code, c in pairs)), lambda x: x.isNotNull())
+def codes_of(*pairs: tuple[str, Column]) -> Column:
+    """The codes whose condition holds, as array<string>; a condition that is NULL doesn't hold.
+
+    Text is joined and split again, for filters over arrays would have all conditions interpreted.
+    """
+    joined = F.concat_ws(";", *(F.when(c, F.lit(code)) for code, c in pairs))
+    return F.when(F.length(joined) == 0, F.array().cast("array<string>")).otherwise(F.split(joined, ";"))

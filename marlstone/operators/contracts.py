@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.cast import compact_timestamp, contract_double, contract_long, cut_nanoseconds, field, is_null, iso_timestamp, kind, once, strict_string
+from marlstone.functions.cast import codes_of, compact_timestamp, contract_double, contract_long, cut_nanoseconds, field, is_null, iso_timestamp, kind, once, strict_string
 
 # Patterns and labels of the contracts.
 SYMBOL = r"^[.-]*\p{L}[\p{L}.-]*$"
@@ -127,7 +127,7 @@ RULES: dict[str, Callable[..., list[Rule]]] = {"trades": trade_rules, "quotes":
 
 def violations(rules: list[Rule]) -> Column:
     """The codes of all rules that a message breaks; a rule that can't be decided is broken."""
-    return F.filter(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"contract:{code}")) for code, ok in rules)), lambda x: x.isNotNull())
+    return codes_of(*((f"contract:{code}", ~F.coalesce(ok, F.lit(False))) for code, ok in rules))
 
 
 def check(df: DataFrame, stream: str, compat: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.cast import compact_timestamp, field, is_null, iso_timestamp, kind, loose_string, once, strict_string, to_double, to_long
+from marlstone.functions.cast import codes_of, compact_timestamp, field, is_null, iso_timestamp, kind, loose_string, once, strict_string, to_double, to_long
 from marlstone.operators import derive, schemas
 from marlstone.operators.contracts import ask_size
 
@@ -163,13 +163,13 @@ def normalise(df: DataFrame, stream: str, now: Column | None = None, carry: list
     object_ = F.coalesce(kind(F.col("v")).startswith("OBJECT"), F.lit(False))
     out = df.select(*carry, "raw", "codes", once(object_).alias("__object"), *(x.alias(n) for n, x in reader.fields.items()))
     out = out.select(*carry, "raw", "codes", once(F.col("__object")).alias("__object"), *(x.alias(n) for n, x in (reader.marks | reader.columns).items()))
-    found = F.filter(F.array(*(F.when(when, F.lit(code)) for code, when in reader.errors)), lambda x: x.isNotNull())
+    found = codes_of(*reader.errors)
     codes = F.when(F.size("codes") > 0, F.col("codes")).when(~F.col("__object"), F.array(F.lit("type:object"))).otherwise(found)
     out = out.select(*carry, "raw", codes.alias("codes"), *reader.columns)
     out = _derived(stream, out, F.current_timestamp() if now is None else now)
     needed = [f.name for f in table.fields if not f.nullable]
     if needed:
-        empty = F.filter(F.array(*(F.when(F.col(n).isNull(), F.lit(f"null:{n}")) for n in needed)), lambda x: x.isNotNull())
+        empty = codes_of(*((f"null:{n}", F.col(n).isNull()) for n in needed))
         out = out.withColumn("codes", F.when(F.size("codes") > 0, F.col("codes")).otherwise(empty))
     return out.select(*carry, *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.fields), "raw", "codes")
 
