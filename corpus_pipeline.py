@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from marlstone.llm import mixing, naming, packing, quality, simhash
 from marlstone.llm._common import stored
 
-#: Bits by which near duplicates' fingerprints may differ here; one more than the query of the operator has.
-NEAR_BITS = 3
+#: Words of a shingle, and bits by which near duplicates' fingerprints may differ here. Of five-word fingerprints within
+#: five bits nearly all are of texts that share four fifths of their shingles; more bits would also take less alike ones.
+NEAR_SHINGLE, NEAR_BITS = 5, 5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of close fingerprints stays."""
-    return simhash.drop_near_duplicates(docs, bits=NEAR_BITS)
+    return simhash.drop_near_duplicates(docs, bits=NEAR_BITS, shingle=NEAR_SHINGLE)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
