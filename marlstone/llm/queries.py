@@ -120,6 +120,19 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_documents(spark, sf_dir)).drop("spans")
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM starts),
+least AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+hits AS (SELECT doc_id, i FROM windows JOIN least USING (g) WHERE m < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, range(0, 13) AS r(k)),
+every AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM every ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(_documents(spark, sf_dir))
 
@@ -146,4 +159,5 @@ ORACLES: dict[str, str] = {
     "op2_secret_scan": OP2_SQL,
     "op4_source_mix": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op6_substring_dedup": OP6_SQL,
 }
