@@ -97,9 +97,9 @@ contract_double = to_double
 
 def iso_timestamp(t: Column) -> Column:
     """An ISO-8601 text as an instant, cut to microseconds; without a zone it is UTC, whatever the session's zone."""
-    zoned = t.rlike(r"(?:Z|[+-]\d{2}(?::?\d{2})?)$") & t.rlike("[T ]")
-    comma = F.regexp_replace(t, ",", ".")
-    full = F.when(zoned, comma).when(F.length(t) == 10, F.concat(comma, F.lit("T00:00:00+00:00"))).otherwise(F.concat(comma, F.lit("+00:00")))
+    dotted, clock = F.translate(t, ",", "."), F.substr(t, F.lit(12))
+    zoned = (F.length(t) > 10) & (t.endswith("Z") | clock.contains("+") | clock.contains("-"))
+    full = F.when(zoned, dotted).when(F.length(t) == 10, F.concat(dotted, F.lit("T00:00:00+00:00"))).otherwise(F.concat(dotted, F.lit("+00:00")))
     return F.when(t.rlike(ISO_TEXT), full.try_cast("timestamp"))
 
 
