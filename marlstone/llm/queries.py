@@ -102,12 +102,11 @@ ARRIVALS = 8
 
 
 def op8_compacted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as it stands in the compacted store: the number of its shard in the manifest, and its text's sum."""
+    """Every document as it stands in the compacted store: the file of its shard, and its text's sum."""
     store = shards.ShardStore(spark)
     store.append_all(_documents(spark, sf_dir), F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)).cast("int"), ARRIVALS)
     store.compact()
-    names = F.create_map(*(F.lit(x) for k, s in enumerate(store.manifest()[1]) for x in (s.path.rpartition("/")[2], k)))
-    rows = store.read().select("doc_id", "text", names[F.col("_metadata.file_name")].alias("shard"))
+    rows = store.read().select("doc_id", "text", F.col("_metadata.file_name").alias("shard"))
     text = F.coalesce("text", F.lit(""))
     return rows.select("doc_id", "shard", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
 
