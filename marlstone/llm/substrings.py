@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from marlstone.llm._common import whole_text, words
 
 WINDOW = 13
-#: Bytes of text of a group, and probes of a bucket, about.
+#: Bytes of text of a group, and probes of a bucket, about. Both grow with the corpus, as a 4096th of it, up to 16 and 8
+#: times as much, so that what a group sends to a bucket stays worth a row of its own.
 GROUP_BYTES = 8 << 20
 BUCKET_PROBES = 2_000_000
+SHARES = 4096
 _NONE = np.iinfo(np.int64).min
 # Odd multipliers of the rolling polynomials.
 _P, _Q, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
@@ -106,8 +108,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     block = (window + 1) // 2
     n_bytes = docs.agg(F.sum(F.octet_length(whole_text("text")) + 64)).first()[0] or 1
-    groups = -(-n_bytes // GROUP_BYTES)
-    bits = min(24, max(0, (n_bytes // 6 // BUCKET_PROBES).bit_length()))
+    groups = -(-n_bytes // min(16 * GROUP_BYTES, max(GROUP_BYTES, n_bytes // SHARES)))
+    probes = min(8 * BUCKET_PROBES, max(BUCKET_PROBES, n_bytes // 6 // SHARES))
+    bits = min(24, max(0, (n_bytes // 6 // probes).bit_length()))
     shift = 32 - bits
     docs = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("grp"), "doc_id", "text")
 
