@@ -232,10 +232,12 @@ def near_components(prints: DataFrame, bits: int = BITS, node: int = NODE) -> Da
     if not count:
         return classes.select("fp", F.col("least").alias("component_id"))
     found = components(links(classes.select("fp"), count, bits, node))
-    rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = stored(rooted, "rooted")
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(best, "root").select("fp", "component_id")
+    rooted = stored(classes.join(found.withColumnRenamed("node", "fp"), "fp", "left"), "rooted")
+    linked = rooted.filter("root IS NOT NULL")
+    # written first, so that both sides of the join are shuffled for it and a large component can be split
+    best = stored(linked.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    alone = rooted.filter("root IS NULL").select("fp", F.col("least").alias("component_id"))
+    return linked.join(best, "root").select("fp", "component_id").unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", node: int = NODE) -> DataFrame:
