@@ -13,21 +13,24 @@ from pyspark.sql.window import Window
 
 #: Fixed value: accepted ids that a collector remembers.
 CAPACITY = 50_000
+#: Tasks among which the rows of one key are dealt.
+SALTS = 8
 
 
-def mark_repeats(df: DataFrame, keys: list[str], order: list[str], out: str = "is_duplicate") -> DataFrame:
+def mark_repeats(df: DataFrame, keys: list[str], order: list[str], out: str = "is_duplicate", salts: int = SALTS) -> DataFrame:
     """Every row with whether another of its key comes before it; order must tell the rows of a key apart.
 
-    The least order of each key is found with partial aggregation and joined back, so a hot key is pre-aggregated in
-    each task and its rows can be split among tasks by adaptive execution. Null keys are keys like any other.
+    The least order of each key is found with partial aggregation and joined back, each key once for every salt, so
+    the rows of a hot key are dealt to that many tasks. Null keys are keys like any other.
     """
     at = F.struct(*order)
     first = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(at).alias("__first"))
-    same = None
+    first = first.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("__salt", F.pmod(F.hash(*order), F.lit(salts)))
+    same = F.col("__salt") == F.col("__salt2")
     for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__{k}"))
-        same = c if same is None else same & c
-    return df.join(first, same).withColumn(out, at != F.col("__first")).drop("__first", *(f"__{k}" for k in keys))
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return salted.join(first, same).withColumn(out, at != F.col("__first")).drop("__first", "__salt", "__salt2", *(f"__{k}" for k in keys))
 
 
 def first_of_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
