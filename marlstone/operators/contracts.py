@@ -19,14 +19,17 @@ SENTIMENTS = ("Bearish", "Somewhat-Bearish", "Neutral", "Somewhat_Bullish", "Bul
 Rule = tuple[str, Column]
 
 
-class _Fields:
-    """The fields of a message; v["p"] is the variant at key p."""
+class Fields:
+    """The fields of a message that rules look into; each is a column of a projection before the rules'."""
 
     def __init__(self, v: Column):
-        self.v = v
+        self.v, self.names = v, {}
 
     def __getitem__(self, key: str) -> Column:
-        return field(self.v, key)
+        return F.col(self.names.setdefault(key, f"__c{len(self.names)}"))
+
+    def columns(self) -> list[Column]:
+        return [field(self.v, key).alias(name) for key, name in self.names.items()]
 
 
 def _text(f: Column) -> Column:
@@ -50,7 +53,7 @@ def _at_least_zero(x: Column) -> Column:
     return (x >= 0) & ~F.isnan(x)
 
 
-def _equity(f: _Fields, letter: str, compat: bool) -> list[Rule]:
+def _equity(f: Fields, letter: str, compat: bool) -> list[Rule]:
     symbol, moment = strict_string(f["S"]), cut_nanoseconds(strict_string(f["t"]), compat)
     return [
         ("T", strict_string(f["T"]) == letter),
@@ -63,8 +66,7 @@ def _equity(f: _Fields, letter: str, compat: bool) -> list[Rule]:
     ]
 
 
-def trade_rules(v: Column, compat: bool = False) -> list[Rule]:
-    f = _Fields(v)
+def trade_rules(f: Fields, compat: bool = False) -> list[Rule]:
     return _equity(f, "t", compat) + [("i", contract_long(f["i"]) >= 0), ("x", _text(f["x"])), ("p", _positive(contract_double(f["p"]))), ("s", contract_long(f["s"]) > 0)]
 
 
@@ -73,18 +75,16 @@ def ask_size(v: Column) -> Column:
     return F.coalesce(field(v, "as"), field(v, "as_"))
 
 
-def quote_rules(v: Column, compat: bool = False) -> list[Rule]:
-    f = _Fields(v)
+def quote_rules(f: Fields, compat: bool = False) -> list[Rule]:
     return _equity(f, "q", compat) + [
         ("bx", _text(f["bx"])), ("ax", _text(f["ax"])),
         ("bp", _at_least_zero(contract_double(f["bp"]))), ("ap", _at_least_zero(contract_double(f["ap"]))),
-        ("bs", contract_long(f["bs"]) >= 0), ("as", contract_long(ask_size(v)) >= 0),
+        ("bs", contract_long(f["bs"]) >= 0), ("as", contract_long(F.coalesce(f["as"], f["as_"])) >= 0),
         ("spread", _optional(f["spread"], contract_double(f["spread"]).isNotNull())),
     ]
 
 
-def crypto_rules(v: Column, compat: bool = False) -> list[Rule]:
-    f = _Fields(v)
+def crypto_rules(f: Fields, compat: bool = False) -> list[Rule]:
 
     def amount(key: str) -> Column:
         d = contract_double(f[key])
@@ -106,8 +106,7 @@ def crypto_rules(v: Column, compat: bool = False) -> list[Rule]:
     ]
 
 
-def news_rules(v: Column, compat: bool = False) -> list[Rule]:
-    f = _Fields(v)
+def news_rules(f: Fields, compat: bool = False) -> list[Rule]:
     some = lambda key: F.length(strict_string(f[key])) >= 1
     label = strict_string(f["overall_sentiment_label"])
     return [
@@ -135,14 +134,17 @@ def check(df: DataFrame, stream: str, compat: bool = False) -> DataFrame:
 
     Messages that are no object are invalid, with the code contract:object.
     """
-    v = F.col("v")
-    broken = F.when(F.size("codes") > 0, F.col("codes")).when(~F.coalesce(kind(v).startswith("OBJECT"), F.lit(False)), F.array(F.lit("contract:object"))).otherwise(violations(RULES[stream](v, compat)))
-    status = F.when(F.size("codes") > 0, "invalid").otherwise("valid")
-    if stream == "crypto":
-        other = kind(v).startswith("OBJECT") & ~F.coalesce(strict_string(field(v, "type")).isin(*MATCH_TYPES), F.lit(False))
-        broken = F.when(F.coalesce(other, F.lit(False)), F.array().cast("array<string>")).otherwise(broken)
-        status = F.when(F.coalesce(other, F.lit(False)), "ignored").otherwise(status)
-    return df.withColumn("codes", once(broken)).withColumn("status", once(status))
+    f = Fields(F.col("v"))
+    rules, what = RULES[stream](f, compat), f["type"] if stream == "crypto" else None
+    wide = df.select("*", once(F.coalesce(kind(F.col("v")).startswith("OBJECT"), F.lit(False))).alias("__object"), *f.columns())
+    none = F.array().cast("array<string>")
+    other = F.lit(False) if what is None else F.col("__object") & ~F.coalesce(strict_string(what).isin(*MATCH_TYPES), F.lit(False))
+    broken = F.when(F.size("codes") > 0, F.col("codes")).when(~F.col("__object"), F.array(F.lit("contract:object"))).otherwise(violations(rules))
+    wide = wide.select(*df.columns, once(broken).alias("__broken"), other.alias("__other"))
+    codes = F.when(F.col("__other"), none).otherwise(F.col("__broken"))
+    status = F.when(F.col("__other"), "ignored").when(F.size("__broken") > 0, "invalid").otherwise("valid")
+    rest = [c for c in df.columns if c != "codes"]
+    return wide.select(*rest, codes.alias("codes"), once(status).alias("status"))
 
 
 def sentiment_of(score: Column) -> Column:
