@@ -13,9 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores: one small file is one partition, while a feed of this size would have many."""
+    """df over all cores: a small file is one row group, however many partitions its bytes are split into, while a feed of
+    this size would have many."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(n) if df.rdd.getNumPartitions() <= 4 * n else df
 
 
 def epoch_micros(ts: str) -> Column:
