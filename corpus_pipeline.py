@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import mixing, naming, packing, quality, simhash
+from marlstone.llm import mixing, naming, near, packing, quality
 from marlstone.llm._common import stored
 
-#: Words of a shingle, and bits by which near duplicates' fingerprints may differ here. Of five-word fingerprints within
-#: five bits nearly all are of texts that share four fifths of their shingles; more bits would also take less alike ones.
-NEAR_SHINGLE, NEAR_BITS = 5, 5
+#: Words of a shingle; near duplicates share four fifths or more of theirs.
+NEAR_SHINGLE = 5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of close fingerprints stays."""
-    return simhash.drop_near_duplicates(docs, bits=NEAR_BITS, shingle=NEAR_SHINGLE)
+    """One document of each component of texts alike at 0.8 or more stays."""
+    return near.drop_near_texts(docs, shingle=NEAR_SHINGLE)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
