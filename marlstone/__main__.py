@@ -23,16 +23,19 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--format", default="text", choices=files.FORMATS)
     p.add_argument("--stream", dest="streaming", action="store_true", help="work off what is there in micro-batches and remember it")
     p.add_argument("--checkpoint", help="for --stream")
-    p.add_argument("--suppress-by", help="news: a time column by which repeats within 12 hours are left out (batch)")
+    p.add_argument("--suppress-by", help="news: a time column by which repeats within 12 hours are left out; ingest, the default; or none")
     a = p.parse_args(args)
     if a.streaming and not a.checkpoint:
         p.error("--stream needs --checkpoint")
+    if a.suppress_by and a.stream != "news":
+        p.error("--suppress-by is for news")
+    suppress = None if a.suppress_by == "none" else a.suppress_by or pipelines.INGEST
     spark = spark or SparkSession.builder.appName(f"marlstone {a.stream}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     messages = files.messages(spark, a.input, a.format, stream=a.streaming)
     if a.streaming:
-        sinks.run_pipeline(messages, a.stream, a.output, a.checkpoint, a.dead).awaitTermination()
+        sinks.run_pipeline(messages, a.stream, a.output, a.checkpoint, a.dead, dedup_by=suppress).awaitTermination()
         return
-    rows, dead = pipelines.build(messages, a.stream, dedup_by=a.suppress_by)
+    rows, dead = pipelines.build(messages, a.stream, dedup_by=suppress)
     sinks.append(rows, a.output)
     if a.dead:
         sinks.append(dead, a.dead)

@@ -9,6 +9,8 @@ from marlstone.functions.cast import contract_double, contract_long, cut_nanosec
 from marlstone.operators import contracts, dedup, derive, normalise, parse
 
 STREAMS = ("trades", "quotes", "crypto", "news")
+#: In place of a time column: repeats are told by the time at which rows are ingested.
+INGEST = "ingest"
 
 
 def typed(messages: DataFrame, stream: str, now: Column | None = None, carry: list[str] | None = None, value: str = "value") -> DataFrame:
@@ -23,15 +25,18 @@ def typed(messages: DataFrame, stream: str, now: Column | None = None, carry: li
 def build(messages: DataFrame, stream: str, now: Column | None = None, dedup_by: str | None = None, mode: str = "horizon", seconds: int = derive.NEWS_HORIZON_SECONDS) -> tuple[DataFrame, DataFrame]:
     """(main lane, dead letters) of a batch of messages.
 
-    dedup_by: for news, a time column of the table by which repeats within `seconds` are suppressed; mode "session"
-    lets repeats prolong the suppression. Streams use marlstone.streaming.stateful for that step instead.
+    dedup_by: for news, a time column of the table by which repeats within `seconds` are suppressed, or INGEST, by
+    which the whole batch comes in at once; mode "session" lets repeats prolong the suppression. Streams have that step
+    in sinks.run_pipeline instead.
     """
     rows = typed(messages, stream, now)
     main, dlq = normalise.main_lane(rows), parse.dead_letters(rows, "normalise")
     if stream == "news":
         if dedup_by:
             accept = {"horizon": dedup.accept_by_horizon, "session": dedup.accept_by_session}[mode]
-            main = accept(main, ["dedup_key"], dedup_by, seconds, ["title", "summary", "source"]).filter("accepted").drop("accepted")
+            if dedup_by == INGEST:
+                main, dedup_by = main.withColumn("__at", F.current_timestamp() if now is None else now), "__at"
+            main = accept(main, ["dedup_key"], dedup_by, seconds, ["title", "summary", "source"]).filter("accepted").drop("accepted", "__at")
         main = main.drop("dedup_key")
     return main, dlq
 

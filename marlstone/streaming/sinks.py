@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marlstone.operators import normalise, parse, schemas
+from marlstone.operators import derive, normalise, parse, schemas
 from marlstone.plans import pipelines
+from marlstone.streaming import stateful
+
+_EMPTY = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def append(df: DataFrame, path: str, columns: dict[str, str] | None = None) -> None:
@@ -32,18 +35,41 @@ def write_lanes(rows: DataFrame, batch: int, main: str, dlq: str | None, finish:
         rows.unpersist()
 
 
-def run_pipeline(messages: DataFrame, stream: str, main: str, checkpoint: str, dlq: str | None, trigger: dict | None = None, value: str = "value") -> StreamingQuery:
+def run_pipeline(messages: DataFrame, stream: str, main: str, checkpoint: str, dlq: str | None, trigger: dict | None = None, value: str = "value", dedup_by: str | None = pipelines.INGEST, seconds: int = derive.NEWS_HORIZON_SECONDS) -> StreamingQuery:
     """Start a pipeline over a streaming DataFrame of messages; dead letters are on unless dlq is None.
 
     The trigger is availableNow by default: what is there is worked off in bounded batches, then the query ends.
+    News repeats within `seconds` of the last accepted one are suppressed, by ingest time or a time column of the table;
+    dedup_by=None lets all of them pass.
     """
     table = schemas.TABLES[stream]
     typed = pipelines.typed(messages, stream, value=value)
+    if stream == "news" and dedup_by:
+        typed = _first_news(typed, dedup_by, seconds)
 
     def both(df: DataFrame, batch: int) -> None:
         write_lanes(df, batch, main, dlq, lambda rows: rows.select(*(F.col(f.name) for f in table.fields)))
 
-    return typed.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    conf = typed.sparkSession.conf
+    before = conf.get(_EMPTY)
+    conf.set(_EMPTY, "false")  # else a state that expires asks for empty batches without end
+    try:
+        return typed.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        conf.set(_EMPTY, before)
+
+
+def _first_news(typed: DataFrame, dedup_by: str, seconds: int) -> DataFrame:
+    """Typed news without the repeats of their main lane; dead letters pass by.
+
+    By ingest time the state of a key goes when its horizon is over.
+    """
+    stateful.use_rocksdb(typed.sparkSession)
+    main = normalise.main_lane(typed).withColumns({"__at": F.current_timestamp() if dedup_by == pipelines.INGEST else F.col(dedup_by), "__order": F.concat_ws("|", "title", "summary", "source")})
+    main = stateful.accept_by_horizon(main, "dedup_key", "__at", seconds, "__order", seconds if dedup_by == pipelines.INGEST else None).drop("__at", "__order")
+    lanes = {n: typed.schema[n].dataType for n in ("raw", "codes")}
+    main = main.withColumns({"raw": F.lit(None).cast(lanes["raw"]), "codes": F.array().cast(lanes["codes"])})
+    return main.unionByName(typed.filter(F.size("codes") > 0))
 
 
 def publish(messages: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery | None:
