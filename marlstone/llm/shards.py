@@ -119,15 +119,19 @@ class ShardStore:
         return self._add(self._written(folder, arrival), _nullable(rows.schema))
 
     def append_all(self, rows: DataFrame, arrival: Column, count: int) -> int:
-        """Append `count` arrivals that one table holds, told apart by a number from 0 on: one job, a commit for each."""
+        """Append `count` arrivals that one table holds, told apart by a number from 0 on: one job, a commit for each.
+
+        Rows of any other number, or of none, are committed after these, together; a table without rows, as no shards.
+        """
         name = fresh("arrival", rows.columns)
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         rows.withColumn(name, arrival).write.option("compression", "zstd").partitionBy(name).parquet(folder)
-        version = self.manifest()[0]
-        for k in range(count):
-            fs, p = self._fs(f"{folder}/{name}={k}")
-            if fs.exists(p):
-                version = self._add(self._written(p.toString(), k), _nullable(rows.schema))
+        fs, p = self._fs(folder)
+        found = {n.partition("=")[2]: s.getPath().toString() for s in fs.listStatus(p) if (n := s.getPath().getName()).startswith(f"{name}=")}
+        runs = [self._written(found.pop(str(k)), k) for k in range(count) if str(k) in found]
+        rest = [s for path in found.values() for s in self._written(path, -1)]
+        for run in [*runs, *([rest] if rest else [])] or [[]]:
+            version = self._add(run, _nullable(rows.schema))
         return version
 
     def plan(self, shards: list[Shard]) -> list[list[Shard]]:
@@ -184,7 +188,10 @@ class ShardStore:
             raise ValueError(f"nothing was appended to {self.path}")
         kind = StructType.fromJson(json.loads(schema))
         if not shards:
-            return self.spark.createDataFrame([], kind)
+            none = f"{self.path}/none"  # an empty folder, whose rows have _metadata as well
+            fs, p = self._fs(none)
+            fs.mkdirs(p)
+            return self.spark.read.schema(kind).parquet(none)
         return self.spark.read.schema(kind).parquet(*(s.path for s in shards))
 
     def vacuum(self, keep: int = 1) -> int:
