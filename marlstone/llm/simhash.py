@@ -252,14 +252,16 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, d
 
 
 def drop_near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay: of each component the one of the least id, whole and with the columns of docs.
+    """The rows of docs that stay: of each component the one of the least id, nulls last, with the columns of docs.
 
-    Rows that share both id and component stay or go together; components without any id stay.
+    Of rows that share it, one stays.
     """
-    prints = stored(fingerprints(docs, shingle, doc_id, text), "prints")
-    found = near_components(prints, bits)
-    inner = fresh("gone__", docs.columns)
-    gone = prints.join(found, "fp").filter("doc_id > component_id").select(F.col("doc_id").alias(inner)).distinct()
-    kept = prints.join(found, "fp").filter("doc_id = component_id").select(F.col("doc_id").alias(inner)).distinct()
-    gone = gone.join(kept, inner, "left_anti")
-    return docs.join(gone, docs[doc_id].cast("long") == gone[inner], "left_anti")
+    row, inner = fresh("row_no", docs.columns), fresh("gone__", docs.columns)
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    prints = stored(fingerprints(rows, shingle, row, text), "prints")
+    found = prints.join(near_components(prints, bits), "fp").select(F.col("doc_id").alias("node"), F.col("component_id").alias("root"))
+    ids = rows.select(F.col(row).alias("node"), F.col(doc_id).cast("long").alias("id"))
+    placed = stored(found.join(ids, "node").select("root", F.struct(F.col("id").isNull().alias("none"), "id", "node").alias("at")), "placed")
+    best = stored(placed.groupBy("root").agg(F.min("at").alias("best")), "best")
+    gone = placed.join(best, "root").filter("at.node <> best.node").select(F.col("at.node").alias(inner))
+    return rows.join(gone, rows[row] == gone[inner], "left_anti").select(*docs.columns)
