@@ -44,3 +44,7 @@ class Settings:
     @property
     def gateway(self) -> str:
         return f"{self.gateway_host}:{self.gateway_port}" if self.gateway_host else ""
+
+
+#: What the process was started with; the other modules take their defaults from here.
+SETTINGS = Settings.from_env()

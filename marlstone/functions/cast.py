@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marlstone.config import SETTINGS
+
 _DIGITS = r"\d+(?:_\d+)*"
 INT_TEXT = rf"^\s*[+-]?{_DIGITS}\s*$"
 #: As INT_TEXT, with a fraction of zeros allowed.
@@ -132,7 +134,7 @@ def format_seconds(ts: Column) -> Column:
     return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss 'UTC'")
 
 
-def lookback_cutoff(now: Column, minutes: int = 15) -> Column:
+def lookback_cutoff(now: Column, minutes: int = SETTINGS.lookback_minutes) -> Column:
     """The start of a poll's time range, to the minute, as the news feed takes it."""
     return F.date_format(F.to_utc_timestamp(now, F.current_timezone()) - F.expr(f"INTERVAL {int(minutes)} MINUTES"), "yyyyMMdd'T'HHmm")
 

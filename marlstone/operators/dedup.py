@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Fixed value: accepted ids that a collector remembers.
-CAPACITY = 50_000
+from marlstone.config import SETTINGS
+
+#: Accepted ids that a collector remembers.
+CAPACITY = SETTINGS.capacity
 #: Tasks among which the rows of one key are dealt.
 SALTS = 8
 

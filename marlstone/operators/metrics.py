@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Lengths of the windows in seconds, and samples that a mean takes.
-THROUGHPUT_SECONDS = 60
-RESET_SECONDS = 3600
+from marlstone.config import SETTINGS
+
+# Lengths of the windows in seconds, and samples that a mean takes.
+THROUGHPUT_SECONDS = SETTINGS.throughput_seconds
+RESET_SECONDS = SETTINGS.reset_seconds
 SAMPLES = 1000
 DEAD_LETTERS_SHOWN = 500
 

@@ -18,13 +18,15 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
-# What the feeds offer and how they are asked.
+from marlstone.config import SETTINGS
+
+# What the feeds offer and how they are asked; fixed values but for the settings.
 SYMBOLS = ["AAPL", "MSFT", "NVDA", "AMZN", "GOOGL", "META", "TSLA", "BRK.B", "AVGO", "JPM", "LLY", "UNH", "V", "XOM", "MA"]
 PRODUCTS = ["BTC-USD", "ETH-USD", "SOL-USD", "ADA-USD", "XRP-USD", "DOGE-USD", "AVAX-USD", "LINK-USD", "DOT-USD", "LTC-USD"]
-LOOKBACK_MINUTES = 15
+LOOKBACK_MINUTES = SETTINGS.lookback_minutes
 HTTP_TIMEOUT_SECONDS = 30
 PING_SECONDS, PONG_SECONDS = 20, 10
-RECONNECT_SECONDS = 5
+RECONNECT_SECONDS = SETTINGS.reconnect_seconds
 
 
 def equity_greetings(key: str, secret: str, symbols: list[str]) -> list[dict]:
