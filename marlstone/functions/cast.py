@@ -29,6 +29,15 @@ def once(c: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, c)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that clashes with none of those taken, letter case aside."""
+    low = {x.lower() for x in taken}
+    name = f"__{name}"
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
 def field(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "variant")
 

@@ -12,27 +12,29 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from marlstone.config import SETTINGS
+from marlstone.functions.cast import fresh
 
 #: Accepted ids that a collector remembers.
 CAPACITY = SETTINGS.capacity
-#: Tasks among which the rows of one key are dealt.
-SALTS = 8
+#: Lanes among which the rows of one key are dealt.
+LANES = 256
 
 
-def mark_repeats(df: DataFrame, keys: list[str], order: list[str], out: str = "is_duplicate", salts: int = SALTS) -> DataFrame:
-    """Every row with whether another of its key comes before it; order must tell the rows of a key apart.
+def mark_repeats(df: DataFrame, keys: list[str], order: list[str], out: str = "is_duplicate", lanes: int = LANES, where: Column | None = None) -> DataFrame:
+    """Every row with whether another of its key comes before it; of rows equal in order, too, just one is the first.
 
-    The least order of each key is found with partial aggregation and joined back, each key once for every salt, so
-    the rows of a hot key are dealt to that many tasks. Null keys are keys like any other.
+    Rows are ranked in lanes of their key, by a hash of the order, then the first rows of a key's lanes, at most one for
+    each lane, among themselves. So the input is read once, and a hot key is dealt to many tasks; a key of few rows
+    costs nothing more for it. Null keys are keys like any other. Rows without `where` repeat nothing and are no repeats.
     """
-    at = F.struct(*order)
-    first = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(at).alias("__first"))
-    first = first.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("__salt", F.pmod(F.hash(*order), F.lit(salts)))
-    same = F.col("__salt") == F.col("__salt2")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return salted.join(first, same).withColumn(out, at != F.col("__first")).drop("__first", "__salt", "__salt2", *(f"__{k}" for k in keys))
+    lane, ok, nth = (fresh(n, df.columns) for n in ("lane", "counts", "nth"))
+    counts = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    wide = df.withColumn(lane, F.pmod(F.xxhash64(*order), F.lit(lanes))).withColumn(ok, counts)
+    by = [F.col(k) if where is None else F.when(F.col(ok), F.col(k)) for k in keys]
+    wide = wide.withColumn(nth, F.row_number().over(Window.partitionBy(*by, ok, lane).orderBy(*order)))
+    front = F.when(F.col(nth) == 1, F.lit(-1).cast("long")).otherwise(F.col(lane))
+    among = F.row_number().over(Window.partitionBy(*by, ok, front).orderBy(*order))
+    return wide.withColumn(out, among > 1).withColumn(out, F.col(ok) & ((F.col(nth) > 1) | F.col(out))).drop(lane, ok, nth)
 
 
 def first_of_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -42,17 +44,24 @@ def first_of_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*keys, "__row.*").select(*df.columns)
 
 
-def _folded(df: DataFrame, by: list[str], order: list[str], values: list[Column], fold, out: str, one_partition: bool = False) -> DataFrame:
+def _folded(df: DataFrame, by: list[str], order: list[str], values: list[Column], fold, out: str, one_partition: bool = False, where: Column | None = None) -> DataFrame:
     """df with a boolean column that `fold()`, a fresh function for each key, gives for the values, row after row.
 
-    Partitions are sorted by key and order and streamed; a task holds one key's state at a time.
+    Partitions are sorted by key and order and streamed; a task holds one key's state at a time. Rows without `where` get
+    false; they are dealt by their order, whatever their key.
     """
-    names = [f"__v{k}" for k in range(len(values) + len(by))]
-    wide = df.withColumns(dict(zip(names, [*map(F.col, by), *values], strict=True)))
-    dealt = wide.coalesce(1) if one_partition else wide.repartition(*by)
-    keys, inputs = names[: len(by)], names[len(by) :]
+    given: list[Column] = [F.col(k) for k in by]
+    if where is not None:
+        counts = F.coalesce(where, F.lit(False))
+        given = [F.when(counts, F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(*order), F.lit(LANES))), *(F.when(counts, k) for k in given)]
+    names: list[str] = []
+    for _ in range(len(values) + len(given)):
+        names.append(fresh("v", [*df.columns, *names]))
+    wide = df.withColumns(dict(zip(names, [*given, *values], strict=True)))
+    keys, inputs = names[: len(given)], names[len(given) :]
+    dealt = wide.coalesce(1) if one_partition else wide.repartition(*keys)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.BooleanType(), False)])
-    columns = df.columns
+    columns, flagged = df.columns, where is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, step = None, fold()
@@ -62,7 +71,7 @@ def _folded(df: DataFrame, by: list[str], order: list[str], values: list[Column]
             for key, value in zip(ks, zip(*(batch.column(c).to_pylist() for c in inputs), strict=True), strict=True):
                 if key != last:
                     last, step = key, fold()
-                found.append(step(*value))
+                found.append(step(*value) if not flagged or key[0] == -1 else False)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found, pa.bool_())], names=[*columns, out])
 
     return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
@@ -99,9 +108,11 @@ def accept_by_session(df: DataFrame, keys: list[str], ts: str, seconds: int, ord
     return df.withColumn(out, F.coalesce(gap >= seconds * 1_000_000, F.col(ts).isNotNull()))
 
 
-def accept_by_memory(df: DataFrame, ids: list[str], order: list[str], scope: list[str] | None = None, capacity: int = CAPACITY, out: str = "accepted") -> DataFrame:
+def accept_by_memory(df: DataFrame, ids: list[str], order: list[str], scope: list[str] | None = None, capacity: int = CAPACITY, out: str = "accepted", where: Column | None = None) -> DataFrame:
     """Whether each row is accepted against a memory of the last `capacity` accepted values of each id column.
 
+    Rows without `where` are not accepted and leave no trace.
+
     A row is a duplicate if any of its ids is remembered, and then leaves no trace; an accepted row enters all its
     ids and pushes out the oldest. The outcome depends on the order of all rows of a scope: without a scope this is
     one sequence and runs in one task, which is exact and doesn't scale; with one, each scope is a sequence.
@@ -123,4 +134,4 @@ def accept_by_memory(df: DataFrame, ids: list[str], order: list[str], scope: lis
 
         return step
 
-    return _folded(df, scope or [], order, [F.col(c) for c in ids], fold, out, one_partition=not scope)
+    return _folded(df, scope or [], order, [F.col(c) for c in ids], fold, out, one_partition=not scope, where=where)

@@ -112,20 +112,35 @@ def recent_dead_letters(dlq: DataFrame, order: str, count: int = DEAD_LETTERS_SH
     return dlq.orderBy(F.col(order).desc()).limit(count)
 
 
-def snapshot(status: DataFrame, now: Column, start_seconds: int = 0) -> DataFrame:
-    """One row for each stream: rates and counters of the window that `now` lies in, means and lifetime totals."""
-    came = received(status)
+def snapshot(status: DataFrame, now: Column, start_seconds: int = 0, seconds: int = THROUGHPUT_SECONDS) -> DataFrame:
+    """One row for each stream: rates and counters of the window that `now` lies in, means and lifetime totals.
+
+    Counters, rates and throughput come from one aggregation; the samples of the three means are ranked in one pass.
+    """
     current = F.window("__now", f"{RESET_SECONDS} seconds", startTime=f"{start_seconds} seconds")["start"]
-    this = came.withColumn("__now", now).withColumn("__start", current).withColumn("__own", hour(start_seconds)).filter("__own = __start").drop("__now", "__start", "__own")
-    streams = came.groupBy("stream").agg(*counters("total"))
-    out = streams.join(throughput_now(status, now), "stream")
-    out = out.join(this.groupBy("stream").agg(*counters("window"), *rates()), "stream", "left")
-    for mean in (freshness_mean, detection_mean, spread_mean):
-        found = mean(this, start_seconds=start_seconds).drop("window_start", "samples")
-        out = out.join(found, "stream", "left")
-    zero = {c: 0 for c in ("window_received", "window_valid", "window_invalid", "window_duplicates", "window_dlq")}
-    zero |= {c: 0.0 for c in ("duplicate_rate", "dlq_rate", "freshness_at_ingestion_seconds_mean", "contract_violation_detection_time_ms", "mean_bid_ask_spread")}
-    return out.fillna(zero | {"schema_compliance_rate": 1.0})
+    came = received(status).withColumn("__now", now).withColumn("__start", current).withColumn("__own", hour(start_seconds)).withColumn("__here", F.col("__own") == F.col("__start"))
+    here, state, at = F.col("__here"), F.col("status"), F.unix_micros("arrival_ts")
+    recent = (state == "valid") & (at >= F.unix_micros("__now") - seconds * 1_000_000) & (at <= F.unix_micros("__now"))
+    kinds = {"valid": "valid", "invalid": "invalid", "duplicates": "duplicate", "dlq": "invalid"}
+    n = F.col("window_received")
+    out = came.groupBy("stream").agg(
+        *counters("total"), F.round(F.count_if(recent) / seconds, 4).alias("throughput_msgs_per_sec"),
+        F.count_if(here).alias("window_received"), *(F.count_if(here & (state == k)).alias(f"window_{name}") for name, k in kinds.items()),
+    )
+    rate = lambda part, none: F.coalesce(F.round(F.col(part) / F.nullif(n, F.lit(0)), 6), F.lit(none))
+    out = out.withColumns({"schema_compliance_rate": rate("window_valid", 1.0), "duplicate_rate": rate("window_duplicates", 0.0), "dlq_rate": rate("window_dlq", 0.0)})
+    means = (("freshness_at_ingestion_seconds_mean", "freshness_seconds", "valid", 4), ("contract_violation_detection_time_ms", "detection_ms", "invalid", 4), ("mean_bid_ask_spread", "spread", "valid", 6))
+    samples = F.array(*(F.struct(F.lit(name).alias("mean"), F.when(state == which, F.col(column)).alias("x")) for name, column, which, _ in means))
+    each = came.filter(here).select("stream", "arrival_seq", F.explode(F.filter(samples, lambda s: s["x"].isNotNull())).alias("s")).select("stream", "arrival_seq", "s.mean", "s.x")
+    rank = F.row_number().over(Window.partitionBy("stream", "mean").orderBy(F.col("arrival_seq").desc()))
+    last = each.withColumn("__rank", rank).filter(F.col("__rank") <= SAMPLES)
+    found = last.groupBy("stream").agg(*(F.round(F.avg(F.when(F.col("mean") == name, F.col("x"))), digits).alias(name) for name, _, _, digits in means))
+    return out.join(found, "stream", "left").fillna({name: 0.0 for name, *_ in means})
+
+
+#: What a run without articles comes to.
+NO_ARTICLES = {n: 0 for n in ("articles_fetched", "articles_valid", "articles_invalid", "articles_published", "articles_dlq")}
+NO_ARTICLES |= {"schema_compliance_rate": 1.0, "dlq_rate": 0.0, "freshness_seconds_mean": 0.0, "violation_detection_ms_mean": 0.0}
 
 
 def run_metrics(articles: DataFrame, run: str = "run_id") -> DataFrame:

@@ -21,10 +21,16 @@ def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     return out.select(*rest, "raw", "v", why.alias("codes"))
 
 
-def explode_batches(df: DataFrame) -> DataFrame:
-    """One row for each element of an array message, one for any other message, none for an empty array."""
+def explode_batches(df: DataFrame, place: str | None = None) -> DataFrame:
+    """One row for each element of an array message, one for any other message, none for an empty array.
+
+    place: a new column for an element's place in its message, from 0.
+    """
     items = F.when(kind(F.col("v")).startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
-    out = df.withColumn("v", F.explode(items)).withColumn("v", once(F.col("v")))
+    rest = [c for c in df.columns if c != "v"]
+    spread = F.posexplode(items).alias(place, "v") if place else F.explode(items).alias("v")
+    out = df.select(*rest, spread)
+    out = out.select(*rest, *([place] if place else []), once(F.col("v")).alias("v"))
     return out.withColumn("raw", F.when(F.size("codes") == 0, F.to_json("v")).otherwise(F.col("raw")))
 
 
@@ -68,3 +74,13 @@ def batch_message(df: DataFrame, run: str) -> DataFrame:
     rest = [c for c in df.columns if c != run]
     body = F.to_json(F.array_sort(F.collect_list(F.struct(*rest))), {"ignoreNullFields": "false"})
     return df.groupBy(run).agg(body.cast("binary").alias("value"))
+
+
+def batch_events(df: DataFrame, run: str, order: list[str], event: str = "event") -> DataFrame:
+    """The events (JSON text) of a run as one JSON array in their order; runs without any give nothing.
+
+    A message holds its whole run by definition, so a run must be of a size that a message can have.
+    """
+    items = F.transform(F.array_sort(F.collect_list(F.when(F.col(event).isNotNull(), F.struct(*order, F.col(event).alias("__event"))))), lambda x: x["__event"])
+    out = df.groupBy(run).agg(items.alias("__items"))
+    return out.filter(F.size("__items") > 0).select(run, F.concat(F.lit("["), F.array_join("__items", ","), F.lit("]")).cast("binary").alias("value"))

@@ -53,6 +53,33 @@ _CRYPTO_CODES = "CASE event_id % 9 WHEN 5 THEN 'cast:time:timestamp' WHEN 6 THEN
 _NEWS_LABEL = "CASE WHEN doc_id % 6 = 5 THEN NULL ELSE (['Bearish', 'Somewhat-Bearish', 'Neutral', 'Somewhat_Bullish', 'Bullish'])[doc_id % 6 + 1] END"
 _FIRST = "row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn"
 
+# What the collectors receive, in frames, and what becomes of it.
+_FRAMED = "event_id // 3, CASE WHEN event_id % 15 >= 12 OR {alone} THEN event_id END"
+_PLACED = """min(event_id) OVER w AS frame, epoch_us(max(ts) OVER w) / 1000000.0 AS at0, row_number() OVER (PARTITION BY {f} ORDER BY event_id)::INTEGER - 1
+         + CASE WHEN event_id // 3 % 10 = 0 AND NOT (event_id % 15 >= 12 OR {alone}) THEN 1 ELSE 0 END AS item"""
+
+
+def _in_frames(stream: str, more: str, key: str, alone: str) -> str:
+    f = _FRAMED.format(alone=alone)
+    return f"""c AS (SELECT *, {more}, {_PLACED.format(f=f, alone=alone)} FROM ({_checked(stream)}) WINDOW w AS (PARTITION BY {f})),
+ok AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY event_id) AS nth FROM c WHERE status = 'valid'),
+said AS (SELECT * REPLACE (CASE WHEN nth > 1 THEN 'duplicate' ELSE status END AS status) FROM ok
+         UNION ALL SELECT *, 0 FROM c WHERE status = 'invalid' AND codes <> 'parse:json')"""
+
+
+_TRADES_IN = _in_frames("trades", "CASE WHEN event_id % 7 = 3 THEN event_id - 3 ELSE event_id END AS id", "id", "event_id % 11 = 8")
+_QUOTES_IN = _in_frames(
+    "quotes",
+    """CASE WHEN event_id % 5 <> 0 AND round(value, 2) > 0 AND round(value, 2) + (event_id % 7 - 3) / 4.0 > 0 THEN round((round(value, 2) + (event_id % 7 - 3) / 4.0) - round(value, 2), 6) END AS spread,
+         strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 2 = 0 THEN 'Z' ELSE '+00:00' END AS t""",
+    f"upper({_SYMBOL}), t", "false",
+)
+_CRYPTO_IN = f"""c AS (SELECT * FROM ({_checked("crypto")})),
+p AS (SELECT c.*, coalesce((SELECT a.status = 'valid' FROM c a WHERE a.event_id = c.event_id - 1 AND c.event_id % 4 > 0), false) AS ok1,
+             coalesce((SELECT b.status = 'valid' FROM c b WHERE b.event_id = c.event_id - 2 AND c.event_id % 4 > 1), false) AS ok2 FROM c),
+said AS (SELECT * REPLACE (CASE WHEN status = 'valid' AND (event_id % 4 = 1 AND ok1 OR event_id % 4 = 2 AND ok1 AND NOT ok2) THEN 'duplicate' ELSE status END AS status) FROM p)"""
+_NEWS_IN = f"""said AS (SELECT *, min(doc_id) OVER (PARTITION BY doc_id // 8, source) AS frame, row_number() OVER (PARTITION BY doc_id // 8, source ORDER BY doc_id)::INTEGER - 1 AS item FROM ({_checked("news")}))"""
+
 ORACLES: dict[str, str] = {
     "trade_value": """
 SELECT (l_orderkey * 8 + l_linenumber)::BIGINT AS trade_id, 'SYM' || l_returnflag || l_linestatus AS symbol, l_extendedprice AS price, l_quantity::BIGINT AS size,
@@ -127,11 +154,48 @@ UNION ALL SELECT 'quotes', (SELECT count(*) FROM events) UNION ALL SELECT 'crypt
     + ") GROUP BY ALL",
     "dlq_union": f"""
 SELECT error, count(*) AS n FROM (SELECT {_TRADE_CODES} AS error FROM events UNION ALL SELECT {_CRYPTO_CODES} FROM events) WHERE error IS NOT NULL GROUP BY 1""",
-    "collector_trades": f"SELECT 'trades' AS stream, status, count(*) AS n FROM ({_checked('trades')}) WHERE event_id % 11 <> 8 GROUP BY status",
-    "collector_crypto": f"SELECT 'crypto' AS stream, status, count(*) AS n FROM ({_checked('crypto')}) GROUP BY status",
+    "collector_trades": f"""
+WITH {_TRADES_IN}
+SELECT frame, item, status, codes, CASE WHEN status = 'valid' THEN round(at0 - epoch_us(ts) / 1000000.0, 6) END AS freshness_seconds, CASE WHEN status = 'valid' THEN upper({_SYMBOL}) END AS symbol,
+       CASE WHEN status = 'valid' THEN id END AS trade_id, CASE WHEN status = 'valid' THEN value END AS price, CASE WHEN status = 'valid' THEN CASE WHEN event_id % 11 = 4 THEN 10 ELSE user_id % 100 + 1 END END AS size,
+       CASE WHEN status = 'valid' THEN round(at0, 6) END AS ingest_timestamp FROM said""",
+    "collector_quotes": f"""
+WITH {_QUOTES_IN}
+SELECT frame, item, status, codes, CASE WHEN status = 'valid' THEN round(at0 - epoch_us(date_trunc('hour', ts)) / 1000000.0, 6) END AS freshness_seconds, CASE WHEN status = 'valid' THEN upper({_SYMBOL}) END AS symbol,
+       CASE WHEN status = 'valid' THEN spread END AS spread, CASE WHEN status = 'valid' THEN spread END AS event_spread, CASE WHEN status = 'valid' THEN 3 END::BIGINT AS ask_size, CASE WHEN status = 'valid' THEN t END AS t FROM said""",
+    "collector_crypto": f"""
+WITH {_CRYPTO_IN}
+SELECT event_id AS frame, status, codes, CASE WHEN status = 'valid' THEN 0.0::DOUBLE END AS freshness_seconds, CASE WHEN status = 'valid' THEN ['A', 'B', 'C'][event_id // 4 % 3 + 1] || '-USD' END AS product_id,
+       CASE WHEN status = 'valid' THEN CASE WHEN event_id % 4 = 1 THEN event_id ELSE event_id + 1 END END AS trade_id, CASE WHEN status = 'valid' THEN round(value, 2)::VARCHAR END AS price,
+       CASE WHEN status = 'valid' THEN CASE WHEN event_id % 3 = 0 THEN 'buy' ELSE 'sell' END END AS side FROM said""",
+    "collector_news": f"""
+WITH {_NEWS_IN}
+SELECT frame, item, status, codes, CASE WHEN status = 'valid' THEN round((frame % 256) / 64.0, 6) END AS freshness_seconds, CASE WHEN status = 'valid' THEN 'https://x.example/' || source END AS url,
+       CASE WHEN status = 'valid' THEN (doc_id % 21 - 10) / 20.0 END AS score, CASE WHEN status = 'valid' THEN {_NEWS_LABEL} END AS label FROM said""",
+    "collector_status": f"""
+WITH {_TRADES_IN} SELECT 'trades' AS stream, status, count(*) AS n, count(*) FILTER (status = 'valid') AS n_fresh, 0::BIGINT AS n_spreads FROM said GROUP BY status
+UNION ALL SELECT * FROM (WITH {_QUOTES_IN} SELECT 'quotes', status, count(*), count(*) FILTER (status = 'valid'), count(*) FILTER (status = 'valid' AND spread IS NOT NULL) FROM said GROUP BY status)
+UNION ALL SELECT * FROM (WITH {_CRYPTO_IN} SELECT 'crypto', status, count(*), count(*) FILTER (status = 'valid'), 0::BIGINT FROM said GROUP BY status)
+UNION ALL SELECT * FROM (WITH {_NEWS_IN} SELECT 'news', status, count(*), count(*) FILTER (status = 'valid'), 0::BIGINT FROM said GROUP BY status)""",
+    "collector_log": f"""
+WITH {_QUOTES_IN}
+SELECT frame, item, concat_ws(' ', 'QUOTES', upper(status), CASE WHEN status <> 'invalid' THEN 'symbol=' || upper({_SYMBOL}) || ' id=' || upper({_SYMBOL}) || '|' || t END,
+       CASE WHEN status = 'valid' AND spread IS NOT NULL THEN 'spread=' || printf('%.4f', spread) END, CASE WHEN status = 'valid' THEN 'freshness=' || format('{{:,.3f}}', at0 - epoch_us(date_trunc('hour', ts)) / 1000000.0) END,
+       CASE WHEN codes <> '' THEN 'errors=' || replace(codes, ';', ',') END) AS line FROM said""",
+    "trade_frames": f"""
+WITH {_TRADES_IN}
+SELECT id AS trade_id, upper({_SYMBOL}) AS symbol, round(value * CASE WHEN event_id % 11 = 4 THEN 10 ELSE user_id % 100 + 1 END, 8) AS trade_value, round((at0 - epoch_us(ts) / 1000000.0) * 1000, 3) AS latency_ms,
+       round(at0 - epoch_us(ts) / 1000000.0, 6) AS freshness_seconds FROM said WHERE status = 'valid'""",
+    "news_pipeline": """
+WITH RECURSIVE o AS (SELECT event_id, user_id, event_type, date_trunc('second', ts) AS told, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('second', ts), event_id) AS rn FROM events WHERE event_id % 13 <> 0),
+r AS (SELECT *, told AS seen, true AS accepted FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.*, CASE WHEN o.told >= r.seen + INTERVAL 12 HOUR THEN o.told ELSE r.seen END, o.told >= r.seen + INTERVAL 12 HOUR
+      FROM r JOIN o ON o.user_id = r.user_id AND o.event_type = r.event_type AND o.rn = r.rn + 1)
+SELECT event_id, event_type AS title, 'https://e.example/' || user_id AS url, epoch_us(told) AS time_published FROM r WHERE accepted""",
     "dedup_trade_id": """
 WITH r AS (SELECT (l_orderkey * 8 + l_linenumber)::BIGINT AS trade_id, l_extendedprice AS price,
-                  rank() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_extendedprice, l_quantity::BIGINT) AS k FROM lineitem WHERE l_linenumber <> 7)
+                  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_extendedprice, l_quantity::BIGINT) AS k FROM lineitem WHERE l_linenumber <> 7)
 SELECT trade_id, count(*) AS n_first, min(price) AS price FROM r WHERE k = 1 GROUP BY 1""",
     "dedup_quote_key": f"""
 SELECT event_id, row_number() OVER (PARTITION BY {_SYMBOL}, date_trunc('hour', ts) ORDER BY event_id) > 1 AS is_duplicate FROM events""",
@@ -146,7 +210,9 @@ SELECT source AS run_id, count(*) AS articles_fetched, count(*) FILTER (status =
        coalesce(round(avg((doc_id % 256) / 64.0) FILTER (status = 'valid'), 4), 0.0) AS freshness_seconds_mean,
        coalesce(round(avg((doc_id % 32) / 8.0) FILTER (status = 'invalid'), 4), 0.0) AS violation_detection_ms_mean
 FROM ({_checked('news')}) GROUP BY 1""",
-    "news_publish": f"SELECT source AS run_id, count(*)::INTEGER AS n_articles FROM ({_checked('news')}) WHERE status = 'valid' GROUP BY 1",
+    "news_publish": f"""
+WITH {_NEWS_IN}
+SELECT source AS run_id, count(*)::INTEGER AS n_articles, arg_min('doc ' || lang || ' ' || sha256(text), doc_id) AS first_title FROM said WHERE status = 'valid' GROUP BY 1""",
     "symbol_upper_valid": r"""
 SELECT name, regexp_full_match(name, '[.-]*\p{L}[\p{L}.-]*') AS valid, upper(name) AS symbol FROM (SELECT n_name AS name FROM nation UNION ALL SELECT p_name FROM part)""",
     "iso_truncate": """

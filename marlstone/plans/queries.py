@@ -153,15 +153,65 @@ def dlq_union(s: SparkSession, d: str) -> DataFrame:
     return value.select(F.get_json_object(F.col("value").cast("string"), "$.error").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _collected(frames: DataFrame, stream: str) -> tuple[DataFrame, Callable]:
+    """Every message that a collector received: what became of it, and what its event says."""
+    got = pipelines.collect(frames, stream, ["frame"], "at")
+    said = lambda key, kind: F.get_json_object("event", f"$.{key}").cast(kind)
+    out = got.select("frame", "item", "status", F.concat_ws(";", F.array_sort("codes")).alias("codes"), F.round("freshness_seconds", 6).alias("freshness_seconds"), said("S", "string").alias("symbol"), "spread", "event")
+    return out, said
+
+
 def collector_trades(s: SparkSession, d: str) -> DataFrame:
-    """Status of each trade message as the collector sees it, quality by stream."""
-    status = pipelines.collect(a.event_trades(s, d).withColumn("arrival_ts", a.instant("ts")), "trades", ["event_id"], "arrival_ts")
-    return status.groupBy("stream", "status").agg(F.count(F.lit(1)).alias("n"))
+    """Each trade message of the frames, with arrays, other messages and repeats among them, and its event's fields."""
+    out, said = _collected(a.equity_frames(a.event_trades(s, d, repeats=True)), "trades")
+    ingest = F.round(said("ingest_timestamp", "double"), 6)
+    return out.select("frame", "item", "status", "codes", "freshness_seconds", "symbol", said("i", "long").alias("trade_id"), said("p", "double").alias("price"), said("s", "long").alias("size"), ingest.alias("ingest_timestamp"))
+
+
+def collector_quotes(s: SparkSession, d: str) -> DataFrame:
+    out, said = _collected(a.equity_frames(a.event_quotes(s, d, repeats=True)), "quotes")
+    return out.select("frame", "item", "status", "codes", "freshness_seconds", "symbol", "spread", said("spread", "double").alias("event_spread"), said("as", "long").alias("ask_size"), said("t", "string").alias("t"))
 
 
 def collector_crypto(s: SparkSession, d: str) -> DataFrame:
-    status = pipelines.collect(a.event_crypto(s, d).withColumn("arrival_ts", a.instant("ts")), "crypto", ["event_id"], "arrival_ts")
-    return status.groupBy("stream", "status").agg(F.count(F.lit(1)).alias("n"))
+    """Each match, in its product's sequence, against the memory of two ids."""
+    messages = a.event_crypto(s, d, repeats=True).select(F.col("event_id").alias("frame"), a.instant("ts").alias("at"), "value")
+    out, said = _collected(messages, "crypto")
+    return out.select("frame", "status", "codes", "freshness_seconds", said("product_id", "string").alias("product_id"), said("trade_id", "long").alias("trade_id"), said("price", "string").alias("price"), said("side", "string").alias("side"))
+
+
+def collector_news(s: SparkSession, d: str) -> DataFrame:
+    out, said = _collected(a.news_frames(a.document_news(s, d)), "news")
+    return out.select("frame", "item", "status", "codes", "freshness_seconds", said("url", "string").alias("url"), said("overall_sentiment_score", "double").alias("score"), said("overall_sentiment_label", "string").alias("label"))
+
+
+def collector_status(s: SparkSession, d: str) -> DataFrame:
+    """The four collectors' rows by stream and status, as the metrics count them."""
+    lanes = [
+        pipelines.collect(a.equity_frames(a.event_trades(s, d, repeats=True)), "trades", ["frame"], "at"), pipelines.collect(a.equity_frames(a.event_quotes(s, d, repeats=True)), "quotes", ["frame"], "at"),
+        pipelines.collect(a.event_crypto(s, d, repeats=True).select(F.col("event_id").alias("frame"), a.instant("ts").alias("at"), "value"), "crypto", ["frame"], "at"),
+        pipelines.collect(a.news_frames(a.document_news(s, d)), "news", ["frame"], "at"),
+    ]
+    rows = parse.union_dead_letters(*(pipelines.status_rows(x, F.col("frame"), "at") for x in lanes))
+    return rows.groupBy("stream", "status").agg(F.count(F.lit(1)).alias("n"), F.count("freshness_seconds").alias("n_fresh"), F.count("spread").alias("n_spreads"))
+
+
+def collector_log(s: SparkSession, d: str) -> DataFrame:
+    """The lines that a collector of quotes writes about its messages."""
+    return pipelines.log_lines(pipelines.collect(a.equity_frames(a.event_quotes(s, d, repeats=True)), "quotes", ["frame"], "at"), "frame")
+
+
+def trade_frames(s: SparkSession, d: str) -> DataFrame:
+    """The trades that collectors publish, read by the pipeline: one row for each valid event."""
+    events = pipelines.valid_events(pipelines.collect(a.equity_frames(a.event_trades(s, d, repeats=True)), "trades", ["frame"], "at"))
+    main, _ = pipelines.build(events, "trades")
+    return main.select("trade_id", "symbol", "trade_value", "latency_ms", F.round("freshness_seconds", 6).alias("freshness_seconds"))
+
+
+def news_pipeline(s: SparkSession, d: str) -> DataFrame:
+    """Stories told again within 12 hours of the last accepted telling are left out."""
+    main, _ = pipelines.build(a.event_news(s, d), "news", dedup_by="time_published")
+    return main.select(F.col("summary").cast("long").alias("event_id"), "title", "url", _micros("time_published"))
 
 
 def dedup_trade_id(s: SparkSession, d: str) -> DataFrame:
@@ -201,10 +251,11 @@ def news_run_metrics(s: SparkSession, d: str) -> DataFrame:
 
 
 def news_publish(s: SparkSession, d: str) -> DataFrame:
-    """One array message for each run, of its valid articles: how many it holds."""
-    checked = contracts.check(parse.parse_messages(a.document_news(s, d)), "news").filter("status = 'valid'")
-    batch = parse.batch_message(checked.select("run_id", "doc_id"), "run_id")
-    return batch.select("run_id", F.json_array_length(F.col("value").cast("string")).alias("n_articles"))
+    """One array message for each run, of its valid articles: how many it holds, and the first and last one's address."""
+    events = pipelines.collect(a.news_frames(a.document_news(s, d)), "news", ["frame"], "at")
+    batch = parse.batch_events(events, "run_id", ["frame", "item"])
+    text = F.col("value").cast("string")
+    return batch.select("run_id", F.json_array_length(text).alias("n_articles"), F.get_json_object(text, "$[0].title").alias("first_title"))
 
 
 def symbol_upper_valid(s: SparkSession, d: str) -> DataFrame:
@@ -229,7 +280,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         trade_value, trade_summary, trade_latency, trade_dead_letters, quote_spread, crypto_normalise, news_explode, news_topics, news_dedup_key, news_first_seen,
         dedup_12h, dedup_session, session_12h, throughput_rolling, throughput_now, hourly_quality, lifetime_totals, freshness_last, detection_last, spread_last,
-        stream_snapshot, metrics_union_streams, contract_violation_counts, dlq_union, collector_trades, collector_crypto, dedup_trade_id, dedup_quote_key, dedup_either,
+        stream_snapshot, metrics_union_streams, contract_violation_counts, dlq_union, collector_trades, collector_quotes, collector_crypto, collector_news, collector_status, collector_log, trade_frames, news_pipeline, dedup_trade_id, dedup_quote_key, dedup_either,
         sentiment_distribution, sentiment_scale, news_run_metrics, news_publish, symbol_upper_valid, iso_truncate, compact_ts,
     )
 } | {

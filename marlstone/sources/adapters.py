@@ -64,9 +64,13 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(body.alias("value"))
 
 
-def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trade for each event, with its id, ingested event_id % 1000 ms later; faults by event_id % 11."""
-    fault = F.col("event_id") % 11
+def event_trades(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFrame:
+    """A trade for each event, with its id, ingested event_id % 1000 ms later; faults by event_id % 11.
+
+    repeats: where event_id % 7 is 3, the trade has the id of the third event before.
+    """
+    fault, k = F.col("event_id") % 11, F.col("event_id")
+    trade_id = F.when(k % 7 == 3, k - 3).otherwise(k) if repeats else k
     body = _object(
         {
             "p": F.when(fault == 1, None).when(fault == 2, F.lit('"1.5d"')).when(fault == 3, F.lit("-1.0")).otherwise(number(F.col("value"))),
@@ -74,37 +78,89 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
             "S": F.when(fault == 6, F.lit('"A1"')).otherwise(quoted(F.regexp_replace("event_type", "[^A-Za-z]", ""))),
             "T": F.lit('"t"'),
         },
-        i=F.col("event_id"), x=F.lit("V"), t=F.when(fault == 7, F.lit("2025")).otherwise(iso("ts")),
+        i=trade_id, x=F.lit("V"), t=F.when(fault == 7, F.lit("2025")).otherwise(iso("ts")),
         ingest_timestamp=F.when(F.col("event_id") % 10 != 0, epoch_micros("ts") / 1e6 + (F.col("event_id") % 1000) / 1000.0),
     )
     return spread(table(spark, sf_dir, "events")).select("event_id", "ts", F.when(fault == 8, F.lit("not json").cast("binary")).otherwise(body).alias("value"))
 
 
-def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A quote for each event; every fifth has no bid, every thirteenth a negative ask size."""
+def event_quotes(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFrame:
+    """A quote for each event; every fifth has no bid, every thirteenth a negative ask size.
+
+    repeats: quotes bear the hour of their event, even ones with a Z and odd ones with the offset spelt out.
+    """
     e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
+    hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    at = F.concat(hour, F.when(k % 2 == 0, "Z").otherwise("+00:00")) if repeats else iso("ts")
     bid = F.when(k % 5 == 0, F.lit(0.0)).otherwise(F.round(F.col("value"), 2))
     body = _object(
         {"S": quoted(F.regexp_replace("event_type", "[^A-Za-z]", "")), "T": F.lit('"q"'), "as": F.when(k % 13 == 0, F.lit("-1")).otherwise(F.lit("3"))},
-        bx=F.lit("V"), bp=bid, bs=k % 9, ax=F.lit("W"), ap=F.round(F.col("value"), 2) + (k % 7 - 3) / 4.0, c=F.array(F.lit("R")), z=F.lit("C"), t=iso("ts"),
+        bx=F.lit("V"), bp=bid, bs=k % 9, ax=F.lit("W"), ap=F.round(F.col("value"), 2) + (k % 7 - 3) / 4.0, c=F.array(F.lit("R")), z=F.lit("C"), t=at,
     )
     return e.select("event_id", "ts", body.alias("value"))
 
 
-def event_crypto(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A match for each event; faults by event_id % 9, every fourteenth a heartbeat."""
+def event_crypto(spark: SparkSession, sf_dir: str, repeats: bool = False) -> DataFrame:
+    """A match for each event; faults by event_id % 9, every fourteenth a heartbeat.
+
+    repeats: each four events from a multiple of four on are of one product; the second has the trade id of the first,
+    the third the sequence of the second.
+    """
     e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
-    fault = k % 9
+    fault, four = k % 9, F.floor(k / 4)
+    product = F.concat(F.upper(F.regexp_replace("event_type", "[^A-Za-z]", "")), F.lit("-USD"))
+    trade_id, sequence = k + 1, k * 2
+    if repeats:
+        product = F.concat(F.element_at(F.array(*map(F.lit, "ABC")), (four % 3 + 1).cast("int")), F.lit("-USD"))
+        trade_id, sequence = F.when(k % 4 == 1, k).otherwise(k + 1), F.when(k % 4 == 2, k * 2 - 2).otherwise(k * 2)
     body = _object(
         {"price": F.when(fault == 1, number(F.col("value"))).when(fault == 2, F.lit('"0"')).otherwise(quoted(F.round(F.col("value"), 2)))},
-        type=F.when(k % 14 == 0, F.lit("heartbeat")).when(k % 2 == 0, F.lit("match")).otherwise(F.lit("last_match")), trade_id=k + 1, sequence=k * 2,
-        product_id=F.when(fault == 3, F.lit("1INCH-USD")).otherwise(F.concat(F.upper(F.regexp_replace("event_type", "[^A-Za-z]", "")), F.lit("-USD"))),
+        type=F.when(k % 14 == 0, F.lit("heartbeat")).when(k % 2 == 0, F.lit("match")).otherwise(F.lit("last_match")), trade_id=trade_id, sequence=sequence,
+        product_id=F.when(fault == 3, F.lit("1INCH-USD")).otherwise(product),
         size=((F.col("user_id") % 8 + 1) / 8.0).cast("string"), side=F.when(fault == 4, F.lit("hold")).when(k % 3 == 0, F.lit("buy")).otherwise(F.lit("sell")),
         time=F.when(fault == 5, F.lit("T19:41")).otherwise(iso("ts")), ingest_timestamp=F.when(fault != 6, epoch_micros("ts") / 1e6 + 0.25),
     )
     return e.select("event_id", "ts", body.alias("value"))
 
 
+def equity_frames(messages: DataFrame) -> DataFrame:
+    """Messages of events as a socket's frames: frame (the first event's id), at (its last event's time) and value.
+
+    Each three events from a multiple of three on are an array; every tenth of these starts with a message of another
+    type. Where event_id % 15 is 12 or more, and where a message is no object, it is a frame by itself. Each event whose id is a
+    multiple of 150 is followed by an empty array.
+    """
+    k, text = F.col("event_id"), F.col("value").cast("string")
+    three, alone = F.floor(k / 3), (k % 15 >= 12) | ~text.startswith("{")
+    said = messages.groupBy(three.alias("three"), F.when(alone, k).alias("one")).agg(
+        F.min(k).alias("frame"), F.max(instant("ts")).alias("at"), F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), text.alias("text")))), lambda x: x["text"]).alias("texts")
+    )
+    first = F.when(F.col("three") % 10 == 0, F.lit('{"T":"subscription"},')).otherwise(F.lit(""))
+    value = F.when(F.col("one").isNotNull(), F.col("texts")[0]).otherwise(F.concat(F.lit("["), first, F.array_join("texts", ","), F.lit("]")))
+    empty = messages.filter(k % 150 == 0).select(k.alias("frame"), instant("ts").alias("at"), F.lit("[]").cast("binary").alias("value"))
+    return said.select("frame", "at", value.cast("binary").alias("value")).unionByName(empty)
+
+
+def news_frames(messages: DataFrame) -> DataFrame:
+    """Articles of documents as polls' replies: frame (the first document's id), run_id, at and value, the array of the
+    articles of one source among eight documents."""
+    k, text = F.col("doc_id"), F.col("value").cast("string")
+    said = messages.groupBy(F.floor(k / 8).alias("eight"), "run_id").agg(F.min(k).alias("frame"), F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), text.alias("text")))), lambda x: x["text"]).alias("texts"))
+    value = F.concat(F.lit("["), F.array_join("texts", ","), F.lit("]")).cast("binary")
+    return said.select("frame", "run_id", F.timestamp_micros(F.lit(1_773_600_117_000_000) + (F.col("frame") % 256) * 15_625).alias("at"), value.alias("value"))
+
+
+def event_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An article for each event: one story for each user and type, published at its time, told by the event's id; every
+    thirteenth has no usable time."""
+    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
+    body = _object(
+        {}, title=F.col("event_type"), url=F.concat(F.lit("https://e.example/"), F.col("user_id").cast("string")), time_published=F.when(k % 13 == 0, "soon").otherwise(compact("ts")),
+        summary=F.lpad(k.cast("string"), 12, "0"), source=F.lit("events"),
+    )
+    return e.select("event_id", body.alias("value"))
+
+
 def document_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An article for each document, as a message of its own; faults by doc_id % 8; its run is its source."""
     d, k = table(spark, sf_dir, "documents"), F.col("doc_id")

@@ -6,8 +6,11 @@ anywhere. Keys and secrets come only from options; nothing has a default.
 
 from __future__ import annotations
 
+import base64
 import importlib
 import json
+import queue
+import threading
 import time
 import urllib.error
 import urllib.parse
@@ -15,6 +18,7 @@ import urllib.request
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
@@ -64,31 +68,34 @@ def http_get(options: dict) -> Iterator[bytes]:
 
 
 def web_socket(options: dict) -> Iterator[bytes]:
-    """The transport of web sockets: greets, skips the replies to the greetings, and yields frames for a while.
+    """The transport of web sockets: yields frames as long as it is asked for more, over one connection while that lasts.
 
-    A lost connection is opened anew after a pause; it needs the websockets package.
+    `welcome` frames are awaited first; then each greeting is sent and its reply awaited. A lost connection is opened
+    anew after a pause; it needs the websockets package.
     """
     try:
         from websockets.exceptions import WebSocketException
         from websockets.sync.client import connect
     except ImportError as e:
         raise RuntimeError("web sockets need the websockets package on the driver") from e
-    until = time.monotonic() + float(options.get("seconds", 1))
-    greetings, skip = json.loads(options["greetings"]), int(options.get("skip", 1))
-    while time.monotonic() < until:
+    while True:
         try:
             with connect(options["url"], ping_interval=PING_SECONDS, ping_timeout=PONG_SECONDS) as socket:
-                for g in greetings:
-                    socket.send(json.dumps(g))
-                for _ in range(skip):
-                    socket.recv()
-                while (left := until - time.monotonic()) > 0:
-                    frame = socket.recv(timeout=left)
+                greet(socket, json.loads(options["greetings"]), int(options.get("welcome", 0)))
+                for frame in socket:
                     yield frame if isinstance(frame, bytes) else frame.encode()
-        except TimeoutError:
-            return
         except (WebSocketException, OSError):
-            time.sleep(min(RECONNECT_SECONDS, max(0.0, until - time.monotonic())))
+            pass
+        time.sleep(RECONNECT_SECONDS)
+
+
+def greet(socket, greetings: list[dict], welcome: int) -> None:
+    """What is said before the frames: each greeting waits for what came before it."""
+    for _ in range(welcome):
+        socket.recv()
+    for g in greetings:
+        socket.send(json.dumps(g))
+        socket.recv()
 
 
 def _transport(options: dict, default: str):
@@ -96,29 +103,110 @@ def _transport(options: dict, default: str):
     return getattr(importlib.import_module(module), name)
 
 
+class FrameLog:
+    """Frames that were read, in files of a folder that outlives the reader: one file for each micro-batch's range.
+
+    The folder is a path or a URI of any file system that pyarrow knows, so that a restarted driver finds it again.
+    """
+
+    def __init__(self, path: str):
+        self.fs, self.path = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+        self.fs.create_dir(self.path, recursive=True)
+
+    def files(self) -> list[tuple[int, int, str]]:
+        found = [(f.base_name.removesuffix(".json").split("-"), f.path) for f in self.fs.get_file_info(pafs.FileSelector(self.path)) if f.base_name.endswith(".json")]
+        return sorted((int(a), int(b), p) for (a, b), p in found)
+
+    def write(self, start: int, rows: list[tuple]) -> None:
+        place = f"{self.path}/{start:020d}-{start + len(rows):020d}"
+        with self.fs.open_output_stream(place + ".part") as out:
+            out.write(json.dumps([[base64.b64encode(bytes(m)).decode(), at] for m, at in rows]).encode())
+        self.fs.move(place + ".part", place + ".json")
+
+    def read(self, start: int, end: int) -> list[tuple]:
+        out = []
+        for a, b, path in self.files():
+            if a < end and b > start:
+                with self.fs.open_input_stream(path) as f:
+                    rows = json.loads(f.read())
+                out += [(bytearray(base64.b64decode(m)), at) for m, at in rows[max(0, start - a) : end - a]]
+        return out
+
+    def forget(self, end: int) -> None:
+        for _, b, path in self.files():
+            if b <= end:
+                self.fs.delete_file(path)
+
+
 class _FeedReader(SimpleDataSourceStreamReader):
-    """Each micro-batch is what the transport yields at the time; Spark keeps it until it is committed."""
+    """Each micro-batch is what the transport has yielded since the last one.
+
+    The transport runs in a thread of its own and keeps its connection from batch to batch; a transport that ends, like
+    a poll, is started again at the next batch. With the option "log", frames are written there before they are
+    handed on, and a batch that was planned but not committed when a query died is read from there when it starts again.
+    Without it such a batch comes back empty: its frames are lost, and the query goes on.
+    """
 
     def __init__(self, options: dict, default: str, flatten):
         self.options, self.default, self.flatten = dict(options), default, flatten
+        self._open()
+
+    def _open(self) -> None:
+        self.log = FrameLog(self.options["log"]) if "log" in self.options else None
+        self.frames: queue.Queue = queue.Queue()
+        self.thread: threading.Thread | None = None
+        self.failed: BaseException | None = None
+
+    def __getstate__(self) -> tuple:
+        """Executors get the reader too, to read what was planned; the connection stays behind."""
+        return self.options, self.default, self.flatten
+
+    def __setstate__(self, state: tuple) -> None:
+        self.options, self.default, self.flatten = state
+        self._open()
 
     def initialOffset(self) -> dict:
         return {"n": 0}
 
+    def _run(self) -> None:
+        try:
+            for frame in _transport(self.options, self.default)(self.options):
+                self.frames.put((frame, time.time()))
+        except BaseException as e:  # noqa: BLE001  raised again where the batch is read
+            self.failed = e
+
+    def _drain(self) -> Iterator[tuple[bytes, float]]:
+        """What has come; waits `seconds` (1) for frames while the transport lives."""
+        if self.thread is None or not self.thread.is_alive():
+            self.thread = threading.Thread(target=self._run, daemon=True)
+            self.thread.start()
+        until = time.monotonic() + float(self.options.get("seconds", 1))
+        self.thread.join(max(0.0, until - time.monotonic()))
+        while not self.frames.empty():
+            yield self.frames.get()
+        if self.failed is not None:
+            e, self.failed = self.failed, None
+            raise e
+
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        at = time.time()
-        rows = [(m, at) for frame in _transport(self.options, self.default)(self.options) for m in self.flatten(frame)]
+        # planned but never handed to a batch, so in no offset that Spark knows
+        rows = self.log.read(start["n"], 1 << 62) if self.log else []
+        new = [(m, at) for frame, at in self._drain() for m in self.flatten(frame)]
+        if new and self.log:
+            self.log.write(start["n"] + len(rows), new)
+        rows += new
         return iter(rows), {"n": start["n"] + len(rows)}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        raise RuntimeError("a live feed can't be read again; messages of a lost batch are lost")
+        return iter(self.log.read(start["n"], end["n"]) if self.log else [])
 
     def commit(self, end: dict) -> None:
-        pass
+        if self.log:
+            self.log.forget(end["n"])
 
 
 class FrameFeed(DataSource):
-    """Format "marlstone_frames": a row for each frame of a web socket. Options: url, greetings (JSON), skip, seconds, transport."""
+    """Format "marlstone_frames": a row for each frame of a web socket. Options: url, greetings (JSON), welcome, seconds, log, transport."""
 
     @classmethod
     def name(cls) -> str:
@@ -132,7 +220,7 @@ class FrameFeed(DataSource):
 
 
 class NewsFeed(DataSource):
-    """Format "marlstone_news": a row for each poll that found articles, a JSON array. Options: url, key, minutes, transport."""
+    """Format "marlstone_news": a row for each poll that found articles, a JSON array. Options: url, key, minutes, log, transport."""
 
     @classmethod
     def name(cls) -> str:

@@ -108,7 +108,7 @@ def test_snapshot_and_text(spark):
     t = rows["trades"]
     assert (t["total_received"], t["window_received"], t["throughput_msgs_per_sec"], t["freshness_at_ingestion_seconds_mean"]) == (5, 4, round(1 / 60, 4), 1.0)
     text = exposition.render_streams(rows)
-    assert "# HELP coinbase_collector_total_received_total Lifetime messages received\n# TYPE coinbase_collector_total_received_total counter\ncoinbase_collector_total_received_total 2\n" in text
+    assert "# HELP coinbase_collector_total_received_total Messages received since the start\n# TYPE coinbase_collector_total_received_total counter\ncoinbase_collector_total_received_total 2\n" in text
     assert text.count("# TYPE") == 7 + 5 + 6 + 5 and "coinbase_collector_mean_bid_ask_spread" not in text
     empty = metrics.snapshot(status(spark, ROWS), F.timestamp_seconds(F.lit(90_000.0))).filter("stream = 'crypto'").first()
     assert (empty.schema_compliance_rate, empty.duplicate_rate, empty.window_received) == (1.0, 0.0, 0)

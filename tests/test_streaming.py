@@ -73,8 +73,7 @@ def test_feeds(spark, tmp_path):
     reader = feeds.NewsFeed({"transport": "test_streaming:played", "frames": json.dumps(['{"feed": [{"title": "T"}]}', "oops"])}).simpleStreamReader(None)
     rows, end = reader.read(reader.initialOffset())
     assert [json.loads(bytes(v)) for v, _ in rows] == [[{"title": "T"}]] and end == {"n": 1}
-    with pytest.raises(RuntimeError):
-        reader.readBetweenOffsets({"n": 0}, end)
+    assert list(reader.readBetweenOffsets({"n": 0}, end)) == []  # without a log a lost batch is empty, and the query goes on
     feeds.register(spark)
 
 
