@@ -106,15 +106,16 @@ def event_crypto(spark: SparkSession, sf_dir: str, repeats: bool = False) -> Dat
     repeats: each four events from a multiple of four on are of one product; the second has the trade id of the first,
     the third the sequence of the second.
     """
-    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
-    fault, four = k % 9, F.floor(k / 4)
-    product = F.concat(F.upper(F.regexp_replace("event_type", "[^A-Za-z]", "")), F.lit("-USD"))
+    k = F.col("event_id")
+    e = spread(table(spark, sf_dir, "events")).withColumns({"fault": k % 9, "in_four": k % 4, "letters": F.regexp_replace("event_type", "[^A-Za-z]", ""), "amount": F.round(F.col("value"), 2)})
+    fault, place = F.col("fault"), F.col("in_four")
+    product = F.concat(F.upper("letters"), F.lit("-USD"))
     trade_id, sequence = k + 1, k * 2
     if repeats:
-        product = F.concat(F.element_at(F.array(*map(F.lit, "ABC")), (four % 3 + 1).cast("int")), F.lit("-USD"))
-        trade_id, sequence = F.when(k % 4 == 1, k).otherwise(k + 1), F.when(k % 4 == 2, k * 2 - 2).otherwise(k * 2)
+        product = F.concat(F.element_at(F.array(*map(F.lit, "ABC")), (F.floor(k / 4) % 3 + 1).cast("int")), F.lit("-USD"))
+        trade_id, sequence = F.when(place == 1, k).otherwise(k + 1), F.when(place == 2, k * 2 - 2).otherwise(k * 2)
     body = _object(
-        {"price": F.when(fault == 1, number(F.col("value"))).when(fault == 2, F.lit('"0"')).otherwise(quoted(F.round(F.col("value"), 2)))},
+        {"price": F.when(fault == 1, number(F.col("value"))).when(fault == 2, F.lit('"0"')).otherwise(quoted(F.col("amount")))},
         type=F.when(k % 14 == 0, F.lit("heartbeat")).when(k % 2 == 0, F.lit("match")).otherwise(F.lit("last_match")), trade_id=trade_id, sequence=sequence,
         product_id=F.when(fault == 3, F.lit("1INCH-USD")).otherwise(product),
         size=((F.col("user_id") % 8 + 1) / 8.0).cast("string"), side=F.when(fault == 4, F.lit("hold")).when(k % 3 == 0, F.lit("buy")).otherwise(F.lit("sell")),
