@@ -1,11 +1,11 @@
-"""Near copies by the exact likeness of their texts: links only where two sets of shingles overlap enough.
+"""Near copies by SimHash, checked: links only where two sets of shingles overlap enough.
 
-Candidates come from MinHash: BANDS keys of DEPTH minima each, and texts that share a key get into one cluster. A pair
-at a likeness of 0.8 shares none with a chance of 3 in a million, at more with less. In a cluster all pairs are compared
-by their minima first, most alike first, and what isn't linked already is then checked on the whole sets.
+Candidates come from the Gray-order index over several fingerprints of each set of shingles (simhash.candidate_links),
+and what they reach of each other is a cluster. In a cluster all pairs are compared by their fingerprints first, the
+nearest first, and what isn't linked already is then checked on the whole sets.
 
-Texts of equal sets are one class from the start. Keys point to their least row, so a key gives as many links as it has
-rows; large clusters are cut into blocks, and each two blocks are compared in a group of their own.
+Texts of equal sets are one class from the start, of which one goes on; large clusters are cut into blocks, and each
+two blocks are compared in a group of their own.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,23 +22,14 @@ from pyspark.sql import types as T
 
 from marlstone.llm._common import fresh, stored
 from marlstone.llm.components import components
-from marlstone.llm.simhash import shingle_hashes
+from marlstone.llm.simhash import FAR, PRINTS, candidate_links, set_prints, shingle_hashes
 
 SHINGLE = 5
 #: Likeness (shared shingles by all shingles of both) from which two texts are linked: 4 / 5.
 NUM, DEN = 4, 5
-BANDS, DEPTH = 32, 5
-SEED = 42
-#: Of two texts at the likeness, more minima are equal but for a chance of about one in a billion.
-LEAST_EQUAL = 96
 #: Texts and shingles of a block, about.
 BLOCK, BLOCK_SHINGLES = 1000, 500_000
-_OWN = ("row_no", "set_id", "n_shingles", "bands", "minima")
-
-_rng = np.random.default_rng(SEED)
-_FACTOR = _rng.integers(0, 1 << 64, BANDS * DEPTH, np.uint64) | np.uint64(1)
-_SHIFT = _rng.integers(0, 1 << 64, BANDS * DEPTH, np.uint64)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_OWN = ("row_no", "set_id", "n_shingles", "prints")
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -47,24 +37,11 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, shingle), np.uint64))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    out = np.full(BANDS * DEPTH, ~np.uint64(0))
-    for at in range(0, len(hashes), 256):
-        np.minimum(out, (hashes[at : at + 256, None] * _FACTOR + _SHIFT).min(0), out=out)
-    return out
-
-
-def band_keys(least: np.ndarray) -> list[int]:
-    raw = least.astype("<u8").tobytes()
-    keys = [xxhash.xxh64_intdigest(raw[8 * DEPTH * b : 8 * DEPTH * (b + 1)], b) for b in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
 def sketches(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """docs with a number for each row and what its text's shingles come to, written once; and the new columns' names."""
     names = {n: fresh(n, docs.columns) for n in _OWN}
-    kinds = (T.LongType(), T.BinaryType(), T.LongType(), T.ArrayType(T.LongType()), T.BinaryType())
-    arrow = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+    kinds = (T.LongType(), T.BinaryType(), T.LongType(), T.BinaryType())
+    arrow = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
     given = docs.withColumn(fresh("text__", docs.columns), F.col(text))
     schema = T.StructType(given.schema.fields[:-1] + [T.StructField(names[n], k) for n, k in zip(_OWN, kinds, strict=True)])
 
@@ -76,9 +53,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> tup
                 out = []
                 for t in batch.column(batch.num_columns - 1).to_pylist():
                     hashes = shingle_set(t, shingle)
-                    least = minima(hashes)
-                    brief = ((least * _MIX) >> np.uint64(56)).astype(np.uint8).tobytes()
-                    out.append((row, hashlib.sha256(hashes.astype("<u8").tobytes()).digest(), len(hashes), band_keys(least), brief))
+                    out.append((row, hashlib.sha256(hashes.astype("<u8").tobytes()).digest(), len(hashes), set_prints(hashes).astype("<u8").tobytes()))
                     row += 1
                 arrays = [pa.array(v, t) for v, t in zip(zip(*out, strict=True), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *names.values()])
@@ -93,26 +68,26 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return shared * (NUM + DEN) >= NUM * len(both)
 
 
-def linked(rows: list[int], parts: list[int], brief: list[bytes], sets: list[bytes], across: bool) -> list[tuple[int, int]]:
+def linked(rows: list[int], parts: list[int], prints: list[bytes], sets: list[bytes], across: bool) -> list[tuple[int, int]]:
     """Links between rows whose sets are alike, enough to reach all that all such links reach; across: only between parts."""
     if len(rows) < 2:
         return []
     whole = [np.frombuffer(s, "<u8") for s in sets]
     sizes, part = np.array([len(s) for s in whole]), np.array(parts)
-    low = np.frombuffer(b"".join(brief), np.uint8).reshape(len(rows), -1)
-    firsts, seconds, equal = [], [], []
+    words = np.frombuffer(b"".join(prints), "<u8").reshape(len(rows), PRINTS)
+    firsts, seconds, apart = [], [], []
     for k in range(len(rows) - 1):
-        same = (low[k + 1 :] == low[k]).sum(1)
+        far = np.bitwise_count(words[k + 1 :] ^ words[k]).sum(1, dtype=np.int16)
         small, large = np.minimum(sizes[k + 1 :], sizes[k]), np.maximum(sizes[k + 1 :], sizes[k])
-        near = (same >= LEAST_EQUAL) & (small * DEN >= large * NUM)
+        near = (far <= FAR) & (small * DEN >= large * NUM)
         if across:
             near &= part[k + 1 :] != part[k]
         at = np.flatnonzero(near)
         firsts.append(np.full(len(at), k, np.int32))
         seconds.append((at + k + 1).astype(np.int32))
-        equal.append(same[at].astype(np.int16))
+        apart.append(far[at])
     a, b = np.concatenate(firsts), np.concatenate(seconds)
-    order = np.argsort(-np.concatenate(equal), kind="stable")
+    order = np.argsort(np.concatenate(apart), kind="stable")
     a, b = a[order], b[order]
     root, out = np.arange(len(rows)), []
     for at in range(0, len(a), 1024):
@@ -126,7 +101,7 @@ def linked(rows: list[int], parts: list[int], brief: list[bytes], sets: list[byt
 
 
 def _checked(members: DataFrame, shingle: int) -> DataFrame:
-    """(a, b) row numbers of alike texts, from (root, blocks, row_no, minima, text)."""
+    """(a, b) row numbers of alike texts, from (root, blocks, row_no, prints, text)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -153,7 +128,7 @@ def _checked(members: DataFrame, shingle: int) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 keys = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True)
-                for key, *values in zip(keys, *(batch.column(c).to_pylist() for c in ("row_no", "part", "minima", "shingles")), strict=True):
+                for key, *values in zip(keys, *(batch.column(c).to_pylist() for c in ("row_no", "part", "prints", "shingles")), strict=True):
                     if key != last:
                         close()
                         last = key
@@ -163,10 +138,10 @@ def _checked(members: DataFrame, shingle: int) -> DataFrame:
         close()
         yield batch_of()
 
-    hashed = members.select("root", "blocks", "row_no", "minima", "text").mapInArrow(sets, "root long, blocks long, row_no long, minima binary, shingles binary")
+    hashed = members.select("root", "blocks", "row_no", "prints", "text").mapInArrow(sets, "root long, blocks long, row_no long, prints binary, shingles binary")
     part = hashed.withColumn("part", F.pmod(F.xxhash64("row_no"), F.col("blocks")))
     dealt = part.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "row_no", "part", "minima", "shingles")
+    dealt = dealt.select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "row_no", "part", "prints", "shingles")
     return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(check, "a long, b long")
 
 
@@ -175,11 +150,9 @@ def near_links(rows: DataFrame, names: dict[str, str], shingle: int = SHINGLE, t
     given = rows.select(*(F.col(names[n]).alias(n) for n in _OWN), F.col(text).alias("text"))
     classes = stored(given.groupBy("set_id").agg(F.min("row_no").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "classes")
     equal = stored(given.select("set_id", F.col("row_no").alias("a")).join(classes, "set_id").filter("a <> b").select("a", "b"), "equal")
-    keyed = given.select("row_no", "bands").join(equal, F.col("row_no") == F.col("a"), "left_anti").select("row_no", F.explode("bands").alias("key"))
-    keyed = stored(keyed, "keyed")
-    shared = stored(keyed.groupBy("key").agg(F.min("row_no").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "shared")
-    clusters = stored(components(keyed.join(shared, "key").select(F.col("row_no").alias("a"), "b")), "clusters")
-    found = given.select("row_no", "n_shingles", "minima", "text").join(clusters.withColumnRenamed("node", "row_no"), "row_no")
+    alone = stored(given.select("row_no", "prints").join(equal, F.col("row_no") == F.col("a"), "left_anti").select("row_no", "prints"), "prints")
+    clusters = stored(components(candidate_links(alone, alone.count())), "clusters")
+    found = given.select("row_no", "n_shingles", "prints", "text").join(clusters.withColumnRenamed("node", "row_no"), "row_no")
     found = stored(found, "members")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
     # clusters of one block are left out, so what is broadcast is far smaller than the documents

@@ -37,7 +37,15 @@ MOST_NODES = 1 << 18
 FAN = 8
 #: Queries that are searched at a time.
 CHUNK = 1024
-_HALF = np.uint64(32)
+
+#: For likeness below what a few bits tell: PRINTS fingerprints of a set of shingles, under seeds of their own, each cut
+#: into sections of SECTION bits. Sets are candidates if in one section at most SLACK bits differ, in that fingerprint at
+#: most REACH, and in all of them together at most FAR. Two sets at a likeness of 0.8 differ in each bit with a chance
+#: of 0.15, so they fulfil one section with one of 0.28, and miss all sixteen with one of 0.005.
+PRINTS, SECTION, SLACK, REACH, FAR = 4, 16, 1, 24, 64
+#: Fingerprints that are dealt at a time, and members of a node that are joined by a common neighbour before the search.
+DEAL, DENSE = 1 << 16, 512
+_GOLDEN, _M1, _M2 = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> list[int]:
@@ -59,11 +67,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     hashes = shingle_hashes(text, shingle, seed)
     if not hashes:
         return 0
-    raw = np.array(hashes, np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(raw), 8192):
-        ones += np.unpackbits(raw[at : at + 8192], axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return _ones(np.array(hashes, np.uint64))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -104,9 +108,10 @@ class GrayIndex:
             self.levels.append((p, m & ~above))
         self.levels.reverse()
 
-    def search(self, queries: np.ndarray, bits: int, upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(self, queries: np.ndarray, bits: int, upper: int, top: int = 32) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places in queries, places in patterns) of all pairs that differ in at most `bits` of the masked bits, and in
-        at most `upper` of those in the upper half."""
+        at most `upper` of those among the `top` uppermost bits, the upper half."""
+        below = np.uint64(64 - top)
         for at in range(0, len(queries), CHUNK):
             part = queries[at : at + CHUNK]
             q, node = np.arange(len(part)), np.zeros(len(part), np.int64)
@@ -120,7 +125,7 @@ class GrayIndex:
                         there = node < len(pattern)
                         q, far, high, node = q[there], far[there], high[there], node[there]
                 apart = (part[q] ^ pattern[node]) & mask[node]
-                far, high = far + np.bitwise_count(apart), high + np.bitwise_count(apart >> _HALF)
+                far, high = far + np.bitwise_count(apart), high + np.bitwise_count(apart >> below)
                 near = (far <= bits) & (high <= upper)
                 q, node, far, high = q[near], node[near], far[near], high[near]
             yield q + at, node
@@ -222,6 +227,131 @@ def _half_links(prints: DataFrame, count: int, bits: int, node: int) -> DataFram
     return dealt.groupBy("node").applyInArrow(search, "a long, b long")
 
 
+def _ones(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes."""
+    raw = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(raw), 8192):
+        ones += np.unpackbits(raw[at : at + 8192], axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def set_prints(hashes: np.ndarray) -> np.ndarray:
+    """PRINTS fingerprints of a set of 64-bit hashes; zeros for the empty set."""
+    out = np.zeros(PRINTS, np.uint64)
+    for s in range(PRINTS if len(hashes) else 0):
+        x = hashes + np.uint64(s * _GOLDEN % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * _M1
+        x = (x ^ (x >> np.uint64(27))) * _M2
+        out[s] = _ones(x ^ (x >> np.uint64(31)))
+    return out
+
+
+def _turned(codes: np.ndarray, by: int) -> np.ndarray:
+    return (codes << np.uint64(by)) | (codes >> np.uint64(64 - by)) if by else codes
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = np.arange(len(root))
+    return _roots(np.concatenate([a, n]), np.concatenate([b, root]), len(root))
+
+
+def node_roots(codes: np.ndarray, words: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The least reachable place for each place of a node, over candidates of which one at least is the node's own.
+
+    What is near a common neighbour is joined first, where that is much of the node; inside such a group nothing is
+    searched, and between two groups only until they meet. So a large group of near copies doesn't cost all its pairs.
+    """
+    root, group = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    apart = lambda a, b: np.bitwise_count(words[a] ^ words[b]).sum(-1, dtype=np.int64)
+    left = np.arange(len(codes))
+    while len(left) >= DENSE:
+        tried = [apart(left, k) <= FAR for k in left[:: max(1, len(left) // 8)]]
+        best = max(tried, key=np.count_nonzero)
+        if np.count_nonzero(best) < DENSE:
+            break
+        group[left[best]] = group.max() + 1
+        root[left[best]] = left[best].min()
+        left = left[~best]
+
+    def pairs(members: np.ndarray, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(members) and len(queries):
+            members = members[np.argsort(gray_rank(codes[members]), kind="stable")]
+            index = GrayIndex(codes[members], np.full(len(members), ~np.uint64(0)))
+            for q, m in index.search(codes[queries], REACH, SLACK, SECTION):
+                a, b = queries[q], members[m]
+                near = a != b
+                near[near] = apart(a[near], b[near]) <= FAR
+                yield a[near], b[near]
+
+    mine = [np.flatnonzero(own & (group == g)) for g in range(group.max() + 1)]
+    everyone = [np.flatnonzero(group == g) for g in range(len(mine))]
+    for members, queries in [(np.flatnonzero(own), everyone[0]), *((mine[0], q) for q in everyone[1:])]:
+        for a, b in pairs(members, queries):
+            root = _joined(root, a, b)
+    for g in range(1, len(mine)):
+        for h in range(1, len(mine)):
+            if g != h and root[everyone[g][0]] != root[everyone[h][0]]:
+                for a, b in pairs(mine[g], everyone[h]):
+                    if len(a):
+                        root = _joined(root, a[:1], b[:1])
+                        break
+    return root
+
+
+def candidate_links(prints: DataFrame, count: int, node: int = NODE) -> DataFrame:
+    """(a, b) row numbers, linked so that the same are reachable as over all candidates.
+
+    prints: (row_no, prints), the bytes of set_prints. Each section has an index of its own, whose top are the prefixes
+    of a depth that leaves about `node` in each; a print goes to its own prefix and to those after it that differ in
+    SLACK bit, all prints of a batch for one prefix in one row. Each prefix is searched through a tree of its own.
+    """
+    depth = min(SECTION, max(1, math.ceil(math.log2(max(2, count / node)))))
+    flips = np.array([0, *(1 << k for k in range(depth))])
+    sections = [(s, by) for s in range(PRINTS) for by in range(0, 64, SECTION)]
+
+    def packed(rows: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k, (s, by) in enumerate(sections):
+            home = (_turned(words[:, s], by) >> np.uint64(64 - depth)).astype(np.int64)
+            reached = home[:, None] ^ flips
+            who, flip = np.nonzero(reached >= home[:, None])
+            at = reached[who, flip]
+            order = np.argsort(at, kind="stable")
+            who, own, at = who[order], flip[order] == 0, at[order]
+            cut = np.flatnonzero(np.diff(at, prepend=-1, append=-1)).tolist()
+            data = [rows[who[a:b]].tobytes() + words[who[a:b]].tobytes() + own[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([pa.array([(k << SECTION) + int(at[a]) for a in cut[:-1]], pa.int64()), pa.array(data, pa.binary())], ["node", "data"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, words, held = [], [], 0
+        for batch in batches:
+            rows.append(batch.column(0).to_numpy(zero_copy_only=False))
+            words.append(np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(-1, PRINTS))
+            held += batch.num_rows
+            if held >= DEAL:
+                yield from packed(np.concatenate(rows), np.concatenate(words))
+                rows, words, held = [], [], 0
+        if held:
+            yield from packed(np.concatenate(rows), np.concatenate(words))
+
+    def search(table: pa.Table) -> pa.Table:
+        s, by = sections[table.column("node")[0].as_py() >> SECTION]
+        rows, words, own = [], [], []
+        for x in table.column("data"):
+            raw = x.as_py()
+            n = len(raw) // (8 + 8 * PRINTS + 1)
+            rows.append(np.frombuffer(raw, np.int64, n))
+            words.append(np.frombuffer(raw, np.uint64, n * PRINTS, 8 * n).reshape(n, PRINTS))
+            own.append(np.frombuffer(raw, bool, n, 8 * n * (1 + PRINTS)))
+        rows, words = np.concatenate(rows), np.concatenate(words)
+        root = node_roots(_turned(words[:, s], by), words, np.concatenate(own))
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": rows[moved], "b": rows[root[moved]]})
+
+    dealt = prints.select("row_no", "prints").mapInArrow(deal, "node long, data binary")
+    return dealt.groupBy("node").applyInArrow(search, "a long, b long")
+
+
 def near_components(prints: DataFrame, bits: int = BITS, node: int = NODE) -> DataFrame:
     """(doc_id, fp) to (fp, component_id): for each distinct fp, the least doc_id of its component; null if it has none.
 
