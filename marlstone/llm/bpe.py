@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from marlstone.llm._common import utf8
 
+#: Rows of a batch that are unpacked at a time.
+SLICE = 256
 #: Pre-tokens whose counts a Python worker keeps; the table is emptied when it is full.
 MEMO = 400_000
 #: Longer pre-tokens are counted each time.
@@ -116,7 +118,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
         import public_tokenizers
 
         c = counter(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             texts = batch.column(1).to_pylist()
             tokens = [c.count(t) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(utf8(t)) for t in texts], pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])

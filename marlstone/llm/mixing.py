@@ -19,6 +19,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Source tables up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
+#: Sources of a range that are counted off in one task.
+SOURCES = 1_000_000
 SEED = "mix-1"
 
 
@@ -28,26 +30,40 @@ def unit_hash(seed: str, key: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def weighed(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """One row for each source, with its weight w by its place in the order of names.
+
+    Sources are dealt into ranges of about SOURCES and counted off in each; only the ranges' sizes, one row for each,
+    meet in one task. So sources may be as many as hosts or pages.
+    """
+    sizes = stored(sizes, "sizes")
+    ranges = sizes.count() // SOURCES + 1
+    ranged = stored(sizes.repartitionByRange(ranges, F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    placed = ranged.withColumn("nth", nth).join(starts, "part")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("start") + F.col("nth") - 1, F.lit(len(weights))) + 1).cast("int"))
+    return stored(placed.select("source", "source_size", weight.alias("w")), "weights")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEATS) -> DataFrame:
     """(source, source_size) to (source, source_size, target).
 
-    A target is min(cap * source_size, level * weight). Sources are taken in the order of cap * source_size / weight;
-    one is capped if the level of what is left over for it and all later ones reaches its own ratio.
-    The windows see one row for each source, after the aggregation.
+    A target is min(cap * source_size, level * weight). The level rises from that without caps: sources whose most it
+    passes are capped, what they leave goes to the others, until no more are capped. Each step is one aggregation to
+    two numbers; the steps are as many as there are waves of capped sources, no more than a few.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
-    s = sizes.withColumn("w", weight).withColumn("most", F.lit(cap) * F.col("source_size"))
-    order = Window.orderBy((F.col("most") / F.col("w")).asc(), F.col("source").asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    s = s.withColumn("total", F.sum("source_size").over(whole))
-    level = (F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("w").over(after)
-    s = s.withColumn("capped", F.col("most") / F.col("w") <= level)
-    left = F.col("total") - F.coalesce(F.sum(F.when(F.col("capped"), F.col("most"))).over(whole), F.lit(0))
-    level = left / F.sum(F.when(~F.col("capped"), F.col("w"))).over(whole)
-    target = F.when(F.col("capped"), F.col("most").cast("double")).otherwise(level * F.col("w"))
-    return s.select("source", "source_size", target.alias("target"))
+    s = weighed(sizes, weights).withColumn("most", F.lit(cap) * F.col("source_size"))
+    total, open_ = s.agg(F.sum("source_size"), F.sum("w")).first()
+    level, n_capped = (total / open_ if open_ else 0.0), -1
+    capped = lambda: F.col("most") / F.col("w") <= F.lit(level)
+    while open_:
+        n, full, open_ = s.agg(F.count_if(capped()), F.coalesce(F.sum(F.when(capped(), F.col("most"))), F.lit(0)), F.sum(F.when(~capped(), F.col("w")))).first()
+        if n == n_capped or not open_:
+            break
+        level, n_capped = (total - full) / open_, n
+    return s.select("source", "source_size", F.when(capped(), F.col("most").cast("double")).otherwise(F.lit(level) * F.col("w")).alias("target"))
 
 
 def mix_plan(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEATS, seed: str = SEED, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -60,13 +76,14 @@ def mix_plan(docs: DataFrame, size: Column | None = None, weights: tuple[int, ..
     size = n_words(text) if size is None else size
     names = {x: fresh(x, docs.columns) for x in ("mix_size", "mix_source_size", "mix_target", "mix_copies")}
     sizes = docs.select(F.col(source).alias("source"), size.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stored(source_targets(sizes, weights, cap), "sources").select(F.col("source").alias("__source"), F.col("source_size").alias(names["mix_source_size"]), F.col("target").alias(names["mix_target"]))
+    key = fresh("source__", [*docs.columns, *names.values()])
+    plan = stored(source_targets(sizes, weights, cap), "sources").select(F.col("source").alias(key), F.col("source_size").alias(names["mix_source_size"]), F.col("target").alias(names["mix_target"]))
     if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)  # beyond the bound: a sort-merge join, whose hot keys adaptive execution splits
-    joined = docs.withColumn(names["mix_size"], size).join(plan, F.col(source).eqNullSafe(F.col("__source")), "left")
+    joined = docs.withColumn(names["mix_size"], size).join(plan, F.col(source).eqNullSafe(F.col(key)), "left")
     rate = F.when(F.col(names["mix_source_size"]) > 0, F.least(F.col(names["mix_target"]) / F.col(names["mix_source_size"]), F.lit(float(cap)))).otherwise(0.0)
     copies = F.floor(rate) + (unit_hash(seed, F.col(doc_id)) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn(names["mix_copies"], copies).drop("__source")
+    return joined.withColumn(names["mix_copies"], copies).drop(key)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -100,12 +100,35 @@ def numbered(rows: DataFrame, key: list[str], carry: list[str]) -> DataFrame:
     return rows.select(*dict.fromkeys([*key, *carry])).repartition(*map(F.col, key)).sortWithinPartitions(*key).mapInArrow(run, schema)
 
 
+def _new_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """(block, content) of the blocks that their run had not seen, a few MB at a time; a long text is walked once."""
+    numbers, contents, held = [], [], 0
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(contents, pa.binary())], ["block", "content"])
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            part = whole.slice(at, SLICE)
+            for t, places in zip(part.column(0), part.column(1).to_pylist(), strict=True):
+                raw = utf8(t.as_py()) if places else b""
+                for m in places or []:
+                    if m["new"]:
+                        b = raw[m["pos"] * block : (m["pos"] + 1) * block]
+                        numbers.append(m["block"])
+                        contents.append(b)
+                        held += len(b) + 64
+                        if held > 4 << 20:
+                            yield made()
+                            numbers, contents, held = [], [], 0
+    yield made()
+
+
 def identities(cat: DataFrame, names: dict[str, str], text: str = "text", block: int = BLOCK) -> DataFrame:
     """(class_no, level, name): equal (level, name) means equal texts."""
     c = {k: F.col(v) for k, v in names.items()}
     first = cat.filter(c["first"])
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    fresh_blocks = first.select(F.explode(F.filter(c["fresh_at"], lambda x: x["new"])).alias("b"), raw.alias("raw")).select(F.col("b.block").alias("block"), F.substring("raw", F.col("b.pos") * block + 1, F.lit(block)).alias("content"))
+    fresh_blocks = first.select(F.col(text), c["fresh_at"]).mapInArrow(lambda batches: _new_blocks(batches, block), "block long, content binary")
     named = numbered(fresh_blocks, ["content"], ["block"])
     where = first.select(c["class_no"].alias("class_no"), c["n_blocks"].alias("n"), F.explode(c["fresh_at"]).alias("b")).select("class_no", "n", F.col("b.pos").alias("pos"), F.col("b.block").alias("block"))
     level = stored(where.join(named, "block").select("class_no", "n", "pos", "name"), "names")
@@ -141,9 +164,10 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     classes = cat.groupBy(F.col(names["class_no"]).alias("class_no")).agg(F.max(row).alias("top"), F.count(F.lit(1)).alias("size"))
     classes = classes.join(ids, "class_no")
     groups = classes.groupBy("level", "name").agg(F.max("top").alias("best"), F.sum("size").alias("all"))
-    verdict = classes.select("class_no", "level", "name").join(groups, ["level", "name"]).select(F.col("class_no").alias("__class"), F.col("best.id").alias(names["keep_id"]), F.col("best.row").alias("__row"), F.col("all").alias(names["group_size"]))
-    out = cat.join(verdict, F.col(names["class_no"]) == F.col("__class")).withColumn(names["kept"], F.col(names["row_no"]) == F.col("__row"))
-    return out.drop("__class", "__row"), names
+    inner = [fresh(n, [*cat.columns, *names.values()]) for n in ("class__", "row__")]
+    verdict = classes.select("class_no", "level", "name").join(groups, ["level", "name"]).select(F.col("class_no").alias(inner[0]), F.col("best.id").alias(names["keep_id"]), F.col("best.row").alias(inner[1]), F.col("all").alias(names["group_size"]))
+    out = cat.join(verdict, F.col(names["class_no"]) == F.col(inner[0])).withColumn(names["kept"], F.col(names["row_no"]) == F.col(inner[1]))
+    return out.drop(*inner), names
 
 
 def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -4,7 +4,7 @@ Each line with a word is described by a few numbers; Viterbi decoding gives the
 lines of a document; the share of its words that stand in content lines decides whether the document stays. A few
 plain counts fail a document before that. Everything about a document is computed where the document is: no shuffle.
 
-The field is fitted on a bounded sample of labelled documents (SAMPLE of each quality). Their lines first take the
+The field is fitted on a bounded sample of labelled documents (SAMPLE of each quality, SAMPLE_LINES). Their lines first take the
 document's label; after each fit, lines of poor documents that decode as content lose theirs, and it is fitted anew.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm._common import fresh, utf8
+from marlstone.llm._common import fresh, stored, utf8
 
 # Characters that count as symbols, and the rules' limits.
 SYMBOLS = b"#*$%&|<>"
@@ -28,9 +28,11 @@ MIN_WORDS = 10
 REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 
-#: Documents of each quality that the fit uses at most, and the longest that it uses, in characters.
+#: Documents of each quality that the fit uses at most, and lines of all of them together; at least one of each quality.
 SAMPLE = 1500
-SAMPLE_CHARS = 60_000
+SAMPLE_LINES = 1_000_000
+#: Lines of a chain in the fit: longer documents are fitted as several chains, so that all of their lines count.
+CHAIN = 256
 #: A document stays if at least this share of its words stands in content lines.
 CONTENT_SHARE = 0.5
 #: Rows of a batch that are unpacked at a time.
@@ -171,41 +173,63 @@ def quality_rules(docs: DataFrame, crf: Field, text: str = "text", only_kept: bo
     return given.mapInArrow(run, schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, rounds: int = 3) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, rounds: int = 3, lines: int = SAMPLE_LINES) -> Field:
     """Fit a Field on at most `sample` labelled documents of each quality (1 good, 0 poor), the lowest by a hash of the id.
 
-    The sample's ids are chosen from the labels alone; only their documents, of SAMPLE_CHARS at most, are described,
-    and what is collected is bounded by sample * SAMPLE_CHARS. Without documents of both qualities: the prior.
+    The ids are chosen from the labels alone; of rows that share one, a single text is taken. Their whole texts are
+    described where they are; in the order of the hash, documents are fitted as long as each quality has no more than half
+    of `lines`, its first one in any case, so what reaches the driver is bounded by lines (48 bytes each) and that one document.
+    Without documents of both qualities: the prior.
     """
     each = labels.filter(F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("quality"))
     order = F.xxhash64("doc_id")
     ids = None
     for q in (0, 1):
-        some = each.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(sample)
+        some = each.filter(F.col("quality") == q).distinct().orderBy(order, "doc_id").limit(sample)
         ids = some if ids is None else ids.unionByName(some)
     ids = ids.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id")
+    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), "doc_id")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(q, i, line_features(lines).astype(np.float32).tobytes()) for i, t, q in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "quality")), strict=True) if (lines := [x for x in utf8(t).split(b"\n") if x.split()])]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], ["quality", "doc_id", "x"])
-
-    found = picked.mapInArrow(describe, "quality int, doc_id long, x binary").collect()
-    found = sorted({(r["doc_id"], r["quality"], bytes(r["x"])) for r in found})
-    chains = [(q, np.frombuffer(x, np.float32).reshape(-1, len(FEATURES)).astype(np.float64)) for _, q, x in found]
-    if len({q for q, _ in chains}) < 2:
+        for whole in batches:
+            for batch in (whole.slice(at, 16) for at in range(0, whole.num_rows, 16)):
+                rows = []
+                for i, t, q in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "quality")), strict=True):
+                    if found := [x for x in utf8(t).split(b"\n") if x.split()]:
+                        rows.append((q, i, len(found), line_features(found).astype(np.float32).tobytes()))
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["quality", "doc_id", "n", "x"])
+
+    # written, for it is read twice; one row for each id from then on
+    described = stored(picked.mapInArrow(describe, "quality int, doc_id long, n long, x binary"), "described")
+    one = described.groupBy("doc_id").agg(F.min_by(F.struct("quality", "n"), F.struct("n", F.xxhash64("x"))).alias("r"))
+    taken, used = [], {0: 0, 1: 0}
+    for r in one.select("doc_id", "r.quality", "r.n").orderBy(order, "doc_id").collect():  # 2 * sample rows at most
+        if not used[r["quality"]] or used[r["quality"]] + r["n"] <= lines // 2:
+            used[r["quality"]] += r["n"]
+            taken.append((r["doc_id"],))
+    if not all(used.values()):
         return Field()
-    truth = [np.full(len(x), q) for q, x in chains]
+    wanted = docs.sparkSession.createDataFrame(taken, "doc_id long")
+    found = described.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("quality", "x"), F.struct("n", F.xxhash64("x"))).alias("r"))
+    found = sorted((r["doc_id"], r["r"]["quality"], bytes(r["r"]["x"])) for r in found.collect())
+    whole = [(q, np.frombuffer(x, np.float32).reshape(-1, len(FEATURES)).astype(np.float64)) for _, q, x in found]
+    truth = [np.full(len(x), q) for q, x in whole]
     crf = Field()
     for k in range(rounds):
-        crf = learn([x for _, x in chains], truth, crf)
+        crf = learn(*_chains([x for _, x in whole], truth), crf)
         if k < rounds - 1:
-            truth = [np.ones(len(x), int) if q else np.array(crf.decode(x)) for q, x in chains]
-            truth = [y if q or not y.all() else np.zeros(len(y), int) for (q, _), y in zip(chains, truth, strict=True)]
+            truth = [np.ones(len(x), int) if q else np.array(crf.decode(x)) for q, x in whole]
+            truth = [y if q or not y.all() else np.zeros(len(y), int) for (q, _), y in zip(whole, truth, strict=True)]
     return crf
 
 
+def _chains(xs: list[np.ndarray], ys: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The documents' lines and labels in chains of CHAIN lines at most."""
+    cut = [(x[at : at + CHAIN], y[at : at + CHAIN]) for x, y in zip(xs, ys, strict=True) for at in range(0, len(x), CHAIN)]
+    return [x for x, _ in cut], [y for _, y in cut]
+
+
 def learn(xs: list[np.ndarray], ys: list[np.ndarray], crf: Field, passes: int = 60, rate: float = 0.25, ridge: float = 1e-3) -> Field:
     """Raise the mean conditional log-likelihood of the labels by gradient steps (Adam) from the given field."""
     order = sorted(range(len(xs)), key=lambda k: -len(xs[k]))

@@ -11,6 +11,7 @@ A merge reads its shards one after the other in one task, without a shuffle, and
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import asdict, dataclass
 from functools import reduce
@@ -29,6 +30,8 @@ LEAST_RUNS = 4
 #: Merges of one job; more are done in further rounds.
 MERGES = 200
 SMALLEST = 64 << 10
+#: Object stores, whose renames are copies.
+NO_RENAME = ("s3", "s3a", "s3n", "gs", "oss", "wasb", "wasbs")
 _ZIPPED = "spark.sql.unionOutputPartitioning"
 
 
@@ -53,6 +56,8 @@ class ShardStore:
     def __init__(self, spark: SparkSession, path: str | None = None, target_bytes: int = TARGET_BYTES):
         self.spark, self.target = spark, target_bytes
         self.path = path or scratch(spark, "shards")
+        if self.path.partition(":")[0] in NO_RENAME:
+            raise ValueError(f"{self.path}: a manifest needs a file system whose rename fails if the name is taken")
 
     def _fs(self, path: str):
         return hadoop(self.spark, path)
@@ -143,13 +148,14 @@ class ShardStore:
                 tiers.setdefault(s.tier(), []).append(s)
         groups = []
         for tier in sorted(tiers):
-            group: list[Shard] = []
+            group, size = [], 0
             for s in tiers[tier]:
-                if group and sum(g.bytes for g in group) + s.bytes > self.target:
+                if group and size + s.bytes > self.target:
                     groups.append(group)
-                    group = []
+                    group, size = [], 0
                 group.append(s)
-            if len(group) >= LEAST_RUNS or 2 * sum(g.bytes for g in group) >= self.target:
+                size += s.bytes
+            if len(group) >= LEAST_RUNS or 2 * size >= self.target:
                 groups.append(group)
         return [g for g in groups if len(g) > 1]
 
@@ -162,19 +168,18 @@ class ShardStore:
                 return version
             kind = StructType.fromJson(json.loads(schema))
             folder = f"{self.path}/data/{uuid.uuid4().hex}"
-            parts = [self.spark.read.schema(kind).parquet(*(s.path for s in g)).coalesce(1) for g in groups]
-            whole = self.spark.conf.get(_ZIPPED, "false")
-            self.spark.conf.set(_ZIPPED, "false")  # else a union of single partitions is one partition
-            try:
-                reduce(DataFrame.unionAll, parts).write.option("compression", "zstd").parquet(folder)
-            finally:
-                self.spark.conf.set(_ZIPPED, whole)
+            own = self.spark.newSession()  # its settings are nobody else's
+            own.conf.set(_ZIPPED, "false")  # else a union of single partitions is one partition
+            parts = [own.read.schema(kind).parquet(*(s.path for s in g)).coalesce(1) for g in groups]
+            reduce(DataFrame.unionAll, parts).write.option("compression", "zstd").parquet(folder)
             merged = self._written(folder, -1)
             old = {s for g in groups for s in g}
             while True:
                 version, have, _ = self.manifest()
-                if not old <= set(have):
-                    break  # another compaction took some of them: its result stands
+                if not old <= set(have):  # another compaction took some of them: its result stands
+                    fs, p = self._fs(folder)
+                    fs.delete(p, True)
+                    break
                 try:
                     self._commit(version + 1, [*(s for s in have if s not in old), *merged], schema)
                     break
@@ -194,8 +199,11 @@ class ShardStore:
             return self.spark.read.schema(kind).parquet(none)
         return self.spark.read.schema(kind).parquet(*(s.path for s in shards))
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Delete manifests but the newest `keep`, and shards that none of these names; returns how many shards went."""
+    def vacuum(self, keep: int = 1, orphan_seconds: float = 86_400) -> int:
+        """Delete manifests but the newest `keep`, and shards that none of these names; returns how many shards went.
+
+        Folders of writers that ended before their commit go too, once they are `orphan_seconds` old: no writer takes longer.
+        """
         every = self.versions()
         kept = {s.path for v in every[-keep:] for s in self.manifest(v)[1]}
         gone = {s.path for v in every[:-keep] for s in self.manifest(v)[1]} - kept
@@ -205,6 +213,13 @@ class ShardStore:
         for path in gone:
             fs, p = self._fs(path)
             fs.delete(p, False)
+        fs, p = self._fs(f"{self.path}/data")
+        if fs.exists(p):
+            latest = time.time() * 1000 - orphan_seconds * 1000
+            for s in fs.listStatus(p):
+                folder = s.getPath().toString()
+                if s.getModificationTime() < latest and not any(path.startswith(folder + "/") for path in kept):
+                    fs.delete(s.getPath(), True)
         return len(gone)
 
 
