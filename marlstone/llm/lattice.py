@@ -5,8 +5,9 @@ all of its segmentations of the product of the pieces' probabilities, computed b
 A text is its words in turn, then an end; no piece reaches over white space, so the probability of the text is the
 product of its words' and the end's. Bytes are pieces too, so every word has a segmentation.
 
-The vocabulary's own scores rank the pieces and start the fit; ROUNDS passes of expectation-maximisation over all
-training words then weigh each piece by how often the lattice expects it. Nothing about a held-out text is learned.
+The vocabulary's own scores weigh the pieces: they are ranks, so a piece's weight is one over its rank. That model is
+`vocabulary_score`. For `score` the same weights are the prior, which ROUNDS passes of expectation-maximisation over
+all training words turn into how often the lattice expects each piece. Nothing about a held-out text is learned.
 
 Each task keeps the distinct words of a run of documents once, and the documents as numbers of those words; words are
 counted and scored once over all documents and their scores return to the runs. Whole vocabularies of words never
@@ -37,6 +38,8 @@ PRIOR_COUNT = 0.1
 RUN_BYTES = 16 << 20
 #: Bytes of words that are scored at a time.
 CHUNK = 1 << 19
+#: Runs of a task, runs whose words are a task's, and the most partitions of a shuffle.
+RUNS, WORD_RUNS, MOST_PARTS = 4, 2, 1 << 16
 _OUT = float("-inf")
 
 
@@ -57,9 +60,9 @@ class Pieces:
             found.setdefault(bytes([b]), _OUT)
         self.pieces = sorted(found)
         rank = {p: k for k, p in enumerate(sorted(self.pieces, key=lambda p: (-found[p], p)))}
-        #: log-probabilities to start from: by rank, as the scores of a vocabulary without frequencies order them
+        #: the vocabulary's log-probabilities, of the pieces and of the end, which comes before the first rank
         start = np.array([1 / (rank[p] + 3) for p in self.pieces])
-        self.start = np.log(start / start.sum())
+        self.start, self.end = np.log(start / (start.sum() + 1 / 2)), math.log(1 / 2 / (start.sum() + 1 / 2))
         edges: list[dict[int, int]] = [{}, {}]  # node 0 is where nothing matches, 1 the root
         self.piece_of = [-1, -1]
         for k, p in enumerate(self.pieces):
@@ -107,11 +110,14 @@ class Pieces:
                 alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + weights[piece])
         return alpha
 
-    def log_probabilities(self, ws: list[bytes], weights: np.ndarray) -> np.ndarray:
-        out = np.empty(len(ws))
+    def log_probabilities(self, ws: list[bytes], *weights: np.ndarray) -> np.ndarray:
+        """Of each word, under each of the weights; the lattice is made once. One weight gives one dimension."""
+        out = np.empty((len(weights), len(ws)))
         for at, batch in batches_of(ws):
-            out[at] = self.forward(self.lattice(batch), len(batch), weights)[-1]
-        return out
+            arcs = self.lattice(batch)
+            for k, w in enumerate(weights):
+                out[k, at] = self.forward(arcs, len(batch), w)[-1]
+        return out if len(weights) > 1 else out[0]
 
     def expected(self, ws: list[bytes], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """How often each piece is expected in these words, each taken as often as counted."""
@@ -223,7 +229,7 @@ def tabulate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def fit(counted: DataFrame, n_ends: int, vocabulary: str, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Log-probabilities of the pieces, and of the end, from (word, n) of all training words."""
     p = pieces(vocabulary)
-    weights, context = p.start, counted.sparkSession.sparkContext
+    weights, end, context = p.start, p.end, counted.sparkSession.sparkContext
     for _ in range(rounds):
         sent = context.broadcast(weights)  # one number for each piece
 
@@ -246,7 +252,7 @@ def fit(counted: DataFrame, n_ends: int, vocabulary: str, rounds: int = ROUNDS)
 
 
 def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score) for each row of docs.
 
     Null and empty texts are an end alone. Null ids count as the empty string for the folds, and train. Repeated rows
     count as often as they occur. With no training document at all, the pieces keep their prior.
@@ -254,8 +260,11 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     runs = tabulate(docs, doc_id, text)
     in_runs = runs.filter("word is not null").select("run", "word", "local", "n")
     bags = runs.filter("bag is not null").select("run", "doc_id", "held_out", "n_tokens", "bag")
+    ends, n_runs = bags.agg(F.count_if(~F.col("held_out")), F.count_distinct("run")).first()
+    # partitions by the data: a task has a few runs, or the words of as many
+    run_parts, word_parts = (min(MOST_PARTS, -(-n_runs // k) or 1) for k in (RUNS, WORD_RUNS))
+    in_runs = in_runs.repartition(word_parts, "word")
     counted = stored(in_runs.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    ends = bags.filter(~F.col("held_out")).count()
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     n_train, distinct = total[0] + ends, total[1] + (ends > 0)
     weights, end = fit(counted, ends, vocabulary, rounds)
@@ -263,23 +272,27 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pieces(vocabulary).log_probabilities(batch.column(0).to_pylist(), sent.value))], ["word", "n", "lp"])
+            p = pieces(vocabulary)
+            own, given = p.log_probabilities(batch.column(0).to_pylist(), sent.value, p.start)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own), pa.array(given)], ["word", "n", "lp", "given"])
 
-    spelt = counted.mapInArrow(spell, "word binary, n long, lp double")
-    back = in_runs.select(F.col("run").alias("of_run"), "word", "local").join(spelt, "word").select("of_run", "local", "n", "lp")
+    spelt = counted.mapInArrow(spell, "word binary, n long, lp double, given double").repartition(word_parts, "word")
+    back = in_runs.select(F.col("run").alias("of_run"), "word", "local").join(spelt, "word").select("of_run", "local", "n", "lp", "given")
+    given_end = pieces(vocabulary).end
     scale = math.log10(n_train + distinct + 1)
 
     def add(table: pa.Table, dictionary: pa.Table) -> pa.Table:
         local = dictionary.column("local").to_numpy()
-        n, lp = np.zeros(len(local), np.int64), np.zeros(len(local))
-        n[local], lp[local] = dictionary.column("n").to_numpy(), dictionary.column("lp").to_numpy()
+        n, lp, given = np.zeros(len(local), np.int64), np.zeros(len(local)), np.zeros(len(local))
+        n[local], lp[local], given[local] = (dictionary.column(c).to_numpy() for c in ("n", "lp", "given"))
         base = np.log10(n + 1.0) - scale
         rows = []
         for raw in table.column("bag").to_pylist():
             half = len(raw) // 2
             ids, times = np.cumsum(_numbers(raw[:half]).astype(np.int64)), _numbers(raw[half:]).astype(np.int64)
-            rows.append((int(times[n[ids] > 0].sum()) + (ends > 0), float((base[ids] * times).sum()) + math.log10(ends + 1) - scale, (float((lp[ids] * times).sum()) + end) / math.log(10)))
-        known, base_score, own = zip(*rows, strict=True)
-        return pa.table({c: table.column(c) for c in ("doc_id", "held_out", "n_tokens")} | {"n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n_train] * len(rows), pa.int64()), "base_score": pa.array(base_score), "score": pa.array(own)})
+            rows.append((int(times[n[ids] > 0].sum()) + (ends > 0), float((base[ids] * times).sum()) + math.log10(ends + 1) - scale, (float((lp[ids] * times).sum()) + end) / math.log(10), (float((given[ids] * times).sum()) + given_end) / math.log(10)))
+        known, base_score, own, by_vocabulary = zip(*rows, strict=True)
+        return pa.table({c: table.column(c) for c in ("doc_id", "held_out", "n_tokens")} | {"n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n_train] * len(rows), pa.int64()), "base_score": pa.array(base_score), "score": pa.array(own), "vocabulary_score": pa.array(by_vocabulary)})
 
-    return bags.groupBy("run").cogroup(back.groupBy("of_run")).applyInArrow(add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, vocabulary_score double"
+    return bags.repartition(run_parts, "run").groupBy("run").cogroup(back.repartition(run_parts, "of_run").groupBy("of_run")).applyInArrow(add, schema)

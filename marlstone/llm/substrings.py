@@ -29,6 +29,8 @@ WINDOW = 13
 GROUP_BYTES = 8 << 20
 BUCKET_PROBES = 2_000_000
 SHARES = 4096
+#: Groups and buckets of a task, about, and the most partitions of a shuffle.
+GROUPS, BUCKETS, MOST_PARTS = 4, 4, 1 << 16
 _NONE = np.iinfo(np.int64).min
 # Odd multipliers of the rolling polynomials.
 _P, _Q, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
@@ -81,6 +83,11 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
 
 
+def _pair_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a new pair begins in two arrays that are sorted together."""
+    return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+
+
 def _pack(sorted_: np.ndarray) -> bytes:
     """Sorted 32-bit numbers as the bytes of their differences, like bytes together."""
     gaps = np.diff(sorted_.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
@@ -93,11 +100,35 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _probe_keys(group: _Group, block: int, shift: int) -> np.ndarray:
-    """The key of the block-sized run from each place: its bucket in the upper 32 bits, a hash in the lower."""
+    """The key of the block-sized run from each place: its bucket in the upper 32 bits, a hash in the lower. Keys that meet
+    by chance only give more windows to compare."""
     h = _rolling(group.hashes, block, _P)
     return ((h >> np.uint64(32)) >> np.uint64(shift)) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
 
 
+def _window_names(group: _Group, window: int, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of 64 bits for each window, by polynomials of their own: together its name. Equal names of unequal
+    windows have a chance of about one in 10^12 over 10^13 windows."""
+    both = [_rolling(group.hashes, window, by) for by in (_P, _Q)]
+    return tuple(x if places is None else x[places] for x in both)
+
+
+def _known(name: np.ndarray, side: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which names are among the known ones, rows of (name, side)."""
+    known = known[np.argsort(known[:, 0], kind="stable")]
+    at, hit = np.searchsorted(known[:, 0], name), np.zeros(len(name), bool)
+    open_ = np.arange(len(name))
+    while True:  # once more for each further known name that is equal in its first half
+        inside = at[open_] < len(known)
+        open_ = open_[inside]
+        open_ = open_[known[at[open_], 0] == name[open_]]
+        if not len(open_):
+            return hit
+        hit[open_] |= known[at[open_], 1] == side[open_]
+        open_ = open_[~hit[open_]]
+        at[open_] += 1
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, spans) for each row of docs, and kept_text if asked.
 
@@ -112,7 +143,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     probes = min(8 * BUCKET_PROBES, max(BUCKET_PROBES, n_bytes // 6 // SHARES))
     bits = min(24, max(0, (n_bytes // 6 // probes).bit_length()))
     shift = 32 - bits
-    docs = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("grp"), "doc_id", "text")
+    # partitions by the data: a task has a few groups, or buckets
+    group_parts, bucket_parts = min(MOST_PARTS, -(-groups // GROUPS)), min(MOST_PARTS, max(1, (1 << bits) // BUCKETS))
+    docs = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("grp"), "doc_id", "text").repartition(group_parts, "grp")
 
     def announce(table: pa.Table) -> pa.Table:
         """A group's probes: each once, and whether it is an anchor and whether two of the group's documents have it."""
@@ -165,22 +198,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         key = _probe_keys(g, block, shift)
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         hit = (known[at] == key) & g.within(block)
-        name = _rolling(g.hashes, window, _P)
-        if not len(name):
+        inside = g.within(window)
+        if not len(inside):
             return empty
         seen = np.concatenate([[0], np.cumsum(hit)])
         reach = window - block + 1
-        chosen = (seen[reach : reach + len(name)] > seen[: len(name)]) & g.within(window)
-        place = np.flatnonzero(chosen)
+        place = np.flatnonzero((seen[reach : reach + len(inside)] > seen[: len(inside)]) & inside)
         if not len(place):
             return empty
-        side = _rolling(g.hashes, window, _Q)[place]
-        bucket = ((side >> np.uint64(32)) >> np.uint64(shift)).astype(np.int64)
-        name, ids = name[place], g.ids[g.doc[place]]
-        order = np.lexsort((name, bucket))
-        bucket, name, ids = bucket[order], name[order], ids[order]
-        at = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (bucket[1:] != bucket[:-1])]))
-        bucket, name, ids = bucket[at], name[at], np.minimum.reduceat(ids, at)
+        name, side = _window_names(g, window, place)
+        ids = g.ids[g.doc[place]]
+        order = np.lexsort((name, side))  # the bucket is the upper end of the side
+        name, side, ids = name[order], side[order], ids[order]
+        at = _pair_runs(name, side)
+        name, ids = np.stack([name[at], side[at]], 1), np.minimum.reduceat(ids, at)
+        bucket = ((name[:, 1] >> np.uint64(32)) >> np.uint64(shift)).astype(np.int64)
         cut = [*_runs(bucket).tolist(), len(bucket)]
         parts = list(zip(cut, cut[1:], strict=False))
         return pa.table({
@@ -190,10 +222,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     def settle(table: pa.Table) -> pa.Table:
         """The windows of each group that a document smaller than all of the group's own has."""
-        names = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("names")]
+        names = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in table.column("names")]
         name, least = np.concatenate(names), np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("least")])
-        order = np.argsort(name, kind="stable")
-        at = _runs(name[order])
+        order = np.lexsort((name[:, 1], name[:, 0]))
+        at = _pair_runs(name[order, 0], name[order, 1])
         lowest = np.empty(len(name), np.int64)
         lowest[order] = np.repeat(np.minimum.reduceat(least[order], at), np.diff(at, append=len(name)))
         gone = np.split(lowest < least, np.cumsum([len(x) for x in names])[:-1])
@@ -202,20 +234,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
         g = _Group(table)
-        name = _rolling(g.hashes, window, _P)
+        name, side = _window_names(g, window)
         inside = g.within(window)
         covered = np.zeros(len(g.hashes), bool)
         if inside.any():
             place = np.flatnonzero(inside)
-            order = place[np.argsort(name[place], kind="stable")]
-            at = _runs(name[order])
+            order = place[np.lexsort((side[place], name[place]))]
+            at = _pair_runs(name[order], side[order])
             ids = g.ids[g.doc[order]]
             gone = np.zeros(len(name), bool)
             gone[order] = np.repeat(np.minimum.reduceat(ids, at), np.diff(at, append=len(order))) < ids
             if replies.num_rows:
-                known = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in replies.column("names")]))
-                at = np.minimum(np.searchsorted(known, name), len(known) - 1)
-                gone |= inside & (known[at] == name)
+                known = np.concatenate([np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in replies.column("names")])
+                gone |= inside & _known(name, side, known)
             edge = np.zeros(len(g.hashes) + 1, np.int64)
             edge[: len(gone)] += gone
             edge[window : window + len(gone)] -= gone
@@ -237,8 +268,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     by_group = docs.groupBy("grp")
     probes = by_group.applyInArrow(announce, "bucket long, grp long, keys binary, anchors binary, shared binary")
-    hits = probes.groupBy("bucket").applyInArrow(meet, "grp long, bucket long, keys binary")
-    windows = by_group.cogroup(hits.groupBy("grp")).applyInArrow(extend, "bucket long, grp long, names binary, least binary")
-    replies = windows.groupBy("bucket").applyInArrow(settle, "grp long, names binary")
+    hits = probes.repartition(bucket_parts, "bucket").groupBy("bucket").applyInArrow(meet, "grp long, bucket long, keys binary")
+    windows = by_group.cogroup(hits.repartition(group_parts, "grp").groupBy("grp")).applyInArrow(extend, "bucket long, grp long, names binary, least binary")
+    replies = windows.repartition(bucket_parts, "bucket").groupBy("bucket").applyInArrow(settle, "grp long, names binary")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>" + ", kept_text string" * with_text
-    return by_group.cogroup(replies.groupBy("grp")).applyInArrow(remove, schema)
+    return by_group.cogroup(replies.repartition(group_parts, "grp").groupBy("grp")).applyInArrow(remove, schema)
