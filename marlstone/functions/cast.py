@@ -121,6 +121,12 @@ def compact_timestamp(t: Column) -> Column:
     return F.when(t.rlike(COMPACT_TEXT), iso.try_cast("timestamp"))
 
 
+def published_datetime(t: Column) -> Column:
+    """YYYYMMDDTHHMMSS as a date and time without a zone."""
+    ts = compact_timestamp(t)
+    return F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd HH:mm:ss"))
+
+
 def cut_nanoseconds(t: Column, compat: bool = False) -> Column:
     """A timestamp's text with six digits of fraction at most.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from marlstone.plans import cases
+
 _EPOCH = "(epoch_us(ts) / 1000000.0)"
 _SYMBOL = "regexp_replace(event_type, '[^A-Za-z]', '', 'g')"
 _STATUS = """
@@ -80,7 +82,45 @@ p AS (SELECT c.*, coalesce((SELECT a.status = 'valid' FROM c a WHERE a.event_id
 said AS (SELECT * REPLACE (CASE WHEN status = 'valid' AND (event_id % 4 = 1 AND ok1 OR event_id % 4 = 2 AND ok1 AND NOT ok2) THEN 'duplicate' ELSE status END AS status) FROM p)"""
 _NEWS_IN = f"""said AS (SELECT *, min(doc_id) OVER (PARTITION BY doc_id // 8, source) AS frame, row_number() OVER (PARTITION BY doc_id // 8, source ORDER BY doc_id)::INTEGER - 1 AS item FROM ({_checked("news")}))"""
 
+
+def _listed(values: list[str]) -> str:
+    return "([" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + f"])[event_id % {len(values)} + 1]"
+
+
+_SNAPSHOT_METRICS = {
+    "throughput_msgs_per_sec": "throughput_msgs_per_sec", "schema_compliance_rate": "schema_compliance_rate", "duplicate_rate": "duplicate_rate", "dlq_rate": "dlq_rate", "freshness_seconds_mean": "freshness_at_ingestion_seconds_mean",
+    "violation_detection_time_ms": "contract_violation_detection_time_ms", "mean_bid_ask_spread": "mean_bid_ask_spread",
+}
+_RUN_METRICS = ("articles_fetched", "articles_valid", "articles_invalid", "articles_published", "articles_dlq", "schema_compliance_rate", "dlq_rate", "freshness_seconds_mean", "violation_detection_ms_mean")
+
 ORACLES: dict[str, str] = {
+    "contract_faults": "\nUNION ALL ".join(
+        f"SELECT '{s}' AS stream, event_id, {_listed([x for _, x, _ in c])} AS status, {_listed([x for *_, x in c])} AS codes FROM events" for s, c in cases.CONTRACTS.items()
+    ),
+    "normalise_edges": "\nUNION ALL ".join(
+        f"SELECT '{s}' AS stream, event_id, codes, {_listed([x for *_, x in c])} AS shown, CASE WHEN codes = '' AND '{s}' <> 'news' THEN 1700000000000000 END::BIGINT AS ingested FROM (SELECT event_id, {_listed([x for _, x, _ in c])} AS codes FROM events)"
+        for s, c in cases.NORMALISED.items()
+    ),
+    "source_messages": """
+SELECT 'events' AS source, 0 AS n_codes, count(*) AS n, sum((props->>'$.k')::BIGINT)::BIGINT AS total FROM events
+UNION ALL SELECT 'customer', 0, count(*), sum(c_custkey)::BIGINT FROM customer""",
+    "only_symbols": f"SELECT {_SYMBOL} AS symbol, count(*) AS n FROM events WHERE {_SYMBOL} IN ('view', 'click') GROUP BY 1",
+    "metric_names": "SELECT p_partkey, lower(regexp_replace(p_name || '-Somewhat Bullish', '[- ]', '_', 'g')) AS name FROM part",
+    "published_datetime": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published FROM events",
+    "recent_dead_letters": f"SELECT event_id, {_TRADE_CODES} AS codes FROM events WHERE {_TRADE_CODES} IS NOT NULL ORDER BY event_id DESC LIMIT 500",
+    "throughput_sliding": f"""
+WITH v AS (SELECT stream, epoch_us(arrival_ts) AS us FROM ({_STATUS}) WHERE status = 'valid'),
+w AS (SELECT stream, us // 600000000 * 600000000 - k * 600000000 AS window_start FROM v, range(0, 6) AS r(k))
+SELECT stream, window_start, round(count(*) / 3600, 4) AS throughput_msgs_per_sec FROM w GROUP BY ALL""",
+    "collector_memory": f"WITH {_TRADES_IN} SELECT frame, item, status FROM said",
+    "stream_trades": f"""
+SELECT 'main' AS lane, event_id::VARCHAR AS what, round(value * CASE WHEN event_id % 11 = 4 THEN 10 WHEN event_id % 11 = 5 THEN 10 ELSE user_id % 100 + 1 END, 8) AS trade_value
+FROM (SELECT event_id, user_id, CASE WHEN event_id % 11 = 3 THEN -1.0 ELSE value END AS value FROM events WHERE {_TRADE_CODES} IS NULL)
+UNION ALL SELECT 'dead', {_TRADE_CODES}, count(*)::DOUBLE FROM events WHERE {_TRADE_CODES} IS NOT NULL GROUP BY 2""",
+    "stream_news": """
+SELECT event_type AS what, count(DISTINCT user_id) AS n, count(DISTINCT user_id) AS n_stories FROM events WHERE event_id % 13 <> 0 GROUP BY 1
+UNION ALL SELECT 'cast:time_published:timestamp', count(*), 0 FROM events WHERE event_id % 13 = 0""",
+    "stream_collector": f"WITH {_QUOTES_IN}, n AS (SELECT status, count(*) AS n FROM said GROUP BY 1) SELECT * FROM n UNION ALL SELECT 'published', n FROM n WHERE status = 'valid'",
     "trade_value": """
 SELECT (l_orderkey * 8 + l_linenumber)::BIGINT AS trade_id, 'SYM' || l_returnflag || l_linestatus AS symbol, l_extendedprice AS price, l_quantity::BIGINT AS size,
        round(l_extendedprice * l_quantity::BIGINT, 8) AS trade_value, l_extendedprice * l_quantity::BIGINT > 10000 AS is_large_trade, CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END AS n_conditions
@@ -165,7 +205,7 @@ SELECT frame, item, status, codes, CASE WHEN status = 'valid' THEN round(at0 - e
        CASE WHEN status = 'valid' THEN spread END AS spread, CASE WHEN status = 'valid' THEN spread END AS event_spread, CASE WHEN status = 'valid' THEN 3 END::BIGINT AS ask_size, CASE WHEN status = 'valid' THEN t END AS t FROM said""",
     "collector_crypto": f"""
 WITH {_CRYPTO_IN}
-SELECT event_id AS frame, status, codes, CASE WHEN status = 'valid' THEN 0.0::DOUBLE END AS freshness_seconds, CASE WHEN status = 'valid' THEN ['A', 'B', 'C'][event_id // 4 % 3 + 1] || '-USD' END AS product_id,
+SELECT event_id AS frame, status, codes, CASE WHEN status = 'valid' THEN event_id % 8 / 4.0 END AS freshness_seconds, CASE WHEN status = 'valid' THEN ['A', 'B', 'C'][event_id // 4 % 3 + 1] || '-USD' END AS product_id,
        CASE WHEN status = 'valid' THEN CASE WHEN event_id % 4 = 1 THEN event_id ELSE event_id + 1 END END AS trade_id, CASE WHEN status = 'valid' THEN round(value, 2)::VARCHAR END AS price,
        CASE WHEN status = 'valid' THEN CASE WHEN event_id % 3 = 0 THEN 'buy' ELSE 'sell' END END AS side FROM said""",
     "collector_news": f"""
@@ -220,3 +260,11 @@ SELECT o_orderkey, epoch_us(date_trunc('second', o_orderdate)) + 123456 AS micro
     "compact_ts": """
 SELECT event_id, epoch_us(date_trunc('second', ts)) AS micros, strftime(ts, '%Y-%m-%dT%H:%M:%S UTC') AS text, strftime(date_trunc('second', ts) - INTERVAL 15 MINUTE, '%Y%m%dT%H%M') AS cutoff FROM events""",
 } | {f"contract_{s}": _contract(s) for s in _CODES}
+_PREFIX = "CASE stream WHEN 'trades' THEN 'alpaca_collector_trades' WHEN 'quotes' THEN 'alpaca_collector_quotes' ELSE 'coinbase_collector' END"
+ORACLES["exposition_text"] = f"WITH s AS ({ORACLES['stream_snapshot']})" + " UNION ALL ".join(
+    [f"\nSELECT {_PREFIX} || '_{n}' AS metric, 'gauge' AS kind, {c}::DOUBLE AS value FROM s" + (" WHERE stream <> 'crypto'" if n == "mean_bid_ask_spread" else "") for n, c in _SNAPSHOT_METRICS.items()]
+    + [f"\nSELECT {_PREFIX} || '_total_{n}_total', 'counter', total_{n}::DOUBLE FROM s" for n in ("received", "valid", "invalid", "duplicates", "dlq")]
+)
+ORACLES["run_text"] = f"WITH s AS (SELECT * FROM ({ORACLES['news_run_metrics']}) WHERE run_id IS NOT NULL ORDER BY run_id LIMIT 1)" + " UNION ALL ".join(
+    [f"\nSELECT 'news_collector_{n}' AS metric, {n}::DOUBLE AS value FROM s" for n in _RUN_METRICS] + ["\nSELECT 'news_collector_api_latency_seconds', 0.5", "\nSELECT 'news_collector_run_duration_seconds', 2.5", "\nSELECT 'news_collector_sentiment_somewhat_bearish_count', 3.0"]
+)

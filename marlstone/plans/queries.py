@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import cast
-from marlstone.operators import contracts, dedup, derive, metrics, normalise, parse
-from marlstone.plans import pipelines
+from marlstone.operators import contracts, dedup, derive, exposition, metrics, normalise, parse
+from marlstone.plans import cases, pipelines
 from marlstone.sources import adapters as a
+from marlstone.sources import files
+from marlstone.streaming import collector, scratch, sinks
 
 HALF_DAY = derive.NEWS_HORIZON_SECONDS
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +177,8 @@ def collector_quotes(s: SparkSession, d: str) -> DataFrame:
 
 def collector_crypto(s: SparkSession, d: str) -> DataFrame:
     """Each match, in its product's sequence, against the memory of two ids."""
-    messages = a.event_crypto(s, d, repeats=True).select(F.col("event_id").alias("frame"), a.instant("ts").alias("at"), "value")
+    late = F.timestamp_micros(a.epoch_micros("ts") + F.col("event_id") % 8 * 250_000)
+    messages = a.event_crypto(s, d, repeats=True).select(F.col("event_id").alias("frame"), late.alias("at"), "value")
     out, said = _collected(messages, "crypto")
     return out.select("frame", "status", "codes", "freshness_seconds", said("product_id", "string").alias("product_id"), said("trade_id", "long").alias("trade_id"), said("price", "string").alias("price"), said("side", "string").alias("side"))
 
@@ -275,6 +278,133 @@ def compact_ts(s: SparkSession, d: str) -> DataFrame:
     return a.table(s, d, "events").select("event_id", F.unix_micros(ts).alias("micros"), cast.format_seconds(ts).alias("text"), cast.lookback_cutoff(ts).alias("cutoff"))
 
 
+def _of_list(s: SparkSession, d: str, values: list[str]) -> DataFrame:
+    """A message for each event, from a list, again and again."""
+    e = a.spread(a.table(s, d, "events").select("event_id"))
+    return e.select("event_id", F.element_at(F.array(*map(F.lit, values)), (F.col("event_id") % len(values) + 1).cast("int")).cast("binary").alias("value"))
+
+
+def contract_faults(s: SparkSession, d: str) -> DataFrame:
+    """Every rule of the four contracts, broken and kept, alone and together with others."""
+    lanes = []
+    for stream, given in cases.CONTRACTS.items():
+        checked = contracts.check(parse.parse_messages(_of_list(s, d, [m for m, *_ in given])), stream)
+        lanes.append(checked.select(F.lit(stream).alias("stream"), "event_id", "status", F.concat_ws(";", F.array_sort("codes")).alias("codes")))
+    return parse.union_dead_letters(*lanes)
+
+
+def shown(stream: str) -> F.Column:
+    """A few of a typed row's values as text."""
+    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    if stream == "news":
+        return F.concat_ws("|", F.array_join(F.transform("topics", lambda t: F.concat_ws("=", t["topic"], t["relevance_score"].cast("string"))), ","), number("overall_sentiment_score"))
+    return F.concat_ws("|", number("ingest_timestamp"), "side" if stream == "crypto" else F.size("conditions").cast("string"))
+
+
+def normalise_edges(s: SparkSession, d: str) -> DataFrame:
+    """Defaults, guards, missing and null fields of the four pipelines, with the time of their ingestion."""
+    lanes = []
+    now = F.timestamp_micros(F.lit(1_700_000_000_000_000))
+    for stream, given in cases.NORMALISED.items():
+        rows = pipelines.typed(_of_list(s, d, [m for m, *_ in given]), stream, now, carry=["event_id"])
+        at = F.lit(None).cast("long") if stream == "news" else F.unix_micros("pipeline_ingest_time")
+        fine = F.size("codes") == 0
+        lanes.append(rows.select(F.lit(stream).alias("stream"), "event_id", F.concat_ws(";", F.array_sort("codes")).alias("codes"), F.when(fine, shown(stream)).otherwise("").alias("shown"), F.when(fine, at).alias("ingested")))
+    return parse.union_dead_letters(*lanes)
+
+
+def source_messages(s: SparkSession, d: str) -> DataFrame:
+    """Messages out of files: a column as it is, and whole rows as JSON."""
+    props = parse.parse_messages(files.messages(s, f"{d}/events.parquet", "parquet", column="props"))
+    rows = parse.parse_messages(files.messages(s, f"{d}/customer.parquet", "parquet"))
+    one = props.select(F.lit("events").alias("source"), F.size("codes").alias("n_codes"), cast.to_long(cast.field(F.col("v"), "k")).alias("k"))
+    two = rows.select(F.lit("customer").alias("source"), F.size("codes").alias("n_codes"), cast.to_long(cast.field(F.col("v"), "c_custkey")).alias("k"))
+    return one.unionByName(two).groupBy("source", "n_codes").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+
+
+def only_symbols(s: SparkSession, d: str) -> DataFrame:
+    main = normalise.main_lane(_events(s, d, "quotes"))
+    return parse.only_symbols(main, "symbol", ["view", "click"]).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
+def metric_names(s: SparkSession, d: str) -> DataFrame:
+    p = a.table(s, d, "part")
+    return p.select("p_partkey", cast.metric_name(F.concat_ws("-", "p_name", F.lit("Somewhat Bullish"))).alias("name"))
+
+
+def published_datetime(s: SparkSession, d: str) -> DataFrame:
+    at = cast.published_datetime(a.compact("ts"))
+    return a.table(s, d, "events").select("event_id", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("published"))
+
+
+def recent_dead_letters(s: SparkSession, d: str) -> DataFrame:
+    rows = _events(s, d, "trades").filter(F.size("codes") > 0).select("event_id", F.concat_ws(";", "codes").alias("codes"))
+    return metrics.recent_dead_letters(rows, "event_id")
+
+
+def throughput_sliding(s: SparkSession, d: str) -> DataFrame:
+    status = a.event_status(s, d).filter("status = 'valid'")
+    out = metrics.sliding_throughput(status, seconds=3600, every="10 minutes")
+    return out.select("stream", F.unix_micros("window.start").alias("window_start"), "throughput_msgs_per_sec")
+
+
+def exposition_text(s: SparkSession, d: str) -> DataFrame:
+    """The text for scrapers, line by line: each metric's name, kind and value."""
+    rows = {r["stream"]: r.asDict() for r in stream_snapshot(s, d).collect()}  # one row for each stream
+    lines = exposition.render_streams(rows).splitlines()
+    kinds = {x.split()[2]: x.split()[3] for x in lines if x.startswith("# TYPE")}
+    values = [x.split() for x in lines if not x.startswith("#")]
+    return s.createDataFrame([(name, kinds[name], float(v)) for name, v in values], "metric string, kind string, value double")
+
+
+def run_text(s: SparkSession, d: str) -> DataFrame:
+    """A news run's metrics as they are pushed; the run is that of the first source."""
+    first = news_run_metrics(s, d).filter("run_id IS NOT NULL").orderBy("run_id").first().asDict()
+    lines = exposition.render_run(first | {"api_latency_seconds": 0.5, "run_duration_seconds": 2.5}, {"Somewhat-Bearish": 3}).splitlines()
+    return s.createDataFrame([(x.split()[0], float(x.split()[1])) for x in lines if not x.startswith("#")], "metric string, value double")
+
+
+def collector_memory(s: SparkSession, d: str) -> DataFrame:
+    """Trades against the exact memory of accepted ids."""
+    got = pipelines.collect(a.equity_frames(a.event_trades(s, d, repeats=True)), "trades", ["frame"], "at", exact=True)
+    return got.select("frame", "item", "status")
+
+
+def _streamed(s: SparkSession, messages: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Messages as a stream of text files, some to a micro-batch, and a folder for what comes of it."""
+    folder = scratch.folder(s, name)
+    messages.select(F.col("value").cast("string").alias("value")).repartition(4).write.text(f"{folder}/in")
+    return files.messages(s, f"{folder}/in", stream=True, files_per_batch=2), folder
+
+
+def stream_trades(s: SparkSession, d: str) -> DataFrame:
+    """The trades pipeline as a stream of files: its table and its dead letters."""
+    messages, folder = _streamed(s, a.event_trades(s, d), "trades")
+    sinks.run_pipeline(messages, "trades", f"{folder}/main", f"{folder}/checkpoint", f"{folder}/dead").awaitTermination()
+    main, dead = s.read.parquet(f"{folder}/main"), s.read.parquet(f"{folder}/dead")
+    good = main.select(F.lit("main").alias("lane"), F.col("trade_id").cast("string").alias("what"), "trade_value")
+    return good.unionByName(dead.groupBy("error").agg(F.count(F.lit(1)).cast("double").alias("trade_value")).select(F.lit("dead").alias("lane"), F.col("error").alias("what"), "trade_value"))
+
+
+def stream_news(s: SparkSession, d: str) -> DataFrame:
+    """The news pipeline as a stream: each story once, however often it is told within the horizon."""
+    messages, folder = _streamed(s, a.event_news(s, d), "news")
+    sinks.run_pipeline(messages, "news", f"{folder}/main", f"{folder}/checkpoint", f"{folder}/dead").awaitTermination()
+    main, dead = s.read.parquet(f"{folder}/main"), s.read.parquet(f"{folder}/dead")
+    stories = main.groupBy(F.col("title").alias("what")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("url").alias("n_stories"))
+    return stories.unionByName(dead.groupBy(F.col("error").alias("what")).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("n_stories")))
+
+
+def stream_collector(s: SparkSession, d: str) -> DataFrame:
+    """A collector of quotes over a stream, with its memory over micro-batches: rows by status, and published events."""
+    messages, folder = _streamed(s, a.equity_frames(a.event_quotes(s, d, repeats=True)), "quotes")
+    collector.run_collector(messages, "quotes", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    read = s.read.option("recursiveFileLookup", "true")
+    status = read.parquet(f"{folder}/out/{collector.STATUS}").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    events = read.text(f"{folder}/out/{collector.EVENTS}").agg(F.lit("published").alias("status"), F.count(F.lit(1)).alias("n"))
+    return status.unionByName(events)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -282,6 +412,8 @@ QUERIES: dict[str, Query] = {
         dedup_12h, dedup_session, session_12h, throughput_rolling, throughput_now, hourly_quality, lifetime_totals, freshness_last, detection_last, spread_last,
         stream_snapshot, metrics_union_streams, contract_violation_counts, dlq_union, collector_trades, collector_quotes, collector_crypto, collector_news, collector_status, collector_log, trade_frames, news_pipeline, dedup_trade_id, dedup_quote_key, dedup_either,
         sentiment_distribution, sentiment_scale, news_run_metrics, news_publish, symbol_upper_valid, iso_truncate, compact_ts,
+        contract_faults, normalise_edges, source_messages, only_symbols, metric_names, published_datetime, recent_dead_letters, throughput_sliding, exposition_text, run_text, collector_memory,
+        stream_trades, stream_news, stream_collector,
     )
 } | {
     "contract_trades": _contract("trades", a.event_trades, "event_id"),
