@@ -88,6 +88,13 @@ def _pair_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
 
 
+def _pair_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The order of pairs, by one sort unless pairs that differ are equal in their first half."""
+    order = np.argsort(a, kind="stable")
+    x, y = a[order], b[order]
+    return np.lexsort((b, a)) if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any() else order
+
+
 def _pack(sorted_: np.ndarray) -> bytes:
     """Sorted 32-bit numbers as the bytes of their differences, like bytes together."""
     gaps = np.diff(sorted_.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
@@ -208,7 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
             return empty
         name, side = _window_names(g, window, place)
         ids = g.ids[g.doc[place]]
-        order = np.lexsort((name, side))  # the bucket is the upper end of the side
+        order = _pair_order(side, name)  # the bucket is the upper end of the side
         name, side, ids = name[order], side[order], ids[order]
         at = _pair_runs(name, side)
         name, ids = np.stack([name[at], side[at]], 1), np.minimum.reduceat(ids, at)
@@ -224,7 +231,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         """The windows of each group that a document smaller than all of the group's own has."""
         names = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in table.column("names")]
         name, least = np.concatenate(names), np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("least")])
-        order = np.lexsort((name[:, 1], name[:, 0]))
+        order = _pair_order(name[:, 0], name[:, 1])
         at = _pair_runs(name[order, 0], name[order, 1])
         lowest = np.empty(len(name), np.int64)
         lowest[order] = np.repeat(np.minimum.reduceat(least[order], at), np.diff(at, append=len(name)))
@@ -239,7 +246,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         covered = np.zeros(len(g.hashes), bool)
         if inside.any():
             place = np.flatnonzero(inside)
-            order = place[np.lexsort((side[place], name[place]))]
+            order = place[_pair_order(name[place], side[place])]
             at = _pair_runs(name[order], side[order])
             ids = g.ids[g.doc[order]]
             gone = np.zeros(len(name), bool)

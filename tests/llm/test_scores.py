@@ -66,8 +66,16 @@ def test_names_with_equal_halves_are_told_apart():
     assert substrings._known(name[:0], side[:0], known).tolist() == [] and not substrings._known(name, side, known[:0]).any()
 
 
-def test_first_halves_alone_remove_nothing(spark, monkeypatch):
-    """With one polynomial made useless, the other still tells windows apart."""
+def test_pairs_are_ordered():
+    rng = np.random.default_rng(1)
+    for most in (3, 1 << 62):
+        a, b = (rng.integers(0, most, 500).astype(np.uint64) for _ in range(2))
+        order = substrings._pair_order(a, b)
+        assert list(zip(a[order], b[order], strict=True)) == sorted(zip(a, b, strict=True))
+
+
+def test_groups_of_any_size_remove_the_same(spark, monkeypatch):
+    """Groups of any size give the same result."""
     rows = [(i, t) for i, t, *_ in corpus(8, 30)] + [(i, t) for i, t, *_ in AWKWARD if i is not None and i > 20]
     d = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted((r.doc_id, r.kept_sha256) for r in substrings.remove_repeats(d).collect())
