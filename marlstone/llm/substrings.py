@@ -114,24 +114,38 @@ def _probe_keys(group: _Group, block: int, shift: int) -> np.ndarray:
 
 
 def _window_names(group: _Group, window: int, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of 64 bits for each window, by polynomials of their own: together its name. Equal names of unequal
-    windows have a chance of about one in 10^12 over 10^13 windows."""
+    """Two hashes of 64 bits for each window, by polynomials of their own: together its name."""
     both = [_rolling(group.hashes, window, by) for by in (_P, _Q)]
     return tuple(x if places is None else x[places] for x in both)
 
 
-def _known(name: np.ndarray, side: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which names are among the known ones, rows of (name, side)."""
-    known = known[np.argsort(known[:, 0], kind="stable")]
-    at, hit = np.searchsorted(known[:, 0], name), np.zeros(len(name), bool)
+def _named(name: np.ndarray, side: np.ndarray) -> bytes:
+    """Names as they are sent, within a bucket: 64 bits and the lower 32 of the side, whose upper end is the bucket. Over
+    10^13 windows any two unequal ones have an equal name with a chance of less than one in a thousand."""
+    return name.tobytes() + side.astype(np.uint32).tobytes()
+
+
+def _names(sent) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """(how many each holds, all names, all sides) of sent names."""
+    raw = [x.as_py() for x in sent]
+    sizes = [len(r) // 12 for r in raw]
+    each = lambda kind, at, n, r: np.frombuffer(r, kind, n, at)
+    return sizes, np.concatenate([each(np.uint64, 0, n, r) for n, r in zip(sizes, raw, strict=True)]), np.concatenate([each(np.uint32, 8 * n, n, r) for n, r in zip(sizes, raw, strict=True)])
+
+
+def _known(name: np.ndarray, side: np.ndarray, known_name: np.ndarray, known_side: np.ndarray) -> np.ndarray:
+    """Which names are among the known ones."""
+    order = np.argsort(known_name, kind="stable")
+    known, sides = known_name[order], known_side[order]
+    at, hit = np.searchsorted(known, name), np.zeros(len(name), bool)
     open_ = np.arange(len(name))
     while True:  # once more for each further known name that is equal in its first half
         inside = at[open_] < len(known)
         open_ = open_[inside]
-        open_ = open_[known[at[open_], 0] == name[open_]]
+        open_ = open_[known[at[open_]] == name[open_]]
         if not len(open_):
             return hit
-        hit[open_] |= known[at[open_], 1] == side[open_]
+        hit[open_] |= sides[at[open_]] == side[open_]
         open_ = open_[~hit[open_]]
         at[open_] += 1
 
@@ -218,25 +232,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         order = _pair_order(side, name)  # the bucket is the upper end of the side
         name, side, ids = name[order], side[order], ids[order]
         at = _pair_runs(name, side)
-        name, ids = np.stack([name[at], side[at]], 1), np.minimum.reduceat(ids, at)
-        bucket = ((name[:, 1] >> np.uint64(32)) >> np.uint64(shift)).astype(np.int64)
+        name, side, ids = name[at], side[at], np.minimum.reduceat(ids, at)
+        bucket = ((side >> np.uint64(32)) >> np.uint64(shift)).astype(np.int64)
         cut = [*_runs(bucket).tolist(), len(bucket)]
         parts = list(zip(cut, cut[1:], strict=False))
         return pa.table({
             "bucket": pa.array([int(bucket[a]) for a, _ in parts], pa.int64()), "grp": pa.array([table.column("grp")[0].as_py()] * len(parts), pa.int64()),
-            "names": pa.array([name[a:b].tobytes() for a, b in parts], pa.binary()), "least": pa.array([ids[a:b].tobytes() for a, b in parts], pa.binary()),
+            "names": pa.array([_named(name[a:b], side[a:b]) for a, b in parts], pa.binary()), "least": pa.array([ids[a:b].view(np.uint8).reshape(-1, 8).T.tobytes() for a, b in parts], pa.binary()),
         })
 
     def settle(table: pa.Table) -> pa.Table:
         """The windows of each group that a document smaller than all of the group's own has."""
-        names = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in table.column("names")]
-        name, least = np.concatenate(names), np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("least")])
-        order = _pair_order(name[:, 0], name[:, 1])
-        at = _pair_runs(name[order, 0], name[order, 1])
+        sizes, name, side = _names(table.column("names"))
+        least = np.concatenate([np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(8, -1).T).view(np.int64).ravel() for x in table.column("least")])
+        order = _pair_order(name, side)
+        at = _pair_runs(name[order], side[order])
         lowest = np.empty(len(name), np.int64)
         lowest[order] = np.repeat(np.minimum.reduceat(least[order], at), np.diff(at, append=len(name)))
-        gone = np.split(lowest < least, np.cumsum([len(x) for x in names])[:-1])
-        found = [(g, x[m].tobytes()) for g, x, m in zip(table.column("grp").to_pylist(), names, gone, strict=True) if m.any()]
+        cuts = np.cumsum(sizes)[:-1]
+        parts = zip(table.column("grp").to_pylist(), np.split(name, cuts), np.split(side, cuts), np.split(lowest < least, cuts), strict=True)
+        found = [(g, _named(x[m], y[m])) for g, x, y, m in parts if m.any()]
         return pa.table({"grp": pa.array([f[0] for f in found], pa.int64()), "names": pa.array([f[1] for f in found], pa.binary())})
 
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -252,8 +267,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
             gone = np.zeros(len(name), bool)
             gone[order] = np.repeat(np.minimum.reduceat(ids, at), np.diff(at, append=len(order))) < ids
             if replies.num_rows:
-                known = np.concatenate([np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in replies.column("names")])
-                gone |= inside & _known(name, side, known)
+                gone |= inside & _known(name, side.astype(np.uint32), *_names(replies.column("names"))[1:])
             edge = np.zeros(len(g.hashes) + 1, np.int64)
             edge[: len(gone)] += gone
             edge[window : window + len(gone)] -= gone

@@ -60,10 +60,13 @@ def test_one_long_word(spark):
 
 
 def test_names_with_equal_halves_are_told_apart():
-    name, side = np.array([5, 5, 5, 9, 7], np.uint64), np.array([1, 2, 3, 1, 7], np.uint64)
-    known = np.array([[5, 3], [5, 1], [9, 2], [5, 8]], np.uint64)
-    assert substrings._known(name, side, known).tolist() == [True, False, True, False, False]
-    assert substrings._known(name[:0], side[:0], known).tolist() == [] and not substrings._known(name, side, known[:0]).any()
+    name, side = np.array([5, 5, 5, 9, 7], np.uint64), np.array([1, 2, 3, 1, 7], np.uint32)
+    known, sides = np.array([5, 5, 9, 5], np.uint64), np.array([3, 1, 2, 8], np.uint32)
+    assert substrings._known(name, side, known, sides).tolist() == [True, False, True, False, False]
+    assert substrings._known(name[:0], side[:0], known, sides).tolist() == [] and not substrings._known(name, side, known[:0], sides[:0]).any()
+    sent = [substrings._named(name[:2], side[:2].astype(np.uint64)), substrings._named(name[2:], side[2:].astype(np.uint64))]
+    sizes, names, ends = substrings._names(substrings.pa.array(sent))
+    assert sizes == [2, 3] and names.tolist() == name.tolist() and ends.tolist() == side.tolist()
 
 
 def test_pairs_are_ordered():
