@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,13 +60,36 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders of this process that are still there.
+_live: dict[str, None] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the session's process ends."""
+    """A new path in the shared folder; it goes with released() around it, or when the session's process ends."""
     path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}/{name}"
+    _live[path.rpartition("/")[0]] = None
     atexit.register(_remove, spark, path.rpartition("/")[0])
     return path
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """At the end, all that was put into new scratch folders meanwhile is deleted: for work whose result is written elsewhere."""
+    before = set(_live)
+    try:
+        yield
+    finally:
+        for path in [p for p in _live if p not in before]:
+            release(spark, path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, or the folder of a scratch path."""
+    folder = path if path in _live else path.rpartition("/")[0]
+    if _live.pop(folder, 0) is None:
+        _remove(spark, folder)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         fs, p = hadoop(spark, path)
@@ -80,10 +104,10 @@ def hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a DataFrame to the shared folder and read it back: lineage ends here, lost executors don't matter."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
