@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm import mixing, naming, near, packing, quality
-from marlstone.llm._common import stored
+from marlstone.llm._common import release, released, scratch, stored
 
 #: Words of a shingle; near duplicates share four fifths or more of theirs.
 NEAR_SHINGLE = 5
@@ -53,9 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, name)
-    return docs
+    """The packed corpus. Each stage's working tables go when its result is written, and that when the next one's is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, name)
+        with released(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, path)
+        if before:
+            release(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
