@@ -239,6 +239,13 @@ WITH r AS (SELECT (l_orderkey * 8 + l_linenumber)::BIGINT AS trade_id, l_extende
 SELECT trade_id, count(*) AS n_first, min(price) AS price FROM r WHERE k = 1 GROUP BY 1""",
     "dedup_quote_key": f"""
 SELECT event_id, row_number() OVER (PARTITION BY {_SYMBOL}, date_trunc('hour', ts) ORDER BY event_id) > 1 AS is_duplicate FROM events""",
+    "dedup_either": """
+WITH RECURSIVE e AS MATERIALIZED (SELECT event_id, event_id * event_id % 701 AS id1, (event_id * 31 + event_id // 5) % 997 AS id2, row_number() OVER (ORDER BY event_id) AS n FROM events),
+r AS (SELECT n, event_id, id1, id2, true AS accepted, [id1] AS seen1, [id2] AS seen2 FROM e WHERE n = 1
+      UNION ALL
+      SELECT n, event_id, id1, id2, fresh, CASE WHEN fresh THEN list_append(seen1, id1)[-300:] ELSE seen1 END, CASE WHEN fresh THEN list_append(seen2, id2)[-300:] ELSE seen2 END
+      FROM (SELECT e.*, r.seen1, r.seen2, NOT (list_contains(r.seen1, e.id1) OR list_contains(r.seen2, e.id2)) AS fresh FROM r JOIN e ON e.n = r.n + 1))
+SELECT event_id, id1, id2, accepted FROM r""",
     "sentiment_distribution": f"SELECT {_NEWS_LABEL} AS label, count(*) AS n FROM ({_checked('news')}) WHERE status = 'valid' AND doc_id % 6 <> 5 GROUP BY 1",
     "sentiment_scale": """
 WITH s AS (SELECT doc_id, (doc_id % 21 - 10) / 20.0 AS x FROM documents)

@@ -231,8 +231,10 @@ def dedup_quote_key(s: SparkSession, d: str) -> DataFrame:
 
 
 def dedup_either(s: SparkSession, d: str) -> DataFrame:
-    """Events against a memory of two ids each; exact over one sequence, so it has no SQL."""
-    e = a.table(s, d, "events").select("event_id", (F.col("event_id") % 701).alias("id1"), (F.col("event_id") % 997).alias("id2"))
+    """Events against a memory of two ids each, some of which come again while they are remembered, some after; exact over
+    one sequence."""
+    k = F.col("event_id")
+    e = a.table(s, d, "events").select("event_id", (k * k % 701).alias("id1"), ((k * 31 + F.floor(k / 5)) % 997).alias("id2"))
     return dedup.accept_by_memory(e, ["id1", "id2"], ["event_id"], capacity=300)
 
 
