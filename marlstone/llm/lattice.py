@@ -38,6 +38,8 @@ PRIOR_COUNT = 0.1
 RUN_BYTES = 16 << 20
 #: Bytes of words that are scored at a time.
 CHUNK = 1 << 19
+#: Words that are sorted by length together, about.
+GATHER = 100_000
 #: Runs of a task, runs whose words are a task's, and the most partitions of a shuffle.
 RUNS, WORD_RUNS, MOST_PARTS = 4, 2, 1 << 16
 _OUT = float("-inf")
@@ -75,28 +77,29 @@ class Pieces:
                 at = edges[at][b]
             self.piece_of[at] = k
         self.piece_of = np.array(self.piece_of)
-        self.next = np.zeros((len(edges), 256), np.int32)
+        # where a node's byte leads, at 256 times the node and the byte; itself 256 times a node
+        self.next = np.zeros(len(edges) << 8, np.int64)
         for k, e in enumerate(edges):
             for b, to in e.items():
-                self.next[k, b] = to
+                self.next[(k << 8) + b] = to << 8
 
-    def lattice(self, batch: np.ndarray) -> list[list[tuple[int, np.ndarray | slice, np.ndarray]]]:
+    def lattice(self, batch: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
         """Of words of one length, a row of bytes each: by start, (end, rows, piece) of every piece that matches there."""
-        n, length = batch.shape
-        out = []
-        for i in range(length):
-            rows, node, arcs = np.arange(n), np.ones(n, np.int32), []
-            for j in range(i, length):
-                node = self.next[node, batch[rows, j]]
-                on = node > 0
-                if not on.all():
+        at_place = np.ascontiguousarray(batch.T)
+        every, out = np.arange(len(batch)), []
+        for i in range(len(at_place)):
+            rows, node, arcs = every, np.int64(1 << 8), []
+            for j in range(i, len(at_place)):
+                node = self.next[node + (at_place[j] if rows is every else at_place[j][rows])]
+                on = np.flatnonzero(node)
+                if len(on) < len(rows):
                     rows, node = rows[on], node[on]
                     if not len(rows):
                         break
-                piece = self.piece_of[node]
-                hit = piece >= 0
-                if hit.any():
-                    arcs.append((j + 1, rows[hit], piece[hit]))
+                piece = self.piece_of[node >> 8]
+                hit = np.flatnonzero(piece >= 0)
+                if len(hit):
+                    arcs.append((j + 1, rows[hit], piece[hit]) if len(hit) < len(rows) else (j + 1, rows, piece))
             out.append(arcs)
         return out
 
@@ -128,12 +131,14 @@ class Pieces:
                 alpha = self.forward(arcs, len(batch), weights)
                 beta = np.full_like(alpha, _OUT)
                 beta[-1] = 0.0
-                whole, c = alpha[-1], counts[at]
+                whole, c, seen, times = alpha[-1], counts[at], [], []
                 for i in range(len(arcs) - 1, -1, -1):
                     for j, rows, piece in arcs[i]:
                         rest = weights[piece] + beta[j, rows]
                         beta[i, rows] = np.logaddexp(beta[i, rows], rest)
-                        total += np.bincount(piece, np.exp(alpha[i, rows] + rest - whole[rows]) * c[rows], len(total))
+                        seen.append(piece)
+                        times.append(np.exp(alpha[i, rows] + rest - whole[rows]) * c[rows])
+                total += np.bincount(np.concatenate(seen), np.concatenate(times), len(total))
         return total
 
 
@@ -150,6 +155,19 @@ def batches_of(ws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield np.array(part), np.frombuffer(raw, np.uint8).reshape(len(part), length + 1)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches, put together up to GATHER words or eight times CHUNK bytes: few words of a length cost as many calls as many."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= GATHER or size >= 8 * CHUNK:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 @lru_cache(1)
 def pieces(vocabulary: str) -> Pieces:
     """The vocabulary, on whichever machine asks: a file of the public tokenizers, or a path."""
@@ -235,8 +253,8 @@ def fit(counted: DataFrame, n_ends: int, vocabulary: str, rounds: int = ROUNDS)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             p, total = pieces(vocabulary), 0.0
-            for batch in batches:
-                total = total + p.expected(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float), sent.value)
+            for part in gathered(batches):
+                total = total + p.expected(part.column(0).to_pylist(), part.column(1).to_numpy().astype(float), sent.value)
             if not isinstance(total, float):
                 some = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "n"])
@@ -271,10 +289,10 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in gathered(batches):
             p = pieces(vocabulary)
-            own, given = p.log_probabilities(batch.column(0).to_pylist(), sent.value, p.start)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own), pa.array(given)], ["word", "n", "lp", "given"])
+            own, given = p.log_probabilities(part.column(0).to_pylist(), sent.value, p.start)
+            yield from part.append_column("lp", pa.array(own)).append_column("given", pa.array(given)).to_batches()
 
     spelt = counted.mapInArrow(spell, "word binary, n long, lp double, given double").repartition(word_parts, "word")
     back = in_runs.select(F.col("run").alias("of_run"), "word", "local").join(spelt, "word").select("of_run", "local", "n", "lp", "given")
