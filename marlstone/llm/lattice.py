@@ -38,6 +38,8 @@ PRIOR_COUNT = 0.1
 RUN_BYTES = 16 << 20
 #: Bytes of words that are scored at a time.
 CHUNK = 1 << 19
+#: Bytes from which on a word is walked by itself, a stretch of starts at a time.
+LONG, STRETCH = 4096, 1 << 15
 #: Words that are sorted by length together, about.
 GATHER = 100_000
 #: Runs of a task, runs whose words are a task's, and the most partitions of a shuffle.
@@ -65,6 +67,7 @@ class Pieces:
         #: the vocabulary's log-probabilities, of the pieces and of the end, which comes before the first rank
         start = np.array([1 / (rank[p] + 3) for p in self.pieces])
         self.start, self.end = np.log(start / (start.sum() + 1 / 2)), math.log(1 / 2 / (start.sum() + 1 / 2))
+        self.longest = max(map(len, self.pieces))
         edges: list[dict[int, int]] = [{}, {}]  # node 0 is where nothing matches, 1 the root
         self.piece_of = [-1, -1]
         for k, p in enumerate(self.pieces):
@@ -120,6 +123,9 @@ class Pieces:
             arcs = self.lattice(batch)
             for k, w in enumerate(weights):
                 out[k, at] = self.forward(arcs, len(batch), w)[-1]
+        for at, raw in long_words(ws):
+            for k, w in enumerate(weights):
+                out[k, at] = self.marks(raw, w.tolist())[-1][0]
         return out if len(weights) > 1 else out[0]
 
     def expected(self, ws: list[bytes], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -139,14 +145,77 @@ class Pieces:
                         seen.append(piece)
                         times.append(np.exp(alpha[i, rows] + rest - whole[rows]) * c[rows])
                 total += np.bincount(np.concatenate(seen), np.concatenate(times), len(total))
+        for at, raw in long_words(ws):
+            total += counts[at] * self.expected_of_long(raw, weights.tolist())
         return total
 
+    def matches(self, raw: np.ndarray, at: int) -> list[list[tuple[int, int]]]:
+        """Of a stretch of one word's starts, from `at` on: (length, piece) of every piece that matches there."""
+        rows = np.arange(at, min(at + STRETCH, len(raw)))
+        node, out = np.full(len(rows), 1 << 8), [[] for _ in rows]
+        for j in range(self.longest):
+            inside = rows < len(raw) - j
+            rows = rows[inside]
+            node = self.next[node[inside] + raw[rows + j]]
+            on = np.flatnonzero(node)
+            rows, node = rows[on], node[on]
+            if not len(rows):
+                break
+            piece = self.piece_of[node >> 8]
+            hit = np.flatnonzero(piece >= 0)
+            for i, p in zip((rows[hit] - at).tolist(), piece[hit].tolist(), strict=True):
+                out[i].append((j + 1, p))
+        return out
+
+    def onward(self, arcs: list[list[tuple[int, int]]], mark: list[float], weights: list[float]) -> list[float]:
+        """alpha at a stretch's places and as far behind it as a piece reaches, from what the stretch before has of these."""
+        alpha = mark + [_OUT] * len(arcs)
+        for i, found in enumerate(arcs):
+            a = alpha[i]
+            for n, p in found:
+                alpha[i + n] = _either(alpha[i + n], a + weights[p])
+        return alpha
+
+    def marks(self, raw: np.ndarray, weights: list[float]) -> list[list[float]]:
+        """alpha where each stretch of a word begins and as far behind as a piece reaches; last, where the word ends."""
+        out = [[0.0] + [_OUT] * self.longest]
+        for at in range(0, len(raw), STRETCH):
+            out.append(self.onward(self.matches(raw, at), out[-1], weights)[-self.longest - 1 :])
+        return out
+
+    def expected_of_long(self, raw: np.ndarray, weights: list[float]) -> np.ndarray:
+        """How often each piece is expected in one word: what a stretch needs is made anew on the way back."""
+        *marks, last = self.marks(raw, weights)
+        total, beta = [0.0] * len(self.pieces), [0.0] + [_OUT] * self.longest
+        for k in range(len(marks) - 1, -1, -1):
+            arcs = self.matches(raw, k * STRETCH)
+            alpha = self.onward(arcs, marks[k], weights)
+            beta = [_OUT] * len(arcs) + beta[: self.longest + 1]
+            for i in range(len(arcs) - 1, -1, -1):
+                so_far = alpha[i] - last[0]
+                for n, p in arcs[i]:
+                    rest = weights[p] + beta[i + n]
+                    beta[i] = _either(beta[i], rest)
+                    total[p] += math.exp(so_far + rest)
+        return np.array(total)
+
+
+def _either(x: float, y: float) -> float:
+    """The logarithm of the sum of two probabilities, from theirs; y is none of zero."""
+    return y + math.log1p(math.exp(x - y)) if x < y else x + math.log1p(math.exp(y - x))
+
+
+def long_words(ws: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, bytes with a leading space) of words longer than LONG."""
+    return ((k, np.frombuffer(b" " + w, np.uint8)) for k, w in enumerate(ws) if len(w) > LONG)
+
 
 def batches_of(ws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, bytes) of words of one length, each with a leading space, CHUNK bytes or one word at a time."""
+    """(places, bytes) of words of one length, at most LONG, each with a leading space, CHUNK bytes or one word at a time."""
     by_length: dict[int, list[int]] = defaultdict(list)
     for k, w in enumerate(ws):
-        by_length[len(w)].append(k)
+        if len(w) <= LONG:
+            by_length[len(w)].append(k)
     for length, places in by_length.items():
         step = max(1, CHUNK // (length + 1) // 8)
         for at in range(0, len(places), step):
