@@ -5,9 +5,10 @@ in either place. So the non-overlapping blocks of every document are the index,
 words is a probe. Probes that meet an anchor of another document are hits; hits are extended to all enclosing windows
 of WINDOW words, each of which finds the least document that holds it; runs of covered words are the maximal repeats.
 
-Documents are dealt into groups of about GROUP_BYTES by a hash of their ids. A group sends each of its probes once, as
-sorted numbers, and each window that encloses a hit once, with the group's least document. So a passage that n
-documents share costs as many rows as there are groups that hold it; pairs of documents are never formed.
+Documents are dealt into groups of about GROUP_BYTES by a hash of their ids and texts, so rows of one id, or of none,
+needn't meet in one group. A group sends each of its probes once, as sorted numbers, and each window that encloses a
+hit once, with the group's least document. So a passage that n documents share costs as many rows as there are groups
+that hold it; pairs of documents are never formed.
 """
 
 from __future__ import annotations
@@ -166,7 +167,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     shift = 32 - bits
     # partitions by the data: a task has a few groups, or buckets
     group_parts, bucket_parts = min(MOST_PARTS, -(-groups // GROUPS)), min(MOST_PARTS, max(1, (1 << bits) // BUCKETS))
-    docs = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("grp"), "doc_id", "text").repartition(group_parts, "grp")
+    docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("grp"), "doc_id", "text").repartition(group_parts, "grp")
 
     def announce(table: pa.Table) -> pa.Table:
         """A group's probes: each once, and whether it is an anchor and whether two of the group's documents have it."""

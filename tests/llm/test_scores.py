@@ -59,6 +59,32 @@ def test_one_long_word(spark):
     assert all(math.isfinite(x.score) for x in lattice.score(d, rounds=1).collect())
 
 
+def test_long_words_by_stretches_are_like_short_ones(monkeypatch):
+    """Words walked by themselves, over stretches shorter than a piece and longer than the word, give what batches give."""
+    p, r = lattice.pieces("piece_bpe_32k.model"), random.Random(4)
+    ws = [b"the", bytes(r.choice(b"abcdeinorst") for _ in range(700)), "é日🙂".encode() * 20, b"internationalisation" * 9]
+    counts, other = np.array([1.0, 2.0, 3.0, 0.5]), p.start * 1.1
+    want, pieces = p.log_probabilities(ws, p.start, other), p.expected(ws, counts, p.start)
+    monkeypatch.setattr(lattice, "LONG", 2)
+    for stretch in (7, 64, 1 << 15):
+        monkeypatch.setattr(lattice, "STRETCH", stretch)
+        assert p.log_probabilities(ws, p.start, other) == pytest.approx(want)
+        assert p.expected(ws, counts, p.start) == pytest.approx(pieces, abs=1e-8)
+
+
+def test_rows_of_a_hot_id_are_dealt_to_many_groups(spark, monkeypatch):
+    """Rows that share an id, or have none, needn't be together: they never remove each other's words."""
+    rows = [(i if i % 3 else (None if i % 2 else 5), t) for i, t, *_ in corpus(9, 60)]
+    rows += [(None, rows[1][1]), (5, rows[1][1]), (900, rows[3][1])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    shown = lambda: sorted((str(r.doc_id), r.kept_sha256) for r in substrings.remove_repeats(d).collect())
+    want = shown()
+    monkeypatch.setattr(substrings, "GROUP_BYTES", 2_000)
+    assert shown() == want
+    own = d.filter("doc_id is null")
+    assert substrings.remove_repeats(own).agg(F.sum("n_removed")).first()[0] == 0
+
+
 def test_names_with_equal_halves_are_told_apart():
     name, side = np.array([5, 5, 5, 9, 7], np.uint64), np.array([1, 2, 3, 1, 7], np.uint32)
     known, sides = np.array([5, 5, 9, 5], np.uint64), np.array([3, 1, 2, 8], np.uint32)
