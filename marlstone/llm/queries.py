@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import bpe, lattice, mixing, naming, packing, quality, secrets, shards, simhash, substrings
+from marlstone.llm import bpe, divergence, factorisation, lattice, mixing, naming, packing, quality, repair, secrets, shards, simhash, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +142,43 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, crf, carry=["doc_id"])
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+each AS (SELECT k, lang, source, unnest(ts) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM each GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM kept GROUP BY lang),
+counts AS (SELECT e.lang, e.source, e.term, count(*) AS n FROM each e JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS group_n FROM counts GROUP BY lang, source),
+groups AS (SELECT d.lang, d.source, coalesce(s.group_n, 0)::HUGEINT AS group_n, coalesce(v, 0)::HUGEINT AS v, coalesce(lang_n, 0)::HUGEINT AS lang_n
+           FROM (SELECT DISTINCT lang, source FROM docs) d LEFT JOIN sums s USING (lang, source) LEFT JOIN langs USING (lang)),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.group_n + 5 * g.v) AS p,
+                  1 + (1000000000::HUGEINT * (k.total + 5)) // (g.lang_n + 5 * g.v) AS q
+           FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    machine = factorisation.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = factorisation.score(docs, machine, carry=["doc_id"])
+    return scored.select("doc_id", F.coalesce(~factorisation.learnable(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_score": op1_lattice_score,
     "op2_secret_scan": op2_secret_scan,
@@ -153,10 +190,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compacted_shards": op8_compacted_shards,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
     "op2_secret_scan": OP2_SQL,
     "op4_source_mix": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
