@@ -34,8 +34,8 @@ WORDS_LENGTH = 2.0
 SAMPLE, CELLS = 6000, 4_000_000
 #: Rows whose number (crc32 of the id as text) leaves 0 by FOLDS are never learned from.
 FOLDS = 5
-#: Documents of a step of the fit, passes over the sample, steps' length, pull to zero of weights and factors.
-BATCH, PASSES, RATE, RIDGE, RIDGE_FACTORS = 256, 12, 0.02, 2e-5, 2e-4
+#: Documents of a step of the fit, passes over the sample and steps at the least, steps' length, pull to zero of weights and factors.
+BATCH, PASSES, STEPS, RATE, RIDGE, RIDGE_FACTORS = 256, 12, 400, 0.02, 2e-5, 2e-4
 #: The least score of good documents.
 THRESHOLD = 0.3
 #: Words whose buckets a task remembers.
@@ -193,7 +193,7 @@ def learn(vectors: list[tuple[np.ndarray, np.ndarray]], quality: np.ndarray, sha
     state = [np.zeros((2, *a.shape), np.float32) for a in (m.weights, m.factors)]
     bias = np.zeros(2)
     step = 0
-    for _ in range(passes):
+    for _ in range(max(passes, -(-STEPS // len(batches)))):
         for k in draw.permutation(len(batches)):
             step += 1
             b = batches[k]
