@@ -46,6 +46,8 @@ def live(spark: SparkSession, stream: str, options: dict[str, str]) -> DataFrame
     """The frames of a stream's feed."""
     feeds.register(spark)
     options = dict(options)
+    if "log" in options and "://" not in options["log"] and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("log: give the URI of a folder that driver and executors share, such as hdfs://...")
     key, secret = options.pop("key", ""), options.pop("secret", "")
     if stream == "news":
         return spark.readStream.format("marlstone_news").options(key=key, **options).load()

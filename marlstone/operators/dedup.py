@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from marlstone.config import SETTINGS
 from marlstone.functions.cast import fresh
+from marlstone.streaming import scratch
 
 #: Accepted ids that a collector remembers.
 CAPACITY = SETTINGS.capacity
@@ -135,3 +136,94 @@ def accept_by_memory(df: DataFrame, ids: list[str], order: list[str], scope: lis
         return step
 
     return _folded(df, scope or [], order, [F.col(c) for c in ids], fold, out, one_partition=not scope, where=where)
+
+
+
+def bounded_memory(df: DataFrame, ids: list[str], order: list[str], capacity: int = CAPACITY, out: str = "accepted", where: Column | None = None, stretch: int | None = None) -> tuple[DataFrame, int]:
+    """What accept_by_memory gives without a scope, in parallel; and the rounds that it took.
+
+    A row is a duplicate if no more than `capacity` rows were accepted since, and with, the last accepted one with an id of its. The
+    order is cut into stretches of `stretch` rows (4 * capacity), each of which is one sequence in one task. It starts from
+    the accepted rows before it that may still be remembered; first ones are guessed (each id's first row), then those that
+    the round before has accepted, until no row changes. Each round settles at least one more stretch, so the end is the one
+    sequence's own outcome; as a memory soon forgets what it started from, few rounds are needed.
+
+    df is written once, with a number for each row. Rows whose ids come once are always accepted: they are counted up front and take
+    no further part. A round shuffles and writes narrow rows of the others: number, place, hashed ids; an accepted one
+    also goes to the stretches, mostly the next one, that may remember it. Rows that are equal in order are taken in the
+    order of their number. Null ids are ids like any other.
+    """
+    spark, base = df.sparkSession, scratch.folder(df.sparkSession, "memory")
+
+    def stored(x: DataFrame, name: str) -> DataFrame:
+        x.write.parquet(f"{base}/{name}")
+        return spark.read.schema(x.schema).parquet(f"{base}/{name}")
+
+    row, ok = fresh("row", df.columns), fresh("counts", df.columns)
+    counts = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    whole = stored(df.withColumn(ok, counts).withColumn(row, F.monotonically_increasing_id()), "rows")
+    keys, sort = [f"id{k}" for k in range(len(ids))], [*(f"o{k}" for k in range(len(order))), "row"]
+    named = [F.coalesce(F.unhex(F.md5(F.col(c).cast("string").cast("binary"))), F.lit(b"")).alias(k) for c, k in zip(ids, keys, strict=True)]
+    narrow = whole.filter(ok).select(*named, *(F.col(c).alias(o) for c, o in zip(order, sort, strict=False)), F.col(row).alias("row"))
+    again = F.lit(False)
+    for k in keys:
+        narrow = narrow.join(narrow.groupBy(k).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(k, F.lit(True).alias(f"{k}_again")), k, "left")
+        again = again | F.col(f"{k}_again").isNotNull()
+    placed = stored(narrow.select(*keys, *sort, again.alias("again")).repartitionByRange(*sort).withColumn("range", F.spark_partition_id()), "placed")
+    # places in the order and sums before them, through the ranges, of which there are as many as partitions
+    within, earlier = Window.partitionBy("range").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"pos": F.lit(1).cast("long"), "fixed": (~F.col("again")).cast("long")}
+    before = placed.groupBy("range").agg(*(F.sum(c).alias(n) for n, c in sums.items())).select("range", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}0") for n in sums))
+    at = placed.select(*keys, "row", "again", "range", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(n) for n, c in sums.items())).join(before, "range")
+    part = F.floor((F.col("pos") + F.col("pos0")) / (stretch or max(1000, 4 * capacity))).alias("part")
+    at = stored(at.select(*keys, "row", "again", (F.col("pos") + F.col("pos0")).alias("pos"), (F.col("fixed") + F.col("fixed0")).alias("fixed"), part), "at")
+    bases = stored(at.groupBy("part").agg(F.min("fixed").alias("fixed0")), "bases")
+    first = F.lit(True)
+    for k in keys:
+        first = first & (F.row_number().over(Window.partitionBy(k).orderBy("pos")) == 1)
+    guess = at.filter("again").join(bases, "part").select(*keys, "row", "part", "pos", (F.col("fixed") - F.col("fixed0")).alias("gap"), first.alias("flag"), F.lit(None).cast("boolean").alias("was"))
+    so_far = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    guess = stored(guess.withColumn("n", F.col("gap") + F.coalesce(F.sum(F.col("flag").cast("long")).over(so_far), F.lit(0))), "guess")
+    rounds, by = 0, Window.orderBy("part")
+    while True:
+        rounds += 1
+        taken = guess.groupBy("part").agg(F.sum(F.col("flag").cast("long")).alias("taken"))
+        starts = bases.join(taken, "part", "left").select("part", (F.col("fixed0") + F.coalesce(F.sum("taken").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("start"))
+        starts = starts.withColumn("reach", F.max("part").over(Window.orderBy("start").rangeBetween(0, capacity)))
+        starts = starts.withColumn("reach", F.lead("reach").over(by))  # the last stretch that may remember a row of this one
+        lent = guess.filter("flag").join(starts.filter("reach > part"), "part").withColumn("to", F.explode(F.sequence(F.col("part") + 1, "reach"))).withColumn("n", F.col("start") + F.col("n"))
+        lent = lent.drop("part", "start").join(starts.select(F.col("part").alias("to"), "start"), "to").withColumn("n", F.col("n") - F.col("start")).filter(F.col("n") >= -capacity)
+        lent = lent.select(*keys, "row", F.col("to").alias("part"), "pos", "gap", F.lit(None).cast("boolean").alias("flag"), "was", "n")
+        both = guess.unionByName(lent).withColumn("own", F.col("flag").isNotNull()).repartition("part").sortWithinPartitions("part", "own", "pos")
+        guess = stored(both.mapInArrow(_remembered(keys, capacity, guess.columns), guess.schema), f"round{rounds}")
+        if guess.filter("flag <> was").isEmpty():
+            break
+    flags = guess.select(F.col("row").alias(row), F.col("flag").alias(out))
+    got = whole.join(flags, row, "left").withColumn(out, F.col(ok) & F.coalesce(F.col(out), F.lit(True)))
+    return got.select(*df.columns, out), rounds
+
+
+def _remembered(keys: list[str], capacity: int, columns: list[str]):
+    """Stretches, sorted, each with what is lent to it in front, to their own rows with flags decided in turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, taken, seen = None, 0, [{} for _ in keys]
+        for batch in batches:
+            flags, places = [], []
+            for part, own, n, gap, *values in zip(*(batch.column(c).to_pylist() for c in ("part", "own", "n", "gap", *keys)), strict=True):
+                if part != stretch:
+                    stretch, taken, seen = part, 0, [{} for _ in keys]
+                if own:
+                    n = gap + taken
+                    fine = all(n - s.get(v, n - capacity - 1) > capacity for v, s in zip(values, seen, strict=True))
+                    taken += fine
+                    flags.append(fine)
+                    places.append(n)
+                if not own or fine:
+                    for v, s in zip(values, seen, strict=True):
+                        s[v] = n
+            mine = batch.filter(batch.column("own"))
+            new = {"was": mine.column("flag"), "flag": pa.array(flags, pa.bool_()), "n": pa.array(places, pa.int64())}
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else mine.column(c) for c in columns], names=columns)
+
+    return run

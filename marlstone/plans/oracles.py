@@ -53,6 +53,11 @@ def _contract(stream: str) -> str:
 _TRADE_CODES = "CASE event_id % 11 WHEN 1 THEN 'missing:p' WHEN 2 THEN 'cast:p:double' WHEN 4 THEN 'cast:s:long' WHEN 7 THEN 'cast:t:timestamp' WHEN 8 THEN 'parse:json' END"
 _CRYPTO_CODES = "CASE event_id % 9 WHEN 5 THEN 'cast:time:timestamp' WHEN 6 THEN 'missing:ingest_timestamp' END"
 _NEWS_LABEL = "CASE WHEN doc_id % 6 = 5 THEN NULL ELSE (['Bearish', 'Somewhat-Bearish', 'Neutral', 'Somewhat_Bullish', 'Bullish'])[doc_id % 6 + 1] END"
+_TRADES_QUOTES = f"""t AS (SELECT event_id, CASE WHEN event_id % 11 = 6 THEN 'A1' ELSE {_SYMBOL} END AS symbol, ts, CASE WHEN event_id % 11 = 3 THEN -1.0 ELSE value END AS price FROM events WHERE event_id % 11 NOT IN (1, 2, 4, 7, 8)),
+q AS (SELECT event_id AS quote_id, {_SYMBOL} AS symbol, ts AS quoted, CASE WHEN event_id % 5 = 0 THEN 0.0::DOUBLE ELSE round(value, 2) END AS bid_price, round(value, 2) + (event_id % 7 - 3) / 4.0 AS ask_price FROM events)"""
+_SESSIONS = """m AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 12 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k FROM m),
+sessions AS (SELECT user_id, event_type, epoch_us(min(ts)) AS a, epoch_us(max(ts) + INTERVAL 12 HOUR) AS b, count(*) AS n FROM g GROUP BY user_id, event_type, k)"""
 _FIRST = "row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn"
 
 # What the collectors receive, in frames, and what becomes of it.
@@ -113,6 +118,16 @@ WITH v AS (SELECT stream, epoch_us(arrival_ts) AS us FROM ({_STATUS}) WHERE stat
 w AS (SELECT stream, us // 600000000 * 600000000 - k * 600000000 AS window_start FROM v, range(0, 6) AS r(k))
 SELECT stream, window_start, round(count(*) / 3600, 4) AS throughput_msgs_per_sec FROM w GROUP BY ALL""",
     "collector_memory": f"WITH {_TRADES_IN} SELECT frame, item, status FROM said",
+    "collector_short_memory": f"""
+WITH {_TRADES_IN}, o AS (SELECT *, row_number() OVER (ORDER BY frame, item) AS place FROM c WHERE status = 'valid')
+SELECT frame, item, CASE WHEN place - lag(place) OVER (PARTITION BY id ORDER BY place) <= 2 THEN 'duplicate' ELSE status END AS status FROM o
+UNION ALL SELECT frame, item, status FROM c WHERE status = 'invalid' AND codes <> 'parse:json'""",
+    "stream_trade_quotes": f"""
+WITH {_TRADES_QUOTES}
+SELECT event_id, quote_id, t.symbol, price, bid_price FROM t JOIN q ON t.symbol = q.symbol AND quoted BETWEEN ts - INTERVAL 60 SECOND AND ts WHERE quote_id % 3 = 0""",
+    "stream_quality": f"WITH {_RECEIVED} SELECT stream, {_HOUR} AS window_start, {_COUNTS.format(p='window')}, {_RATES} FROM received GROUP BY ALL",
+    "stream_two_queries": f"""
+SELECT CASE WHEN {_TRADE_CODES} IS NULL THEN 'main' ELSE 'dead' END AS lane, count(*) AS n, 2::BIGINT AS batches FROM events GROUP BY event_id % 2, 1""",
     "stream_trades": f"""
 SELECT 'main' AS lane, event_id::VARCHAR AS what, round(value * CASE WHEN event_id % 11 = 4 THEN 10 WHEN event_id % 11 = 5 THEN 10 ELSE user_id % 100 + 1 END, 8) AS trade_value
 FROM (SELECT event_id, user_id, CASE WHEN event_id % 11 = 3 THEN -1.0 ELSE value END AS value FROM events WHERE {_TRADE_CODES} IS NULL)
@@ -121,6 +136,21 @@ UNION ALL SELECT 'dead', {_TRADE_CODES}, count(*)::DOUBLE FROM events WHERE {_TR
 SELECT event_type AS what, count(DISTINCT user_id) AS n, count(DISTINCT user_id) AS n_stories FROM events WHERE event_id % 13 <> 0 GROUP BY 1
 UNION ALL SELECT 'cast:time_published:timestamp', count(*), 0 FROM events WHERE event_id % 13 = 0""",
     "stream_collector": f"WITH {_QUOTES_IN}, n AS (SELECT status, count(*) AS n FROM said GROUP BY 1) SELECT * FROM n UNION ALL SELECT 'published', n FROM n WHERE status = 'valid'",
+    "asof_trades_quotes": f"""
+WITH {_TRADES_QUOTES}, z AS (SELECT * FROM q WHERE quote_id % 3 = 0)
+SELECT event_id, t.symbol, price, quote_id, bid_price, ask_price, epoch_us(ts) - epoch_us(quoted) AS age_micros FROM t ASOF LEFT JOIN z ON t.symbol = z.symbol AND t.ts > z.quoted""",
+    "asof_next_quote": f"""
+WITH {_TRADES_QUOTES}, z AS (SELECT * FROM q WHERE quote_id % 3 = 1),
+j AS (SELECT event_id, t.symbol, quote_id, epoch_us(quoted) - epoch_us(ts) AS wait FROM t ASOF LEFT JOIN z ON t.symbol = z.symbol AND t.ts <= z.quoted)
+SELECT event_id, symbol, CASE WHEN wait <= 600000000 THEN quote_id END AS quote_id, CASE WHEN wait <= 600000000 THEN wait END AS wait_micros FROM j""",
+    "quotes_around_trades": f"""
+WITH {_TRADES_QUOTES}
+SELECT event_id, count(*) AS n_quotes, max(bid_price) AS best_bid, min(ask_price) AS best_ask
+FROM t JOIN q ON t.symbol = q.symbol AND quoted >= ts - INTERVAL 5 MINUTE AND quoted < ts WHERE quote_id % 3 = 2 GROUP BY event_id""",
+    "sessions_overlap": f"""
+WITH {_SESSIONS}
+SELECT v.user_id, v.a AS session_start, e.a AS error_start, v.n, e.n AS error_n, least(v.b, e.b) - greatest(v.a, e.a) AS shared_micros
+FROM sessions v JOIN sessions e ON v.user_id = e.user_id AND v.event_type = 'view' AND e.event_type = 'error' AND v.a < e.b AND e.a < v.b""",
     "trade_value": """
 SELECT (l_orderkey * 8 + l_linenumber)::BIGINT AS trade_id, 'SYM' || l_returnflag || l_linestatus AS symbol, l_extendedprice AS price, l_quantity::BIGINT AS size,
        round(l_extendedprice * l_quantity::BIGINT, 8) AS trade_value, l_extendedprice * l_quantity::BIGINT > 10000 AS is_large_trade, CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END AS n_conditions

@@ -122,16 +122,20 @@ def collect(messages: DataFrame, stream: str, order: list[str], arrival: str, va
 
     order tells the arrival order of messages; arrival is the column of their ingest time. The messages are parsed and
     checked once, and no row is left behind: invalid rows travel with the valid ones. Duplicates: by default any
-    earlier valid message of the same identity; exact takes a memory of the last `capacity` accepted ones, in one
-    sequence for each scope. Crypto has two identities, so it is always exact, by product unless a scope is given;
-    scope=[] makes it one sequence over all products. News articles have none.
+    earlier valid message of the same identity; exact takes a memory of the last `capacity` accepted ones, over all
+    messages, in parallel, or in one sequence for each scope. Crypto has two identities, so it is always exact, by product unless a
+    scope is given; scope=[] takes all products together. News articles have none.
     """
     rows, order, valid = received(messages, stream, arrival, value), [*order, "item"], F.col("status") == "valid"
     if stream == "news":
         return settled(rows, stream, F.lit(False))
     if stream == "crypto" or exact:
         scope = ["symbol"] if scope is None and stream == "crypto" else scope
-        rows = dedup.accept_by_memory(rows, ["id", "id2"] if stream == "crypto" else ["id"], order, scope, capacity, "__accepted", valid)
+        ids = ["id", "id2"] if stream == "crypto" else ["id"]
+        if scope:
+            rows = dedup.accept_by_memory(rows, ids, order, scope, capacity, "__accepted", valid)
+        else:
+            rows, _ = dedup.bounded_memory(rows, ids, order, capacity, "__accepted", valid)
         return settled(rows, stream, ~F.col("__accepted")).drop("__accepted")
     rows = dedup.mark_repeats(rows, ["id"], order, "__again", where=valid)
     return settled(rows, stream, F.col("__again")).drop("__again")
@@ -142,10 +146,10 @@ def valid_events(collected: DataFrame) -> DataFrame:
     return collected.filter("status = 'valid'").select(F.col("event").cast("binary").alias("value"))
 
 
-def status_rows(collected: DataFrame, arrival_seq: Column, arrival: str) -> DataFrame:
-    """Collected rows as the status table that the metrics are computed from."""
+def status_rows(collected: DataFrame, arrival_seq: Column, arrival: str, kind: str = "long") -> DataFrame:
+    """Collected rows as the status table that the metrics are computed from; kind: the type of the arrivals' numbers."""
     detection = F.col("detection_ms") if "detection_ms" in collected.columns else F.lit(None).cast("double")
-    return collected.select("stream", arrival_seq.cast("long").alias("arrival_seq"), F.col(arrival).alias("arrival_ts"), "status", "freshness_seconds", "spread", detection.alias("detection_ms"))
+    return collected.select("stream", arrival_seq.cast(kind).alias("arrival_seq"), F.col(arrival).alias("arrival_ts"), "status", "freshness_seconds", "spread", detection.alias("detection_ms"))
 
 
 def log_lines(collected: DataFrame, key: str | None = None) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import cast
-from marlstone.operators import contracts, dedup, derive, exposition, metrics, normalise, parse
+from marlstone.operators import contracts, dedup, derive, exposition, joins, metrics, normalise, parse
 from marlstone.plans import cases, pipelines
 from marlstone.sources import adapters as a
 from marlstone.sources import files
 from marlstone.streaming import collector, scratch, sinks
+from marlstone.streaming import joins as stream_joins
+from marlstone.streaming.tables import BatchTable, query_id
 
 HALF_DAY = derive.NEWS_HORIZON_SECONDS
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,10 +234,11 @@ def dedup_quote_key(s: SparkSession, d: str) -> DataFrame:
 
 def dedup_either(s: SparkSession, d: str) -> DataFrame:
     """Events against a memory of two ids each, some of which come again while they are remembered, some after; exact over
-    one sequence."""
+    stretches of the sequence."""
     k = F.col("event_id")
     e = a.table(s, d, "events").select("event_id", (k * k % 701).alias("id1"), ((k * 31 + F.floor(k / 5)) % 997).alias("id2"))
-    return dedup.accept_by_memory(e, ["id1", "id2"], ["event_id"], capacity=300)
+    got, _ = dedup.bounded_memory(e, ["id1", "id2"], ["event_id"], capacity=300, stretch=25_000)
+    return got
 
 
 def sentiment_distribution(s: SparkSession, d: str) -> DataFrame:
@@ -372,6 +375,50 @@ def collector_memory(s: SparkSession, d: str) -> DataFrame:
     return got.select("frame", "item", "status")
 
 
+def _trades(s: SparkSession, d: str) -> DataFrame:
+    return normalise.main_lane(_events(s, d, "trades")).select("event_id", "symbol", F.col("exchange_ts").alias("at"), "price")
+
+
+def _quotes(s: SparkSession, d: str, which: int) -> DataFrame:
+    """The quotes of every third event."""
+    q = normalise.main_lane(_events(s, d, "quotes")).filter(F.col("event_id") % 3 == which)
+    return q.select(F.col("event_id").alias("quote_id"), "symbol", F.col("exchange_ts").alias("quoted"), "bid_price", "ask_price")
+
+
+def asof_trades_quotes(s: SparkSession, d: str) -> DataFrame:
+    """Each trade with the last quote of its symbol before it."""
+    got = joins.asof_join(_trades(s, d), _quotes(s, d, 0), ["symbol"], "at", ["quote_id", "quoted", "bid_price", "ask_price"], "quoted", ["quote_id"], exact=False)
+    return got.select("event_id", "symbol", "price", "quote_id", "bid_price", "ask_price", (F.unix_micros("at") - F.unix_micros("quoted")).alias("age_micros"))
+
+
+def asof_next_quote(s: SparkSession, d: str) -> DataFrame:
+    """Each trade with the next quote of its symbol, if that comes within ten minutes."""
+    got = joins.asof_join(_trades(s, d), _quotes(s, d, 1), ["symbol"], "at", ["quote_id", "quoted"], "quoted", ["quote_id"], tolerance_seconds=600, forward=True, slice_seconds=900)
+    return got.select("event_id", "symbol", "quote_id", (F.unix_micros("quoted") - F.unix_micros("at")).alias("wait_micros"))
+
+
+def quotes_around_trades(s: SparkSession, d: str) -> DataFrame:
+    """For each trade the quotes of its symbol in the window from five minutes before it, and how far they spread."""
+    windows = _trades(s, d).select("event_id", "symbol", (F.col("at") - F.expr("INTERVAL 5 MINUTES")).alias("opens"), F.col("at").alias("closes"))
+    met = joins.range_join(_quotes(s, d, 2), windows, ["symbol"], "quoted", ("opens", "closes"))
+    return met.groupBy(F.col("range_event_id").alias("event_id")).agg(F.count(F.lit(1)).alias("n_quotes"), F.max("bid_price").alias("best_bid"), F.min("ask_price").alias("best_ask"))
+
+
+def sessions_overlap(s: SparkSession, d: str) -> DataFrame:
+    """Pairs of a user's sessions of views and of errors that overlap, with the time that they share."""
+    of = lambda kind: metrics.sessions(_timed(s, d).filter(F.col("event_type") == kind), "at", ["user_id", "event_type"], HALF_DAY).drop("event_type")
+    met = joins.overlap_join(of("view"), of("error"), ["user_id"], ("session_start", "session_end"), ("session_start", "session_end"), "error_")
+    shared = F.least(F.unix_micros("session_end"), F.unix_micros("error_session_end")) - F.greatest(F.unix_micros("session_start"), F.unix_micros("error_session_start"))
+    return met.select("user_id", _micros("session_start"), F.unix_micros("error_session_start").alias("error_start"), "n", "error_n", shared.alias("shared_micros"))
+
+
+def collector_short_memory(s: SparkSession, d: str) -> DataFrame:
+    """Trades against a memory of two accepted ids, in which an id that comes again three trades later is known only if one of those
+    between was not accepted."""
+    got = pipelines.collect(a.equity_frames(a.event_trades(s, d, repeats=True)), "trades", ["frame"], "at", exact=True, capacity=2)
+    return got.select("frame", "item", "status")
+
+
 def _streamed(s: SparkSession, messages: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Messages as a stream of text files, some to a micro-batch, and a folder for what comes of it."""
     folder = scratch.folder(s, name)
@@ -379,6 +426,60 @@ def _streamed(s: SparkSession, messages: DataFrame, name: str) -> tuple[DataFram
     return files.messages(s, f"{folder}/in", stream=True, files_per_batch=2), folder
 
 
+def _in_order(s: SparkSession, rows: DataFrame, at: str, folder: str) -> DataFrame:
+    """Rows as a stream of files, one to a micro-batch, each of a later stretch of time than the one before."""
+    rows.repartitionByRange(4, at).write.parquet(f"{folder}/rows")
+    fs, p = scratch.hadoop(s, f"{folder}/rows")
+    for k, f in enumerate(sorted(x.getPath().toString() for x in fs.listStatus(p) if x.getPath().getName().startswith("part-"))):
+        fs.setTimes(scratch.hadoop(s, f)[1], 1_600_000_000_000 + k * 60_000, -1)  # a stream of files takes the older ones first
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows")
+
+
+def _appended(spark: SparkSession, rows: DataFrame, folder: str, name: str, table: str, mode: str = "append"):
+    """Start a query that appends a stream's batches to a table; it ends when its source is worked off."""
+    checkpoint = f"{folder}/checkpoint-{name}"
+
+    def write(df: DataFrame, batch: int) -> None:
+        BatchTable(df.sparkSession, table).commit(df, query_id(df.sparkSession, checkpoint), batch)
+
+    return sinks.started(rows.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True), spark)
+
+
+def stream_trade_quotes(s: SparkSession, d: str) -> DataFrame:
+    """Two streams, trades and quotes, joined in time: each trade with the quotes of its symbol in the minute before it."""
+    folder = scratch.folder(s, "trade-quotes")
+    trades, quotes = _in_order(s, _trades(s, d), "at", f"{folder}/trades"), _in_order(s, _quotes(s, d, 0), "quoted", f"{folder}/quotes")
+    joined = stream_joins.join_streams(trades, quotes, ["symbol"], "at", "quoted", 60, 0, 3600, prefix="q_")
+    _appended(s, joined, folder, "join", f"{folder}/joined").awaitTermination()
+    got = BatchTable(s, f"{folder}/joined").read(joined.schema)
+    return got.select("event_id", F.col("q_quote_id").alias("quote_id"), "symbol", "price", F.col("q_bid_price").alias("bid_price"))
+
+
+def stream_quality(s: SparkSession, d: str) -> DataFrame:
+    """The hourly quality of a stream of status rows, kept in state under a watermark and given out as it changes."""
+    folder = scratch.folder(s, "quality")
+    rows = stream_joins.quality_windows(_in_order(s, a.event_status(s, d), "arrival_ts", f"{folder}/status"), 600)
+    _appended(s, rows, folder, "quality", f"{folder}/windows", "update").awaitTermination()
+    last = stream_joins.latest(BatchTable(s, f"{folder}/windows").read(rows.schema), ["stream", "window_start"]).drop("query", "batch")
+    return last.withColumn("window_start", F.unix_micros("window_start"))
+
+
+def stream_two_queries(s: SparkSession, d: str) -> DataFrame:
+    """Two pipelines with checkpoints of their own that write into one table, one started again: every trade is there once."""
+    folder = scratch.folder(s, "two")
+    messages = a.event_trades(s, d)
+    for k in (0, 1, 0):
+        path = f"{folder}/in-{k}"
+        fs, p = scratch.hadoop(s, path)
+        if not fs.exists(p):
+            messages.filter(F.col("event_id") % 2 == k).select(F.col("value").cast("string").alias("value")).repartition(2).write.text(path)
+        stream = files.messages(s, path, stream=True, files_per_batch=1)
+        sinks.run_pipeline(stream, "trades", f"{folder}/main", f"{folder}/checkpoint-{k}", f"{folder}/dead").awaitTermination()
+    main, dead = BatchTable(s, f"{folder}/main").read(), BatchTable(s, f"{folder}/dead").read()
+    count = lambda df, lane: df.groupBy("query").agg(F.lit(lane).alias("lane"), F.count(F.lit(1)).alias("n"), F.count_distinct("batch").alias("batches")).drop("query")
+    return count(main, "main").unionByName(count(dead, "dead"))
+
+
 def stream_trades(s: SparkSession, d: str) -> DataFrame:
     """The trades pipeline as a stream of files: its table and its dead letters."""
     messages, folder = _streamed(s, a.event_trades(s, d), "trades")
@@ -415,7 +516,8 @@ QUERIES: dict[str, Query] = {
         stream_snapshot, metrics_union_streams, contract_violation_counts, dlq_union, collector_trades, collector_quotes, collector_crypto, collector_news, collector_status, collector_log, trade_frames, news_pipeline, dedup_trade_id, dedup_quote_key, dedup_either,
         sentiment_distribution, sentiment_scale, news_run_metrics, news_publish, symbol_upper_valid, iso_truncate, compact_ts,
         contract_faults, normalise_edges, source_messages, only_symbols, metric_names, published_datetime, recent_dead_letters, throughput_sliding, exposition_text, run_text, collector_memory,
-        stream_trades, stream_news, stream_collector,
+        stream_trades, stream_news, stream_collector, asof_trades_quotes, asof_next_quote, quotes_around_trades, sessions_overlap,
+        collector_short_memory, stream_trade_quotes, stream_quality, stream_two_queries,
     )
 } | {
     "contract_trades": _contract("trades", a.event_trades, "event_id"),

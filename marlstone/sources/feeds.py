@@ -103,6 +103,10 @@ def _transport(options: dict, default: str):
     return getattr(importlib.import_module(module), name)
 
 
+#: Seconds between polls of the news.
+POLL_SECONDS = 300
+
+
 class FrameLog:
     """Frames that were read, in files of a folder that outlives the reader: one file for each micro-batch's range.
 
@@ -111,13 +115,13 @@ class FrameLog:
 
     def __init__(self, path: str):
         self.fs, self.path = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-        self.fs.create_dir(self.path, recursive=True)
 
     def files(self) -> list[tuple[int, int, str]]:
-        found = [(f.base_name.removesuffix(".json").split("-"), f.path) for f in self.fs.get_file_info(pafs.FileSelector(self.path)) if f.base_name.endswith(".json")]
+        found = [(f.base_name.removesuffix(".json").split("-"), f.path) for f in self.fs.get_file_info(pafs.FileSelector(self.path, allow_not_found=True)) if f.base_name.endswith(".json")]
         return sorted((int(a), int(b), p) for (a, b), p in found)
 
     def write(self, start: int, rows: list[tuple]) -> None:
+        self.fs.create_dir(self.path, recursive=True)
         place = f"{self.path}/{start:020d}-{start + len(rows):020d}"
         with self.fs.open_output_stream(place + ".part") as out:
             out.write(json.dumps([[base64.b64encode(bytes(m)).decode(), at] for m, at in rows]).encode())
@@ -142,27 +146,28 @@ class _FeedReader(SimpleDataSourceStreamReader):
     """Each micro-batch is what the transport has yielded since the last one.
 
     The transport runs in a thread of its own and keeps its connection from batch to batch; a transport that ends, like
-    a poll, is started again at the next batch. With the option "log", frames are written there before they are
+    a poll, is started again with the first batch that begins `every` seconds (option; news: POLL_SECONDS, frames: 0) after it last was. With the option "log", frames are written there before they are
     handed on, and a batch that was planned but not committed when a query died is read from there when it starts again.
     Without it such a batch comes back empty: its frames are lost, and the query goes on.
     """
 
-    def __init__(self, options: dict, default: str, flatten):
-        self.options, self.default, self.flatten = dict(options), default, flatten
+    def __init__(self, options: dict, default: str, flatten, every: float = 0):
+        self.options, self.default, self.flatten, self.every = dict(options), default, flatten, every
         self._open()
 
     def _open(self) -> None:
         self.log = FrameLog(self.options["log"]) if "log" in self.options else None
         self.frames: queue.Queue = queue.Queue()
         self.thread: threading.Thread | None = None
+        self.again = 0.0  # when a transport that has ended may be started anew
         self.failed: BaseException | None = None
 
     def __getstate__(self) -> tuple:
         """Executors get the reader too, to read what was planned; the connection stays behind."""
-        return self.options, self.default, self.flatten
+        return self.options, self.default, self.flatten, self.every
 
     def __setstate__(self, state: tuple) -> None:
-        self.options, self.default, self.flatten = state
+        self.options, self.default, self.flatten, self.every = state
         self._open()
 
     def initialOffset(self) -> dict:
@@ -177,11 +182,14 @@ class _FeedReader(SimpleDataSourceStreamReader):
 
     def _drain(self) -> Iterator[tuple[bytes, float]]:
         """What has come; waits `seconds` (1) for frames while the transport lives."""
-        if self.thread is None or not self.thread.is_alive():
+        due = time.monotonic() >= self.again
+        if due and (self.thread is None or not self.thread.is_alive()):
+            self.again = time.monotonic() + float(self.options.get("every", self.every))
             self.thread = threading.Thread(target=self._run, daemon=True)
             self.thread.start()
         until = time.monotonic() + float(self.options.get("seconds", 1))
-        self.thread.join(max(0.0, until - time.monotonic()))
+        if self.thread is not None:
+            self.thread.join(max(0.0, until - time.monotonic()))
         while not self.frames.empty():
             yield self.frames.get()
         if self.failed is not None:
@@ -198,7 +206,10 @@ class _FeedReader(SimpleDataSourceStreamReader):
         return iter(rows), {"n": start["n"] + len(rows)}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self.log.read(start["n"], end["n"]) if self.log else [])
+        rows = self.log.read(start["n"], end["n"]) if self.log else []
+        if self.log and len(rows) != end["n"] - start["n"]:
+            raise FileNotFoundError(f"of the frames {start['n']} to {end['n']} the log {self.log.path} has {len(rows)}: it must be a folder that driver and executors share, and nobody else may clear it")
+        return iter(rows)
 
     def commit(self, end: dict) -> None:
         if self.log:
@@ -206,7 +217,7 @@ class _FeedReader(SimpleDataSourceStreamReader):
 
 
 class FrameFeed(DataSource):
-    """Format "marlstone_frames": a row for each frame of a web socket. Options: url, greetings (JSON), welcome, seconds, log, transport."""
+    """Format "marlstone_frames": a row for each frame of a web socket. Options: url, greetings (JSON), welcome, seconds, every, log, transport."""
 
     @classmethod
     def name(cls) -> str:
@@ -220,7 +231,7 @@ class FrameFeed(DataSource):
 
 
 class NewsFeed(DataSource):
-    """Format "marlstone_news": a row for each poll that found articles, a JSON array. Options: url, key, minutes, log, transport."""
+    """Format "marlstone_news": a row for each poll that found articles, a JSON array. Options: url, key, minutes, every, log, transport."""
 
     @classmethod
     def name(cls) -> str:
@@ -230,7 +241,7 @@ class NewsFeed(DataSource):
         return "value binary, ingest_timestamp double"
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return _FeedReader(self.options, "marlstone.sources.feeds:http_get", lambda body: [bytearray(json.dumps(found).encode())] if (found := articles(body)) else [])
+        return _FeedReader(self.options, "marlstone.sources.feeds:http_get", lambda body: [bytearray(json.dumps(found).encode())] if (found := articles(body)) else [], POLL_SECONDS)
 
 
 def register(spark: SparkSession) -> None:

@@ -17,19 +17,30 @@ from pyspark.sql.streaming import StreamingQuery
 from marlstone.operators import dedup, exposition, metrics, parse
 from marlstone.plans import pipelines
 from marlstone.streaming import stateful
+from marlstone.streaming.running import Running
+from marlstone.streaming.sinks import started
+from marlstone.streaming.tables import BatchTable, query_id
 
 #: The tables of a collector, each a folder below its output.
 STATUS, EVENTS, DEAD = "status", "events", "dead"
+#: An arrival's number: its batch's, then its place in it (partition and row), too wide for a long.
+ARRIVAL = "decimal(38,0)"
+#: How long an id is known.
+KEEP_SECONDS = 7 * 86_400
 
 
-def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, trigger: dict | None = None, value: str = "value", arrival: str | None = None, scope: list[str] | None = None, capacity: int = dedup.CAPACITY, log: Callable[[str], None] | None = None) -> StreamingQuery:
+def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, trigger: dict | None = None, value: str = "value", arrival: str | None = None, scope: list[str] | None = None, capacity: int = dedup.CAPACITY, log: Callable[[str], None] | None = None, exact: bool = False, keep_seconds: int | None = KEEP_SECONDS) -> StreamingQuery:
     """Start a collector over a streaming DataFrame of messages.
 
-    Below `out` grow, a folder for each micro-batch: events, the JSON lines that are published; dead, the dead letters;
-    status, the metrics' table. arrival: a column of ingest times (timestamp, or seconds); the batch's own time
-    without one. The memory of accepted ids outlives micro-batches; without a scope (crypto: the product) it is one
-    sequence. A violation's detection time is the batch's checking time by its rows: rows can't be timed one by one.
-    log gets the lines about a batch's rows that were not published.
+    Below `out` grow, each micro-batch once whatever restarts there are (tables.BatchTable): events, the JSON lines that are
+    published; dead, the dead letters; status, the metrics' table; and the metrics themselves (running.Running). arrival:
+    a column of ingest times (timestamp, or seconds); the batch's own time without one.
+
+    Duplicates are told as pipelines.collect tells them: by default any earlier valid message of the same identity, each
+    identity with a state of its own that goes after keep_seconds (None: never); with exact, or a scope, and for crypto, a
+    memory of the last `capacity` accepted ones for each scope (crypto: the product), without a scope in one sequence, so in one task. A
+    violation's detection time is the batch's checking time by its rows: rows can't be timed one by one. log gets the lines about a
+    batch's rows that were not published.
     """
     if arrival:
         kind = messages.schema[arrival].dataType.typeName()
@@ -40,34 +51,37 @@ def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, t
     rows = rows.withColumn("order", F.concat_ws("/", F.lpad(F.col("seq").cast("string"), 20, "0"), F.lpad(F.col("item").cast("string"), 10, "0")))
     if stream == "news":
         rows = rows.withColumn("accepted", F.col("status") == "valid")
-    else:
-        stateful.use_rocksdb(messages.sparkSession)
+    elif stream == "crypto" or exact or scope:
         scope = ["symbol"] if scope is None and stream == "crypto" else scope
         rows = stateful.mark_by_memory(rows, ["id", "id2"] if stream == "crypto" else ["id"], "order", F.col("status") == "valid", scope, capacity)
+    else:
+        rows = stateful.mark_first(rows, "id", "order", F.col("status") == "valid", keep_seconds)
 
     def write(df: DataFrame, batch: int) -> None:
-        began = time.perf_counter()
+        spark, began = df.sparkSession, time.perf_counter()
+        query, running = query_id(spark, checkpoint), Running(spark, out)
         df = df.persist()
         try:
             n = df.count()
             each = (time.perf_counter() - began) * 1000 / max(1, n)
             done = pipelines.settled(df, stream, ~F.col("accepted")).withColumn("detection_ms", F.when(F.col("status") == "invalid", F.lit(each)))
-            folder = lambda name: f"{out}/{name}/batch={batch}"
-            seq = F.lit(batch).cast("long") * (1 << 43) + F.col("seq")
-            pipelines.status_rows(done, seq, "at").write.mode("overwrite").parquet(folder(STATUS))
-            parse.dead_letters(done, "contract").write.mode("overwrite").parquet(folder(DEAD))
+            number = F.lit(batch).cast(ARRIVAL) * F.lit(1 << 62).cast("decimal(19,0)") + F.col("seq")
+            status = pipelines.status_rows(done, number, "at", ARRIVAL)
+            BatchTable(spark, f"{out}/{STATUS}").commit(status, query, batch)
+            BatchTable(spark, f"{out}/{DEAD}").commit(parse.dead_letters(done, "contract"), query, batch)
             if stream == "news":
                 lines = parse.batch_events(done.filter("status = 'valid'").withColumn("run", F.lit(batch)), "run", ["order"]).select(F.col("value").cast("string").alias("value"))
             else:
                 lines = done.filter("status = 'valid'").select(F.col("event").alias("value"))
-            lines.write.mode("overwrite").text(folder(EVENTS))
+            BatchTable(spark, f"{out}/{EVENTS}", "text").commit(lines, query, batch)
+            running.update(BatchTable(spark, f"{out}/{STATUS}").batch(query, batch), query, batch)
             if log:
                 for r in pipelines.log_lines(done.filter("status IN ('invalid', 'duplicate')")).limit(metrics.DEAD_LETTERS_SHOWN).collect():
                     log(r.line)
         finally:
             df.unpersist()
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return started(rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})), messages.sparkSession)
 
 
 def _numbered(messages: DataFrame) -> DataFrame:
@@ -84,9 +98,9 @@ def _numbered(messages: DataFrame) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, out: str) -> dict[str, dict]:
-    """The metrics of a collector's streams as they stand, for the endpoint."""
-    status = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/{STATUS}")
-    return {r["stream"]: r.asDict() for r in metrics.snapshot(status, F.current_timestamp()).collect()}
+    """The metrics of a collector's streams as they stand, for the endpoint: none before the first batch, and read from what
+    the batches have kept of them, not from the history."""
+    return Running(spark, out).snapshot()
 
 
 @dataclass

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from marlstone.operators import derive, normalise, parse, schemas
 from marlstone.plans import pipelines
 from marlstone.streaming import stateful
+from marlstone.streaming.tables import BatchTable, query_id
 
 _EMPTY = "spark.sql.streaming.noDataMicroBatches.enabled"
 
@@ -21,16 +22,19 @@ def append(df: DataFrame, path: str, columns: dict[str, str] | None = None) -> N
     out.write.mode("append").parquet(path)
 
 
-def write_lanes(rows: DataFrame, batch: int, main: str, dlq: str | None, finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
-    """Split typed rows (codes, raw) into a table and its dead letters, each in a folder of the batch.
-
-    A batch that is written again after a failure replaces its own folder, so each is in the tables once.
-    """
-    rows = rows.persist()
+def write_lanes(rows: DataFrame, query: str, batch: int, main: str, dlq: str | None, finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Split typed rows (codes, raw) into a table and its dead letters; each takes a query's batch once, however often it is
+    written, and keeps those of all other queries."""
+    spark = rows.sparkSession
+    lanes = [(BatchTable(spark, main), lambda: finish(normalise.main_lane(rows)))]
+    if dlq:
+        lanes.append((BatchTable(spark, dlq), lambda: parse.dead_letters(rows, "normalise")))
+    open_ = [(table, lane) for table, lane in lanes if not table.committed(query, batch)]
+    if len(open_) > 1:
+        rows.persist()
     try:
-        finish(normalise.main_lane(rows)).write.mode("overwrite").parquet(f"{main}/batch={batch}")
-        if dlq:
-            parse.dead_letters(rows, "normalise").write.mode("overwrite").parquet(f"{dlq}/batch={batch}")
+        for table, lane in open_:
+            table.commit(lane(), query, batch)
     finally:
         rows.unpersist()
 
@@ -40,7 +44,7 @@ def run_pipeline(messages: DataFrame, stream: str, main: str, checkpoint: str, d
 
     The trigger is availableNow by default: what is there is worked off in bounded batches, then the query ends.
     News repeats within `seconds` of the last accepted one are suppressed, by ingest time or a time column of the table;
-    dedup_by=None lets all of them pass.
+    dedup_by=None lets all of them pass. Tables grow by whole batches (tables.BatchTable), whatever queries write into them.
     """
     table = schemas.TABLES[stream]
     typed = pipelines.typed(messages, stream, value=value)
@@ -48,15 +52,23 @@ def run_pipeline(messages: DataFrame, stream: str, main: str, checkpoint: str, d
         typed = _first_news(typed, dedup_by, seconds)
 
     def both(df: DataFrame, batch: int) -> None:
-        write_lanes(df, batch, main, dlq, lambda rows: rows.select(*(F.col(f.name) for f in table.fields)))
+        write_lanes(df, query_id(df.sparkSession, checkpoint), batch, main, dlq, lambda rows: rows.select(*(F.col(f.name) for f in table.fields)))
+
+    return started(typed.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})), typed.sparkSession)
+
 
-    conf = typed.sparkSession.conf
-    before = conf.get(_EMPTY)
-    conf.set(_EMPTY, "false")  # else a state that expires asks for empty batches without end
+def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query with the settings that stateful ones need. A query copies its session's settings as it starts, so the
+    session's own are as before afterwards."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": stateful.ROCKSDB, _EMPTY: "false"}  # else a state that expires asks for empty batches without end
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
-        return typed.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+        return writer.start()
     finally:
-        conf.set(_EMPTY, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _first_news(typed: DataFrame, dedup_by: str, seconds: int) -> DataFrame:
@@ -64,7 +76,6 @@ def _first_news(typed: DataFrame, dedup_by: str, seconds: int) -> DataFrame:
 
     By ingest time the state of a key goes when its horizon is over.
     """
-    stateful.use_rocksdb(typed.sparkSession)
     main = normalise.main_lane(typed).withColumns({"__at": F.current_timestamp() if dedup_by == pipelines.INGEST else F.col(dedup_by), "__order": F.concat_ws("|", "title", "summary", "source")})
     main = stateful.accept_by_horizon(main, "dedup_key", "__at", seconds, "__order", seconds if dedup_by == pipelines.INGEST else None).drop("__at", "__order")
     lanes = {n: typed.schema[n].dataType for n in ("raw", "codes")}
