@@ -8,6 +8,7 @@ those rows to the ledger and joins the findings of the whole ledger back to ever
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,19 +48,30 @@ class Rule:
         whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(self.group)) if self.group else whole
         parts = F.split(text, pattern, -1)
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-
-        def step(state: Column, one: Column) -> Column:
-            begin = state["at"] + F.char_length(one["before"])
-            end = begin + F.char_length(one["match"])
-            span = F.struct(F.lit(self.kind).alias("kind"), begin.alias("start"), end.alias("end"))
-            return F.struct(end.alias("at"), F.when(F.char_length(one["checked"]) >= self.least, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
-
+        none = F.array().cast(f"array<{SPAN}>")
         zipped = F.filter(F.arrays_zip(parts.alias("before"), whole.alias("match"), checked.alias("checked")), lambda x: x["match"].isNotNull())
-        found = F.aggregate(zipped, start, step, lambda s: s["out"])
+        sizes = F.transform(zipped, lambda x: F.struct(F.char_length(x["before"]).alias("gap"), F.char_length(x["match"]).alias("size"), (F.char_length(x["checked"]) >= self.least).alias("fine")))
+        def step(state: Column, one: Column) -> Column:
+            begin = state["at"] + one["gap"]
+            span = F.struct(F.lit(self.kind).alias("kind"), begin.alias("start"), (begin + one["size"]).alias("end"))
+            return F.struct((begin + one["size"]).alias("at"), F.when(one["fine"], F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+
+        def through(state: Column, some: Column) -> Column:
+            return F.aggregate(some, F.struct(state["at"].alias("at"), none.alias("out")), step, lambda s: F.struct(s["at"].alias("at"), F.concat(state["outs"], F.array(s["out"])).alias("outs")))
+
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("outs"))
+        # appending copies what is there, so matches are worked on in about as many blocks as a block has matches
+        block = lambda all_: F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(all_)))).cast("int")
+        blocks = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x["all"]) - 1) / x["block"]).cast("int")), lambda k: F.slice(x["all"], k * x["block"] + 1, x["block"]))
+        found = _let(sizes, lambda all_: _let(F.struct(all_.alias("all"), block(all_).alias("block")), lambda x: F.aggregate(blocks(x), start, through, lambda s: F.flatten(s["outs"]))))
         return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is made once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # The three base patterns. The second and third ask for their length in the search already: a run of letters
 # or digits that is too short has no longer one in it.
 RULES = (
