@@ -5,8 +5,9 @@ left in them, each with a bitmap of its sources and one of its clusters; a docum
 own size upwards, whose bitmaps it doesn't meet, which is the tightest bin that can take it. Documents longer than a
 bin fill whole bins first; their last piece is packed.
 
-Documents are dealt by a hash of their ids into shards of about SHARD documents, each packed on its own from the
-largest document down, so the work grows in proportion to the input and no source or cluster meets in one task.
+Documents are dealt by a hash of what the packing knows of them into shards of about SHARD documents, each packed on its own from the
+largest document down, so the work grows in proportion to the input and no source or cluster meets in one task. Rows that are
+equal in all of this are counted first and dealt by the chunk, so neither does an id or a row that repeats.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from marlstone.llm._common import n_words, stored, whole_text
 #: Words of a bin, and documents of a shard.
 CAPACITY = 2048
 SHARD = 6000
+#: Equal rows that are dealt together.
+CHUNK = 500
 PLAN = "doc_id long, source string, piece int, start long, n_words long, bin long, at long"
 
 
@@ -83,18 +86,21 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, size: Co
 
     Null and empty texts are one piece without words. Null sources are one source. Equal texts are one cluster,
     unless another is given (a collision of its 64 bits would only keep two documents apart). Repeated rows are
-    packed each, and never into one bin. Rows without an id are dealt by their place. Empty tables give none.
+    packed each, and never into one bin. Rows without an id are packed like others. Empty tables give none.
     """
     size = n_words(text) if size is None else size
     cluster = F.xxhash64(whole_text(text)) if cluster is None else cluster
-    items = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size.cast("long").alias("size"), cluster.cast("long").alias("cluster")), "items")
-    shards = max(1, -(-items.count() // shard))
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("doc_id"))
-    dealt = items.withColumn("shard", F.pmod(key, F.lit(shards)))
+    known = ["doc_id", "source", "size", "cluster"]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size.cast("long").alias("size"), cluster.cast("long").alias("cluster"))
+    items = stored(rows.groupBy(*known).agg(F.count(F.lit(1)).alias("copies")), "items")
+    shards = max(1, -(-(items.agg(F.sum("copies")).first()[0] or 0) // shard))
+    chunks = items.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))))
+    chunks = chunks.withColumn("copies", F.least(F.lit(CHUNK), F.col("copies") - F.col("chunk") * CHUNK))
+    dealt = chunks.withColumn("shard", F.pmod(F.pmod(F.xxhash64(*known), F.lit(shards)) + F.col("chunk"), F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:
         base = table.column("shard")[0].as_py() << 32
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "source", "size", "cluster")), strict=True))
+        rows = [row for *row, copies in zip(*(table.column(c).to_pylist() for c in (*known, "copies")), strict=True) for _ in range(copies)]
         placed = pack_shard(rows, capacity)
         k, piece, start, n, b, at = zip(*placed, strict=True)
         return pa.table({
