@@ -4,8 +4,9 @@ Candidates come from the Gray-order index over several fingerprints of each set
 and what they reach of each other is a cluster. In a cluster all pairs are compared by their fingerprints first, the
 nearest first, and what isn't linked already is then checked on the whole sets.
 
-Texts of equal sets are one class from the start, of which one goes on; large clusters are cut into blocks, and each
-two blocks are compared in a group of their own.
+Texts of equal sets are one class from the start, of which one goes on. In a cluster larger than a block all rows are first
+compared with a few representatives, in rounds, which links most of what is alike; then only rows outside of its largest
+component are compared with all others, in pairs of blocks. Links within a component are not looked for: they join nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from marlstone.llm._common import fresh, stored
 from marlstone.llm.components import components
@@ -29,6 +31,11 @@ SHINGLE = 5
 NUM, DEN = 4, 5
 #: Texts and shingles of a block, about.
 BLOCK, BLOCK_SHINGLES = 1000, 500_000
+#: Representatives of a large cluster in each round, and rounds at most; they end before, when no more than a block is left
+#: outside of a cluster's largest component or a round has joined less than a fifth of the components.
+REPRESENTATIVES, ROUNDS = 16, 6
+#: Representatives' shingles up to this many are broadcast (8 bytes each); more are joined by a shuffle, dealt over the cluster's blocks.
+BROADCAST_SHINGLES = 4_000_000
 _OWN = ("row_no", "set_id", "n_shingles", "prints")
 
 
@@ -68,8 +75,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return shared * (NUM + DEN) >= NUM * len(both)
 
 
-def linked(rows: list[int], parts: list[int], prints: list[bytes], sets: list[bytes], across: bool) -> list[tuple[int, int]]:
-    """Links between rows whose sets are alike, enough to reach all that all such links reach; across: only between parts."""
+def linked(rows: list[int], parts: list[int], prints: list[bytes], sets: list[bytes], comps: list[int], across: bool) -> list[tuple[int, int]]:
+    """Links between rows whose sets are alike, enough to reach all that all such links and the components (comps) that rows are in
+    already reach; across: only between parts."""
     if len(rows) < 2:
         return []
     whole = [np.frombuffer(s, "<u8") for s in sets]
@@ -89,7 +97,7 @@ def linked(rows: list[int], parts: list[int], prints: list[bytes], sets: list[by
     a, b = np.concatenate(firsts), np.concatenate(seconds)
     order = np.argsort(np.concatenate(apart), kind="stable")
     a, b = a[order], b[order]
-    root, out = np.arange(len(rows)), []
+    root, out = np.unique(np.array(comps), return_inverse=True)[1], []
     for at in range(0, len(a), 1024):
         x, y = a[at : at + 1024], b[at : at + 1024]
         apart = root[x] != root[y]
@@ -100,18 +108,32 @@ def linked(rows: list[int], parts: list[int], prints: list[bytes], sets: list[by
     return out
 
 
-def _checked(members: DataFrame, shingle: int) -> DataFrame:
-    """(a, b) row numbers of alike texts, from (root, blocks, row_no, prints, text)."""
+def _with_sets(members: DataFrame, shingle: int) -> DataFrame:
+    """members with their texts' sets of shingles in place of the texts."""
+    schema = T.StructType([*(f for f in members.schema.fields if f.name != "text"), T.StructField("shingles", T.BinaryType())])
+    rest = [n for n in schema.names if n != "shingles"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 found = [shingle_set(t, shingle).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], names=[*batch.schema.names[:-1], "shingles"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(found, pa.binary())], names=schema.names)
+
+    return members.mapInArrow(sets, schema)
+
+
+def _dealt(hashed: DataFrame) -> DataFrame:
+    """Rows (root, part, meets, ...) to the groups (root, i, j) of pairs of parts: each row meets parts 0 to meets - 1, and its own."""
+    dealt = hashed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("meets") - 1)))
+    return dealt.select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "row_no", "part", "prints", "shingles", "comp")
+
+
+def _checked(hashed: DataFrame) -> DataFrame:
+    """(a, b) row numbers of alike texts, from (root, part, meets, row_no, prints, shingles, comp)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last, out = ([], [], [], []), None, []
+        held, last, out = ([], [], [], [], []), None, []
 
         def close() -> None:
             if last:
@@ -128,7 +150,7 @@ def _checked(members: DataFrame, shingle: int) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 keys = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True)
-                for key, *values in zip(keys, *(batch.column(c).to_pylist() for c in ("row_no", "part", "prints", "shingles")), strict=True):
+                for key, *values in zip(keys, *(batch.column(c).to_pylist() for c in ("row_no", "part", "prints", "shingles", "comp")), strict=True):
                     if key != last:
                         close()
                         last = key
@@ -138,11 +160,65 @@ def _checked(members: DataFrame, shingle: int) -> DataFrame:
         close()
         yield batch_of()
 
-    hashed = members.select("root", "blocks", "row_no", "prints", "text").mapInArrow(sets, "root long, blocks long, row_no long, prints binary, shingles binary")
-    part = hashed.withColumn("part", F.pmod(F.xxhash64("row_no"), F.col("blocks")))
-    dealt = part.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "row_no", "part", "prints", "shingles")
-    return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(check, "a long, b long")
+    return _dealt(hashed).repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(check, "a long, b long")
+
+
+def _represented(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(a, b): rows of large clusters (root, salt, row_no, comp, prints, shingles) that are alike with a representative of theirs
+    in another component (root, rep, rep_comp, rep_prints, rep_shingles)."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            out = []
+            for at in range(0, whole.num_rows, 256):
+                for row, prints, shingles, rep, rep_prints, rep_shingles in zip(*(whole.column(c).slice(at, 256).to_pylist() for c in ("row_no", "prints", "shingles", "rep", "rep_prints", "rep_shingles")), strict=True):
+                    far = int(np.bitwise_count(np.frombuffer(prints, "<u8") ^ np.frombuffer(rep_prints, "<u8")).sum())
+                    small, large = sorted((len(shingles), len(rep_shingles)))
+                    if far <= FAR and small * DEN >= large * NUM and alike(np.frombuffer(shingles, "<u8"), np.frombuffer(rep_shingles, "<u8")):
+                        out.append((row, rep))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    if (chosen.agg(F.sum(F.octet_length("rep_shingles") / 8)).first()[0] or 0) <= BROADCAST_SHINGLES:
+        met = rows.join(F.broadcast(chosen), "root")
+    else:
+        salted = chosen.join(rows.select("root", "salt").distinct(), "root")
+        met = rows.join(salted, ["root", "salt"])
+    return met.filter("comp <> rep_comp").select("row_no", "prints", "shingles", "rep", "rep_prints", "rep_shingles").mapInArrow(check, "a long, b long")
+
+
+def _large_links(rows: DataFrame) -> DataFrame:
+    """(a, b) of alike texts in large clusters, from (root, blocks, row_no, prints, shingles)."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("row_no"), F.col("blocks")))
+    links, comps, left = None, rows.select("row_no", F.col("row_no").alias("comp")), 1 << 62
+    for k in range(ROUNDS + 1):
+        placed = stored(rows.select("root", "row_no").join(comps, "row_no"), "placed")
+        sizes = placed.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("n"))
+        giants = sizes.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("giant"), F.count(F.lit(1)).alias("comps"))
+        placed = stored(placed.join(giants.filter("comps > 1"), "root").join(sizes, ["root", "comp"]), "open")
+        outside, parts = placed.groupBy("root").agg(F.count_if(F.col("comp") != F.col("giant")).alias("n"), F.max("comps").alias("c")).agg(F.max("n"), F.sum("c")).first()
+        if outside is None:
+            return links
+        if k == ROUNDS or k and (outside <= BLOCK or 5 * parts > 4 * left):
+            break
+        left = parts
+        # one row of each component, the smallest first, then another of each
+        own = F.row_number().over(Window.partitionBy("root", "comp").orderBy(F.xxhash64(F.lit(k), "row_no")))
+        nth = F.row_number().over(Window.partitionBy("root").orderBy("own", "n", F.xxhash64(F.lit(k), "row_no")))
+        few = placed.withColumn("own", own).filter(F.col("own") <= REPRESENTATIVES)
+        names = few.withColumn("nth", nth).filter(F.col("nth") <= REPRESENTATIVES).select("row_no")
+        mine = rows.join(placed.select("row_no", "comp"), "row_no")
+        chosen = stored(mine.join(names, "row_no").select("root", F.col("row_no").alias("rep"), F.col("comp").alias("rep_comp"), F.col("prints").alias("rep_prints"), F.col("shingles").alias("rep_shingles")), "chosen")
+        new = stored(_represented(mine, chosen), "represented")
+        links = new if links is None else links.unionByName(new)
+        joined = stored(components(links), "components").select(F.col("node").alias("row_no"), F.col("root").alias("comp"))
+        comps = rows.select("row_no").join(joined, "row_no", "left").select("row_no", F.coalesce("comp", "row_no").alias("comp"))
+    # rows outside of the largest component meet all others; those within it meet them
+    mine = rows.drop("blocks").join(placed.select("row_no", "comp", (F.col("comp") == F.col("giant")).alias("inside")), "row_no")
+    blocks = mine.groupBy("root", "inside").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("shingles") / 8) / BLOCK_SHINGLES)).cast("long").alias("n"))
+    blocks = blocks.groupBy("root").agg(F.sum(F.when(~F.col("inside"), F.col("n"))).alias("out"), F.coalesce(F.sum(F.when(F.col("inside"), F.col("n"))), F.lit(0)).alias("inn"))
+    part = F.when(F.col("inside"), F.col("out") + F.pmod(F.xxhash64("row_no"), F.greatest("inn", F.lit(1)))).otherwise(F.pmod(F.xxhash64("row_no"), F.col("out")))
+    meets = F.when(F.col("inside"), F.col("out")).otherwise(F.col("out") + F.col("inn"))
+    return links.unionByName(_checked(mine.join(blocks, "root").withColumns({"part": part, "meets": meets})))
 
 
 def near_links(rows: DataFrame, names: dict[str, str], shingle: int = SHINGLE, text: str = "text") -> DataFrame:
@@ -155,10 +231,20 @@ def near_links(rows: DataFrame, names: dict[str, str], shingle: int = SHINGLE, t
     found = given.select("row_no", "n_shingles", "prints", "text").join(clusters.withColumnRenamed("node", "row_no"), "row_no")
     found = stored(found, "members")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
-    # clusters of one block are left out, so what is broadcast is far smaller than the documents
-    large = stored(found.groupBy("root").agg(blocks.alias("blocks")).filter("blocks > 1"), "large")
-    members = found.join(F.broadcast(large), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
-    return stored(_checked(members, shingle), "alike").unionByName(equal)
+    sizes = stored(found.groupBy("root").agg(blocks.alias("blocks")).filter("blocks > 1"), "large")
+    one = F.lit(1).cast("long")
+    if sizes.isEmpty():
+        rows = _with_sets(found.select("root", "row_no", "prints", "text"), shingle)
+        return stored(_checked(_alone(rows)), "alike").unionByName(equal)
+    # a row of each cluster of more than one block: joined as its size allows
+    both = stored(_with_sets(found.join(sizes, "root", "left").select("root", F.coalesce("blocks", one).alias("blocks"), "row_no", "prints", "text"), shingle), "sets")
+    links = stored(_checked(_alone(both.filter("blocks = 1").drop("blocks"))), "alike")
+    return links.unionByName(stored(_large_links(both.filter("blocks > 1")), "alike")).unionByName(equal)
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """Rows of clusters of one block."""
+    return rows.select("*", F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("meets"), F.col("row_no").alias("comp"))
 
 
 def drop_near_texts(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
