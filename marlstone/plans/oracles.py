@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marlstone.plans import cases
+from marlstone.sources.adapters import MIXED
 
 _EPOCH = "(epoch_us(ts) / 1000000.0)"
 _SYMBOL = "regexp_replace(event_type, '[^A-Za-z]', '', 'g')"
@@ -58,6 +59,64 @@ q AS (SELECT event_id AS quote_id, {_SYMBOL} AS symbol, ts AS quoted, CASE WHEN
 _SESSIONS = """m AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 12 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
 g AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k FROM m),
 sessions AS (SELECT user_id, event_type, epoch_us(min(ts)) AS a, epoch_us(max(ts) + INTERVAL 12 HOUR) AS b, count(*) AS n FROM g GROUP BY user_id, event_type, k)"""
+# Messages whose fields are sound or odd by their rows' numbers: m is a field's mode, n the number that odd values are made of.
+_N, _HALF = "(user_id % 5 - 2)", "CAST(user_id % 5 - 2 || '.5' AS DOUBLE)"
+_BREAKS = {
+    "letter": "{m} < 6", "symbol": "{m} < 6", "text": "{m} IN (0, 1, 2, 4)", "maybe text": "{m} IN (2, 4)", "time": "{m} < 4", "tags": "{m} IN (2, 3, 4)", "maybe number": "{m} IN (2, 4)", "topics": "false",
+    "count": "{m} IN (0, 1, 4, 5) OR {m} IN (2, 3) AND {n} < 0", "size": "{m} IN (0, 1, 4, 5) OR {m} IN (2, 3) AND {n} <= 0", "amount": "{m} IN (0, 1, 4) OR {m} IN (2, 3) AND {n} < 0 OR {m} > 5 AND value < 0",
+    "price": "{m} IN (0, 1, 4, 5) OR {m} IN (2, 3) AND {n} < 0 OR {m} > 5 AND value <= 0",
+}
+_REQUIRED = {"T": "msg_type", "S": "symbol", "x": "exchange", "bx": "bid_exchange", "ax": "ask_exchange"}
+
+
+def _mode(stream: str, name: str) -> str:
+    place = [x for x, _ in MIXED[stream]].index(name)
+    return f"((event_id * {2 * place + 1} + user_id + {3 * place}) % 16)"
+
+
+def _list(cases: list[tuple[str, str]]) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN {when} THEN '{code}' END" for code, when in cases) + "], lambda x: x IS NOT NULL)"
+
+
+def _mixed_contract(stream: str) -> str:
+    codes = _list([(f"contract:{name}", _BREAKS[kind].format(m=_mode(stream, name), n=_N)) for name, kind in MIXED[stream]])
+    return f"SELECT '{stream}' AS stream, event_id, CASE WHEN len({codes}) > 0 THEN 'invalid' ELSE 'valid' END AS status, array_to_string(list_sort({codes}), ';') AS codes FROM events"
+
+
+def _mixed_codes(stream: str) -> tuple[str, str]:
+    """What a pipeline finds wrong in a row, and, if that is nothing, which required columns are null."""
+    wrong, empty = [], []
+    for name, kind in MIXED[stream]:
+        m = _mode(stream, name)
+        if name in _REQUIRED:
+            wrong.append((f"missing:{name}", f"{m} = 0"))
+            empty.append((f"null:{_REQUIRED[name]}", f"{m} = 1"))
+        elif kind in ("count", "size", "amount", "price", "time") or name == "ingest_timestamp" and stream == "crypto":
+            to, odd = {"count": ("long", "1, 5"), "size": ("long", "1, 5"), "time": ("timestamp", "1, 2, 3"), "maybe number": ("double", "1, 2, 4")}.get(kind, ("double", "1, 4"))
+            wrong += [(f"missing:{name}", f"{m} = 0"), (f"cast:{name}:{to}", f"{m} IN ({odd})")]
+        elif name in ("ingest_timestamp", "overall_sentiment_score"):
+            wrong.append((f"cast:{name}:double", f"{m} IN (2, 4)"))
+        elif kind == "topics":
+            wrong += [("cast:topics:double", f"{m} = 4"), ("cast:topics:object", f"{m} = 5")]
+    return _list(wrong), _list(empty) if empty else "[]::VARCHAR[]"
+
+
+def _mixed_rows(stream: str) -> str:
+    wrong, empty = _mixed_codes(stream)
+    number = lambda m, zero: f"CASE {m} WHEN 0 THEN '-' WHEN 1 THEN '-' WHEN 3 THEN {_HALF}::VARCHAR WHEN 5 THEN {zero} ELSE (event_id % 100 + 0.25)::DOUBLE::VARCHAR END"
+    if stream == "news":
+        t = _mode(stream, "topics")
+        topics = f"CASE {t} WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '=0.0' WHEN 3 THEN event_type || '=0.0,=' || {_HALF}::VARCHAR ELSE 'b=0.75' END"
+        shown = f"{topics} || '|' || {number(_mode(stream, 'overall_sentiment_score'), f'{_N}::DOUBLE::VARCHAR')}"
+    else:
+        ingest = number(_mode(stream, "ingest_timestamp"), f"{_N}::DOUBLE::VARCHAR" if stream == "crypto" else f"CASE WHEN {_N} = 0 THEN '-' ELSE {_N}::DOUBLE::VARCHAR END")
+        last = "'buy'" if stream == "crypto" else f"CASE WHEN {_mode(stream, 'c')} IN (0, 1, 2, 5) THEN 0 WHEN {_mode(stream, 'c')} = 3 THEN 2 ELSE 1 END"
+        shown = f"{ingest} || '|' || {last}"
+    ingested = "NULL::BIGINT" if stream == "news" else "1700000000000000::BIGINT"
+    return f"""SELECT '{stream}' AS stream, event_id, array_to_string(list_sort(codes), ';') AS codes, CASE WHEN len(codes) = 0 THEN {shown} ELSE '' END AS shown, CASE WHEN len(codes) = 0 THEN {ingested} END AS ingested
+FROM (SELECT *, CASE WHEN len({wrong}) > 0 THEN {wrong} ELSE {empty} END AS codes FROM events)"""
+
+
 _FIRST = "row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn"
 
 # What the collectors receive, in frames, and what becomes of it.
@@ -106,6 +165,8 @@ ORACLES: dict[str, str] = {
         f"SELECT '{s}' AS stream, event_id, codes, {_listed([x for *_, x in c])} AS shown, CASE WHEN codes = '' AND '{s}' <> 'news' THEN 1700000000000000 END::BIGINT AS ingested FROM (SELECT event_id, {_listed([x for _, x, _ in c])} AS codes FROM events)"
         for s, c in cases.NORMALISED.items()
     ),
+    "contract_mixed": "\nUNION ALL ".join(map(_mixed_contract, MIXED)),
+    "normalise_mixed": "\nUNION ALL ".join(map(_mixed_rows, MIXED)),
     "source_messages": """
 SELECT 'events' AS source, 0 AS n_codes, count(*) AS n, sum((props->>'$.k')::BIGINT)::BIGINT AS total FROM events
 UNION ALL SELECT 'customer', 0, count(*), sum(c_custkey)::BIGINT FROM customer""",

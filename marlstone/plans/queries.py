@@ -318,6 +318,28 @@ def normalise_edges(s: SparkSession, d: str) -> DataFrame:
     return parse.union_dead_letters(*lanes)
 
 
+def contract_mixed(s: SparkSession, d: str) -> DataFrame:
+    """The codes of messages whose fields are sound or odd by their rows' numbers, in the four contracts."""
+    lanes = []
+    for stream in a.MIXED:
+        checked = contracts.check(parse.parse_messages(a.event_mixed(s, d, stream)), stream)
+        lanes.append(checked.select(F.lit(stream).alias("stream"), "event_id", "status", F.concat_ws(";", F.array_sort("codes")).alias("codes")))
+    return parse.union_dead_letters(*lanes)
+
+
+def normalise_mixed(s: SparkSession, d: str) -> DataFrame:
+    """The same messages through the four pipelines: codes, or values with defaults and guards and the time of ingestion."""
+    lanes = []
+    now = F.timestamp_micros(F.lit(1_700_000_000_000_000))
+    for stream in a.MIXED:
+        rows = pipelines.typed(a.event_mixed(s, d, stream), stream, now, carry=["event_id"])
+        at = F.lit(None).cast("long") if stream == "news" else F.unix_micros("pipeline_ingest_time")
+        fine = F.size("codes") == 0
+        what = F.when(fine, shown(stream)).otherwise("")
+        lanes.append(rows.select(F.lit(stream).alias("stream"), "event_id", F.concat_ws(";", F.array_sort("codes")).alias("codes"), what.alias("shown"), F.when(fine, at).alias("ingested")))
+    return parse.union_dead_letters(*lanes)
+
+
 def source_messages(s: SparkSession, d: str) -> DataFrame:
     """Messages out of files: a column as it is, and whole rows as JSON."""
     props = parse.parse_messages(files.messages(s, f"{d}/events.parquet", "parquet", column="props"))
@@ -517,7 +539,7 @@ QUERIES: dict[str, Query] = {
         sentiment_distribution, sentiment_scale, news_run_metrics, news_publish, symbol_upper_valid, iso_truncate, compact_ts,
         contract_faults, normalise_edges, source_messages, only_symbols, metric_names, published_datetime, recent_dead_letters, throughput_sliding, exposition_text, run_text, collector_memory,
         stream_trades, stream_news, stream_collector, asof_trades_quotes, asof_next_quote, quotes_around_trades, sessions_overlap,
-        collector_short_memory, stream_trade_quotes, stream_quality, stream_two_queries,
+        contract_mixed, normalise_mixed, collector_short_memory, stream_trade_quotes, stream_quality, stream_two_queries,
     )
 } | {
     "contract_trades": _contract("trades", a.event_trades, "event_id"),

@@ -196,3 +196,61 @@ def event_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream.alias("stream"), k.alias("arrival_seq"), instant("ts").alias("arrival_ts"), status.alias("status"), F.when(status == "valid", (k % 512) / 256.0).alias("freshness_seconds"),
         F.when((status == "valid") & (stream == "quotes") & (k % 4 != 0), (k % 64) / 128.0).alias("spread"), F.when(status == "invalid", (k % 50) / 16.0).alias("detection_ms"),
     )
+
+
+#: Fields of mixed messages and their kinds, in order; a kind has the six odd values of _odd(), others are sound.
+MIXED: dict[str, list[tuple[str, str]]] = {
+    "trades": [("T", "letter"), ("S", "symbol"), ("i", "count"), ("x", "text"), ("p", "price"), ("s", "size"), ("t", "time"), ("c", "tags"), ("z", "maybe text"), ("ingest_timestamp", "maybe number"), ("freshness_seconds", "maybe number")],
+    "quotes": [
+        ("T", "letter"), ("S", "symbol"), ("bx", "text"), ("bp", "amount"), ("bs", "count"), ("ax", "text"), ("ap", "amount"), ("as", "count"), ("t", "time"), ("c", "tags"), ("z", "maybe text"), ("ingest_timestamp", "maybe number"),
+        ("freshness_seconds", "maybe number"), ("spread", "maybe number"),
+    ],
+    "crypto": [("trade_id", "size"), ("sequence", "count"), ("maker_order_id", "maybe text"), ("taker_order_id", "maybe text"), ("ingest_timestamp", "maybe number"), ("freshness_seconds", "maybe number")],
+    "news": [("category_within_source", "maybe text"), ("overall_sentiment_score", "maybe number"), ("topics", "topics")],
+}
+#: Modes of a field; the odd values are the first six.
+MODES = 16
+
+
+def mode(place: int) -> Column:
+    """Which value a row's field of this place takes."""
+    return (F.col("event_id") * (2 * place + 1) + F.col("user_id") + 3 * place) % MODES
+
+
+def _odd(kind: str, letter: str) -> tuple[list[Column | None], Column]:
+    """A kind's odd values as JSON text (None: the field is left out), made of the row's own, and its sound one. n is from -2 to 2."""
+    n, word = (F.col("user_id") % 5 - 2).cast("string"), F.col("event_type")
+    half, null = F.concat(n, F.lit(".5")), F.lit("null")
+    at = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    return {
+        "letter": ([None, null, n, F.lit('""'), quoted(F.lit(letter.upper())), quoted(F.concat(F.lit(letter), F.lit(letter)))], quoted(F.lit(letter))),
+        "symbol": ([None, null, n, F.lit('""'), quoted(F.concat(word, n)), F.lit('".-"')], quoted(word)),
+        "text": ([None, null, n, F.lit('""'), F.lit("true"), quoted(word)], F.lit('"V"')),
+        "maybe text": ([None, null, n, F.lit('""'), F.lit("true"), quoted(word)], F.lit('"C"')),
+        "count": ([None, null, n, quoted(n), half, F.lit('"a"')], number(F.col("event_id"))),
+        "size": ([None, null, n, quoted(n), half, F.lit('"a"')], number(F.col("event_id") + 1)),
+        "amount": ([None, null, half, quoted(half), quoted(word), F.lit("0")], number(F.col("value"))),
+        "price": ([None, null, half, quoted(half), quoted(word), F.lit("0")], number(F.col("value"))),
+        "time": ([None, null, n, F.lit('"soon"'), quoted(at), quoted(F.date_format("ts", "yyyy-MM-dd"))], quoted(iso("ts"))),
+        "tags": ([None, null, n, F.concat(F.lit('["a",'), n, F.lit("]")), F.lit("[null]"), F.lit("[]")], F.lit('["R"]')),
+        "maybe number": ([None, null, quoted(word), quoted(half), F.lit("[5]"), n], number(F.col("event_id") % 100 + 0.25)),
+        "topics": ([None, null, F.lit("[{}]"), F.concat(F.lit('[{"topic":'), quoted(word), F.lit('},{"relevance_score":'), half, F.lit("}]")), F.lit('[{"topic":"a","relevance_score":null}]'), F.lit('["a"]')], F.lit('[{"topic":"b","relevance_score":"0.75"}]')),
+    }[kind]
+
+
+def event_mixed(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
+    """A message for each event in which each field of MIXED is sound or odd by the row's numbers, all combinations among them."""
+    sound = {
+        "crypto": {"type": F.lit('"match"'), "product_id": F.lit('"BTC-USD"'), "price": F.lit('"1.5"'), "size": F.lit('"0.5"'), "side": F.lit('"buy"'), "time": quoted(iso("ts"))},
+        "news": {"title": quoted(F.col("event_type")), "url": F.lit('"https://x.example/a"'), "time_published": quoted(compact("ts")), "summary": F.lit('"B"'), "source": F.lit('"C"')},
+    }
+    fields, modes = dict(sound.get(stream, {})), {}
+    for place, (name, kind) in enumerate(MIXED[stream]):
+        odd, fine = _odd(kind, stream[0])
+        modes[f"m{place}"] = (mode(place) + 1).cast("int")
+        values = F.array(*(F.lit(None).cast("string") if x is None else x for x in odd))
+        fields[name] = F.when(F.col(f"m{place}") > len(odd), fine).otherwise(F.element_at(values, F.least(F.col(f"m{place}"), F.lit(len(odd)))))
+    parts = [F.concat(F.lit(f'"{k}":'), c).alias(f"p{n}") for n, (k, c) in enumerate(fields.items())]
+    e = spread(table(spark, sf_dir, "events")).withColumns(modes).select("event_id", *parts)  # fields that are left out are null
+    body = F.concat_ws(",", *(f"p{n}" for n in range(len(parts))))
+    return e.select("event_id", F.concat(F.lit("{"), body, F.lit("}")).cast("binary").alias("value"))
