@@ -165,6 +165,17 @@ ORACLES: dict[str, str] = {
         f"SELECT '{s}' AS stream, event_id, codes, {_listed([x for *_, x in c])} AS shown, CASE WHEN codes = '' AND '{s}' <> 'news' THEN 1700000000000000 END::BIGINT AS ingested FROM (SELECT event_id, {_listed([x for _, x, _ in c])} AS codes FROM events)"
         for s, c in cases.NORMALISED.items()
     ),
+    "reconcile_trades": f"""
+WITH m AS (SELECT *, {_TRADE_CODES} IS NULL AS good, CASE WHEN event_id % 7 = 3 THEN event_id - 3 ELSE event_id END AS id FROM events),
+w AS (SELECT event_id, CASE WHEN NOT good THEN 'dead' WHEN row_number() OVER (PARTITION BY good, id ORDER BY event_id) = 1 THEN 'table_' ELSE 'duplicate' END AS lane FROM m),
+n AS (SELECT count(*) AS came, count(*) FILTER (lane = 'table_') AS t, count(*) FILTER (lane = 'duplicate') AS dup, count(*) FILTER (lane = 'dead') AS dead, count(*) FILTER (lane = 'table_' AND event_id % 97 = 0) AS gone FROM w)
+SELECT unnest(['whole', 'whole', 'whole', 'whole', 'whole', 'whole', 'short', 'short', 'short', 'short', 'short', 'short']) AS books, unnest(['came', 'table_', 'duplicate', 'dead', 'lost', 'surplus', 'came', 'table_', 'duplicate', 'dead', 'lost', 'surplus']) AS lane,
+       unnest([came, t, dup, dead, 0, 0, came, t - gone, dup, dead, gone, 0])::BIGINT AS n FROM n""",
+    "sketched_days": """
+SELECT event_type, epoch_us(date_trunc('day', ts)) AS day, count(*) AS n, count(DISTINCT user_id) AS exact_users, true AS users_near, true AS median_near FROM events GROUP BY 1, 2""",
+    "stream_sessions": f"""
+WITH {_SESSIONS}
+SELECT user_id || '|' || event_type AS key, count(*) AS n_accepted, count(*) AS n_sessions, sum(n)::BIGINT AS n_rows, min(a) AS first_start, max(b) AS last_end FROM sessions GROUP BY 1""",
     "contract_mixed": "\nUNION ALL ".join(map(_mixed_contract, MIXED)),
     "normalise_mixed": "\nUNION ALL ".join(map(_mixed_rows, MIXED)),
     "source_messages": """

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import cast
-from marlstone.operators import contracts, dedup, derive, exposition, joins, metrics, normalise, parse
+from marlstone.operators import contracts, dedup, derive, exposition, joins, metrics, normalise, parse, reconcile, sketches
 from marlstone.plans import cases, pipelines
 from marlstone.sources import adapters as a
 from marlstone.sources import files
-from marlstone.streaming import collector, scratch, sinks
+from marlstone.streaming import collector, scratch, sinks, stateful
 from marlstone.streaming import joins as stream_joins
 from marlstone.streaming.tables import BatchTable, query_id
 
@@ -448,6 +448,41 @@ def _streamed(s: SparkSession, messages: DataFrame, name: str) -> tuple[DataFram
     return files.messages(s, f"{folder}/in", stream=True, files_per_batch=2), folder
 
 
+def reconcile_trades(s: SparkSession, d: str) -> DataFrame:
+    """Where the messages of trades with repeats went, and what is missed if a part of the table is lost."""
+    messages = a.event_trades(s, d, repeats=True)
+    rows = pipelines.typed(messages, "trades", carry=["event_id"])
+    good = dedup.mark_repeats(rows.filter(F.size("codes") == 0), ["trade_id"], ["event_id"])
+    came = messages.select(F.col("value").cast("string").alias("raw"))
+    lanes = {"table_": good.filter("NOT is_duplicate"), "duplicate": good.filter("is_duplicate"), "dead": rows.filter(F.size("codes") > 0)}
+    whole = reconcile.totals(reconcile.books(came, lanes))
+    short = reconcile.totals(reconcile.books(came, lanes | {"table_": lanes["table_"].filter("event_id % 97 <> 0")}))
+    return whole.select(F.lit("whole").alias("books"), "*").unionByName(short.select(F.lit("short").alias("books"), "*"))
+
+
+def sketched_days(s: SparkSession, d: str) -> DataFrame:
+    """Days out of hourly sketches, beside the exact values: users of each type, and whether the sketches are within their errors."""
+    rows = a.table(s, d, "events").select("event_type", "user_id", "value", a.instant("ts").alias("at"))
+    days = sketches.rolled(sketches.hourly(rows, ["event_type"], "at", "user_id", "value"), ["event_type"], "day")
+    days = days.select("event_type", "day", "n", sketches.distinct_count().alias("users"), sketches.quantile(0.5).alias("median"))
+    exact = rows.withColumn("day", F.date_trunc("day", "at")).join(days, ["event_type", "day"]).groupBy("event_type", "day", "n", "users", "median")
+    told = exact.agg(F.count_distinct("user_id").alias("exact_users"), F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+    near = F.abs(F.col("users") - F.col("exact_users")) <= F.greatest(F.lit(1), F.col("exact_users") * 0.06)
+    return told.select("event_type", F.unix_micros("day").alias("day"), "n", "exact_users", near.alias("users_near"), ((F.col("below") <= 0.55) & (F.col("upto") >= 0.45)).alias("median_near"))
+
+
+def stream_sessions(s: SparkSession, d: str) -> DataFrame:
+    """News sessions over a stream: the rows that open one, and each session that is over, once."""
+    folder = scratch.folder(s, "sessions")
+    rows = _timed(s, d).select(F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("story"), "event_id", "at")
+    end = rows.agg((F.max("at") + F.expr("INTERVAL 30 DAYS")).alias("at")).select(F.lit("end").alias("story"), F.lit(-1).cast("long").alias("event_id"), "at")
+    stream = _in_order(s, rows.unionByName(end), "at", folder)
+    out = stateful.accept_by_session(stream, "story", "at", HALF_DAY, "event_id", 0)
+    _appended(s, out, folder, "sessions", f"{folder}/out", empty_batches=True).awaitTermination()
+    got = BatchTable(s, f"{folder}/out").read(out.schema).filter("key <> 'end'")
+    return got.groupBy("key").agg(F.count_if(F.col("kind") == "accepted").alias("n_accepted"), F.count_if(F.col("kind") == "session").alias("n_sessions"), F.sum("n").alias("n_rows"), F.min("session_start").alias("first_start"), F.max("session_end").alias("last_end"))
+
+
 def _in_order(s: SparkSession, rows: DataFrame, at: str, folder: str) -> DataFrame:
     """Rows as a stream of files, one to a micro-batch, each of a later stretch of time than the one before."""
     rows.repartitionByRange(4, at).write.parquet(f"{folder}/rows")
@@ -457,14 +492,14 @@ def _in_order(s: SparkSession, rows: DataFrame, at: str, folder: str) -> DataFra
     return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows")
 
 
-def _appended(spark: SparkSession, rows: DataFrame, folder: str, name: str, table: str, mode: str = "append"):
+def _appended(spark: SparkSession, rows: DataFrame, folder: str, name: str, table: str, mode: str = "append", empty_batches: bool = False):
     """Start a query that appends a stream's batches to a table; it ends when its source is worked off."""
     checkpoint = f"{folder}/checkpoint-{name}"
 
     def write(df: DataFrame, batch: int) -> None:
         BatchTable(df.sparkSession, table).commit(df, query_id(df.sparkSession, checkpoint), batch)
 
-    return sinks.started(rows.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True), spark)
+    return sinks.started(rows.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True), spark, empty_batches)
 
 
 def stream_trade_quotes(s: SparkSession, d: str) -> DataFrame:
@@ -539,7 +574,7 @@ QUERIES: dict[str, Query] = {
         sentiment_distribution, sentiment_scale, news_run_metrics, news_publish, symbol_upper_valid, iso_truncate, compact_ts,
         contract_faults, normalise_edges, source_messages, only_symbols, metric_names, published_datetime, recent_dead_letters, throughput_sliding, exposition_text, run_text, collector_memory,
         stream_trades, stream_news, stream_collector, asof_trades_quotes, asof_next_quote, quotes_around_trades, sessions_overlap,
-        contract_mixed, normalise_mixed, collector_short_memory, stream_trade_quotes, stream_quality, stream_two_queries,
+        reconcile_trades, sketched_days, stream_sessions, contract_mixed, normalise_mixed, collector_short_memory, stream_trade_quotes, stream_quality, stream_two_queries,
     )
 } | {
     "contract_trades": _contract("trades", a.event_trades, "event_id"),

@@ -57,10 +57,11 @@ def run_pipeline(messages: DataFrame, stream: str, main: str, checkpoint: str, d
     return started(typed.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})), typed.sparkSession)
 
 
-def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+def started(writer: DataStreamWriter, spark: SparkSession, empty_batches: bool = False) -> StreamingQuery:
     """Start a query with the settings that stateful ones need. A query copies its session's settings as it starts, so the
-    session's own are as before afterwards."""
-    wanted = {"spark.sql.streaming.stateStore.providerClass": stateful.ROCKSDB, _EMPTY: "false"}  # else a state that expires asks for empty batches without end
+    session's own are as before afterwards. empty_batches: let it run batches without rows, in which event-time timers
+    come due; a state that expires by the clock would ask for them without end."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": stateful.ROCKSDB, _EMPTY: str(empty_batches).lower()}
     before = {k: spark.conf.get(k) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
