@@ -5,8 +5,8 @@ and what they reach of each other is a cluster. In a cluster all pairs are compa
 nearest first, and what isn't linked already is then checked on the whole sets.
 
 Texts of equal sets are one class from the start, of which one goes on. In a cluster larger than a block all rows are first
-compared with a few representatives, in rounds, which links most of what is alike; then only rows outside of its largest
-component are compared with all others, in pairs of blocks. Links within a component are not looked for: they join nothing.
+compared with a few representatives, which links most of what is alike; then only rows outside of its largest component are
+compared with all others, in pairs of blocks. Links within a component are not looked for: they join nothing.
 """
 
 from __future__ import annotations
@@ -31,11 +31,8 @@ SHINGLE = 5
 NUM, DEN = 4, 5
 #: Texts and shingles of a block, about.
 BLOCK, BLOCK_SHINGLES = 1000, 500_000
-#: Representatives of a large cluster in each round, and rounds at most; they end before, when no more than a block is left
-#: outside of a cluster's largest component or a round has joined less than a fifth of the components.
-REPRESENTATIVES, ROUNDS = 16, 6
-#: Representatives' shingles up to this many are broadcast (8 bytes each); more are joined by a shuffle, dealt over the cluster's blocks.
-BROADCAST_SHINGLES = 4_000_000
+#: Representatives of a large cluster.
+REPRESENTATIVES = 16
 _OWN = ("row_no", "set_id", "n_shingles", "prints")
 
 
@@ -163,57 +160,71 @@ def _checked(hashed: DataFrame) -> DataFrame:
     return _dealt(hashed).repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(check, "a long, b long")
 
 
-def _represented(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(a, b): rows of large clusters (root, salt, row_no, comp, prints, shingles) that are alike with a representative of theirs
-    in another component (root, rep, rep_comp, rep_prints, rep_shingles)."""
+def _represented(rows: DataFrame) -> DataFrame:
+    """(root, row_no, reps): for each row of a large cluster (root, blocks, row_no, prints, shingles) the representatives of it that
+    it is alike with, a representative being alike with itself.
+
+    Rows are dealt by cluster and block, each once, and its cluster's representatives come to each block first.
+    """
+    nth = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("row_no"), "row_no"))
+    names = rows.select("root", "row_no").withColumn("nth", nth).filter(F.col("nth") <= REPRESENTATIVES).select("row_no")
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    chosen = rows.join(names, "row_no").select("root", salt.alias("salt"), F.lit(False).alias("own"), "row_no", "prints", "shingles")
+    own = rows.select("root", F.pmod(F.xxhash64("row_no"), F.col("blocks")).alias("salt"), F.lit(True).alias("own"), "row_no", "prints", "shingles")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, []
         for whole in batches:
             out = []
-            for at in range(0, whole.num_rows, 256):
-                for row, prints, shingles, rep, rep_prints, rep_shingles in zip(*(whole.column(c).slice(at, 256).to_pylist() for c in ("row_no", "prints", "shingles", "rep", "rep_prints", "rep_shingles")), strict=True):
-                    far = int(np.bitwise_count(np.frombuffer(prints, "<u8") ^ np.frombuffer(rep_prints, "<u8")).sum())
-                    small, large = sorted((len(shingles), len(rep_shingles)))
-                    if far <= FAR and small * DEN >= large * NUM and alike(np.frombuffer(shingles, "<u8"), np.frombuffer(rep_shingles, "<u8")):
-                        out.append((row, rep))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    if (chosen.agg(F.sum(F.octet_length("rep_shingles") / 8)).first()[0] or 0) <= BROADCAST_SHINGLES:
-        met = rows.join(F.broadcast(chosen), "root")
-    else:
-        salted = chosen.join(rows.select("root", "salt").distinct(), "root")
-        met = rows.join(salted, ["root", "salt"])
-    return met.filter("comp <> rep_comp").select("row_no", "prints", "shingles", "rep", "rep_prints", "rep_shingles").mapInArrow(check, "a long, b long")
+            for at in range(0, whole.num_rows, 64):
+                for root, salt_, own_, row, p, s in zip(*(whole.column(c).slice(at, 64).to_pylist() for c in ("root", "salt", "own", "row_no", "prints", "shingles")), strict=True):
+                    if (root, salt_) != last:
+                        last, known = (root, salt_), []
+                    prints, shingles = np.frombuffer(p, "<u8"), np.frombuffer(s, "<u8")
+                    if not own_:
+                        known.append((row, prints, shingles))
+                        continue
+                    n = len(shingles)
+                    close = [(rep, other) for rep, q, other in known if int(np.bitwise_count(prints ^ q).sum()) <= FAR and min(n, len(other)) * DEN >= max(n, len(other)) * NUM]
+                    out.append((root, row, [rep for rep, other in close if alike(shingles, other)]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["root", "row_no", "reps"])
+
+    met = chosen.unionByName(own).repartition("root", "salt").sortWithinPartitions("root", "salt", "own")
+    return stored(met.mapInArrow(check, "root long, row_no long, reps array<long>"), "represented")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(root, sets of representatives that one row is alike with) to (root, rep, comp): the least representative that each reaches."""
+    for batch in batches:
+        out = []
+        for root, groups in zip(batch.column("root").to_pylist(), batch.column("groups").to_pylist(), strict=True):
+            comp: dict[int, int] = {}
+            for group in groups:
+                met = {comp.get(r, r) for r in group}
+                low = min(met)
+                comp |= {r: low for r in group}
+                comp = {r: low if c in met else c for r, c in comp.items()}
+            out += [(root, r, c) for r, c in comp.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["root", "rep", "comp"])
 
 
 def _large_links(rows: DataFrame) -> DataFrame:
     """(a, b) of alike texts in large clusters, from (root, blocks, row_no, prints, shingles)."""
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("row_no"), F.col("blocks")))
-    links, comps, left = None, rows.select("row_no", F.col("row_no").alias("comp")), 1 << 62
-    for k in range(ROUNDS + 1):
-        placed = stored(rows.select("root", "row_no").join(comps, "row_no"), "placed")
-        sizes = placed.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("n"))
-        giants = sizes.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("giant"), F.count(F.lit(1)).alias("comps"))
-        placed = stored(placed.join(giants.filter("comps > 1"), "root").join(sizes, ["root", "comp"]), "open")
-        outside, parts = placed.groupBy("root").agg(F.count_if(F.col("comp") != F.col("giant")).alias("n"), F.max("comps").alias("c")).agg(F.max("n"), F.sum("c")).first()
-        if outside is None:
-            return links
-        if k == ROUNDS or k and (outside <= BLOCK or 5 * parts > 4 * left):
-            break
-        left = parts
-        # one row of each component, the smallest first, then another of each
-        own = F.row_number().over(Window.partitionBy("root", "comp").orderBy(F.xxhash64(F.lit(k), "row_no")))
-        nth = F.row_number().over(Window.partitionBy("root").orderBy("own", "n", F.xxhash64(F.lit(k), "row_no")))
-        few = placed.withColumn("own", own).filter(F.col("own") <= REPRESENTATIVES)
-        names = few.withColumn("nth", nth).filter(F.col("nth") <= REPRESENTATIVES).select("row_no")
-        mine = rows.join(placed.select("row_no", "comp"), "row_no")
-        chosen = stored(mine.join(names, "row_no").select("root", F.col("row_no").alias("rep"), F.col("comp").alias("rep_comp"), F.col("prints").alias("rep_prints"), F.col("shingles").alias("rep_shingles")), "chosen")
-        new = stored(_represented(mine, chosen), "represented")
-        links = new if links is None else links.unionByName(new)
-        joined = stored(components(links), "components").select(F.col("node").alias("row_no"), F.col("root").alias("comp"))
-        comps = rows.select("row_no").join(joined, "row_no", "left").select("row_no", F.coalesce("comp", "row_no").alias("comp"))
+    met = _represented(rows)
+    links = met.select(F.col("row_no").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
+    # pairs of neighbours in the lists say as much as the lists, and are no more than representatives can make
+    pairs = F.when(F.size("reps") < 2, F.array("reps")).otherwise(F.transform(F.sequence(F.lit(1), F.size("reps") - 1), lambda k: F.slice("reps", k, 2)))
+    groups = met.filter(F.size("reps") > 0).select("root", F.explode(pairs).alias("pair")).groupBy("root").agg(F.collect_set("pair").alias("groups"))
+    comps = groups.mapInArrow(_merged, "root long, rep long, comp long")
+    placed = met.select("root", "row_no", F.get("reps", F.lit(0)).alias("rep")).join(comps, ["root", "rep"], "left")
+    placed = stored(placed.select("root", "row_no", F.coalesce("comp", "row_no").alias("comp")), "placed")
+    sizes = placed.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("n"))
+    giants = sizes.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("giant"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    open_ = stored(placed.join(giants, "root").select("row_no", "comp", (F.col("comp") == F.col("giant")).alias("inside")), "open")
+    if open_.isEmpty():
+        return links
     # rows outside of the largest component meet all others; those within it meet them
-    mine = rows.drop("blocks").join(placed.select("row_no", "comp", (F.col("comp") == F.col("giant")).alias("inside")), "row_no")
+    mine = rows.drop("blocks").join(open_, "row_no")
     blocks = mine.groupBy("root", "inside").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("shingles") / 8) / BLOCK_SHINGLES)).cast("long").alias("n"))
     blocks = blocks.groupBy("root").agg(F.sum(F.when(~F.col("inside"), F.col("n"))).alias("out"), F.coalesce(F.sum(F.when(F.col("inside"), F.col("n"))), F.lit(0)).alias("inn"))
     part = F.when(F.col("inside"), F.col("out") + F.pmod(F.xxhash64("row_no"), F.greatest("inn", F.lit(1)))).otherwise(F.pmod(F.xxhash64("row_no"), F.col("out")))

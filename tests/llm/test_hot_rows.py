@@ -49,7 +49,7 @@ def near_copies(spark, n, words):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
-@pytest.mark.parametrize("n, words, times", [(400, 150, 0), (1600, 150, 0), (400, 60, 12)])
+@pytest.mark.parametrize("n, words, times", [(400, 150, 0), (1600, 150, 0), (400, 60, 10)])
 def test_large_clusters_are_sent_in_proportion(spark, monkeypatch, n, words, times):
     """Rows sent to be compared in pairs of blocks grow with the cluster, not with its square; what a representative is alike with isn't sent."""
     monkeypatch.setattr(near, "BLOCK", 50)
