@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marlstone.operators import exposition, parse
 from marlstone.plans import pipelines
-from marlstone.sources import feeds, files
+from marlstone.sources import feeds, files, topics
 from marlstone.streaming import collector, sinks
 
 
@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--live", action="store_true", help="messages come from the stream's feed, until the query is stopped")
     p.add_argument("--option", action="append", default=[], metavar="K=V", help="of the feed")
     p.add_argument("--serve", action="store_true", help="with --collect: the metrics endpoint")
+    p.add_argument("--topic", metavar="MODULE:NAME", help="with --collect and a stream: the transport of the topic that valid events are sent to; --topic-option K=V for it")
+    p.add_argument("--topic-option", action="append", default=[], metavar="K=V")
     p.add_argument("--run", action="store_true", help="news: one poll and what comes of it")
     return p
 
@@ -68,6 +70,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         p.error("--stream and --live need --checkpoint")
     if a.suppress_by and a.stream != "news":
         p.error("--suppress-by is for news")
+    if a.topic and not (a.collect and (a.streaming or a.live)):
+        p.error("--topic is for --collect with --stream or --live")
     if a.run and a.stream != "news":
         p.error("--run is for news")
     spark = spark or SparkSession.builder.appName(f"marlstone {a.stream}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -95,7 +99,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
 def _collect(spark: SparkSession, a: argparse.Namespace, messages: DataFrame, trigger: dict | None) -> None:
     if a.streaming or a.live:
         arrival = "ingest_timestamp" if "ingest_timestamp" in messages.columns else None
-        query = collector.run_collector(messages, a.stream, a.output, a.checkpoint, trigger, arrival=arrival, log=lambda line: print(line, file=sys.stderr))
+        topic = dict(o.split("=", 1) for o in a.topic_option)
+        send = (lambda events: topics.publish(events, a.topic, **topic)) if a.topic else None
+        query = collector.run_collector(messages, a.stream, a.output, a.checkpoint, trigger, arrival=arrival, log=lambda line: print(line, file=sys.stderr), send=send)
         server = None
         if a.serve:
             server = exposition.serve(lambda: collector.snapshots(spark, a.output), lambda: query.isActive)

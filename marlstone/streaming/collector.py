@@ -29,7 +29,7 @@ ARRIVAL = "decimal(38,0)"
 KEEP_SECONDS = 7 * 86_400
 
 
-def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, trigger: dict | None = None, value: str = "value", arrival: str | None = None, scope: list[str] | None = None, capacity: int = dedup.CAPACITY, log: Callable[[str], None] | None = None, exact: bool = False, keep_seconds: int | None = KEEP_SECONDS) -> StreamingQuery:
+def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, trigger: dict | None = None, value: str = "value", arrival: str | None = None, scope: list[str] | None = None, capacity: int = dedup.CAPACITY, log: Callable[[str], None] | None = None, exact: bool = False, keep_seconds: int | None = KEEP_SECONDS, send: Callable[[DataFrame], object] | None = None) -> StreamingQuery:
     """Start a collector over a streaming DataFrame of messages.
 
     Below `out` grow, each micro-batch once whatever restarts there are (tables.BatchTable): events, the JSON lines that are
@@ -38,7 +38,10 @@ def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, t
 
     Duplicates are told as pipelines.collect tells them: by default any earlier valid message of the same identity, each
     identity with a state of its own that goes after keep_seconds (None: never); with exact, or a scope, and for crypto, a
-    memory of the last `capacity` accepted ones for each scope (crypto: the product), without a scope in one sequence, so in one task. A
+    memory of the last `capacity` accepted ones for each scope (crypto: the product), without a scope in one sequence, so in one task.
+
+    send gets a batch's published messages (value: bytes), for a topic (sources.topics.publish), before the batch is marked as
+    published by its events: each is sent at least once. A
     violation's detection time is the batch's checking time by its rows: rows can't be timed one by one. log gets the lines about a
     batch's rows that were not published.
     """
@@ -73,7 +76,10 @@ def run_collector(messages: DataFrame, stream: str, out: str, checkpoint: str, t
                 lines = parse.batch_events(done.filter("status = 'valid'").withColumn("run", F.lit(batch)), "run", ["order"]).select(F.col("value").cast("string").alias("value"))
             else:
                 lines = done.filter("status = 'valid'").select(F.col("event").alias("value"))
-            BatchTable(spark, f"{out}/{EVENTS}", "text").commit(lines, query, batch)
+            published = BatchTable(spark, f"{out}/{EVENTS}", "text")
+            if send and not published.committed(query, batch):
+                send(lines.select(F.col("value").cast("binary").alias("value")))
+            published.commit(lines, query, batch)
             running.update(BatchTable(spark, f"{out}/{STATUS}").batch(query, batch), query, batch)
             if log:
                 for r in pipelines.log_lines(done.filter("status IN ('invalid', 'duplicate')")).limit(metrics.DEAD_LETTERS_SHOWN).collect():

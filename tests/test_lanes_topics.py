@@ -6,10 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone.__main__ import main
 from marlstone.operators import reconcile, sketches
 from marlstone.sources import topics
 from marlstone.streaming import sinks, stateful, tables
-from test_tables import stream_of
+from test_messages import message
+from test_tables import put, stream_of
 from topic_transport import taken
 
 
@@ -87,3 +89,16 @@ def test_topic_gives_up_and_a_stream_sends_again(spark, tmp_path):
     assert start("1").awaitTermination(120)  # the broker is back
     got = taken(tmp_path / "u")
     assert set(got) == {"a", "b", "c", ""}
+
+
+def test_a_collector_sends_its_events(spark, tmp_path):
+    put(tmp_path / "in", 0, [message("trades", i=1), message("trades", i=1), message("trades", p=0), message("trades", i=2)])
+    line = ["trades", "--collect", "--stream", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), "--topic", "tests.topic_transport:broker", "--topic-option", f"path={tmp_path / 't'}"]
+    main(line, spark)
+    put(tmp_path / "in", 1, [message("trades", i=2), message("trades", i=3)])
+    main(line, spark)
+    import json
+
+    assert sorted(json.loads(m)["i"] for m in taken(tmp_path / "t")) == [1, 2, 3]
+    with pytest.raises(SystemExit):
+        main(["trades", "--collect", "--input", "x", "--output", "y", "--topic", "a:b"], spark)
