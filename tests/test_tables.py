@@ -160,6 +160,19 @@ def test_streams_joined_in_time(spark, tmp_path):
     assert {(x.n, x.right_n) for x in batch.collect()} == want
 
 
+@pytest.mark.parametrize("before,after,how", [(60, 5, "inner"), (60, 5, "leftOuter"), (0, 0, "inner"), (0, 90, "leftOuter")])
+def test_joined_in_bins_of_time(spark, before, after, how):
+    r = random.Random(7)
+    rows = [[(n, r.choice(["a", "a", None]), r.choice([None, *range(-200, 200)])) for n in range(300)] for _ in "lr"]
+    timed = [spark.createDataFrame(x, "n long, s string, sec long").select("n", "s", F.timestamp_seconds("sec").alias("at")) for x in rows]
+    got = joins.join_streams(*timed, ["s"], "at", "at", before, after, 0, how)
+    want = [(a[0], b[0]) for a in rows[0] for b in rows[1] if None not in (*a, *b) and a[1] == b[1] and -before <= b[2] - a[2] <= after]
+    if how != "inner":
+        want += [(n, None) for n in {a[0] for a in rows[0]} - {a for a, _ in want}]
+    assert sorted(((x.n, x.right_n) for x in got.collect()), key=str) == sorted(want, key=str) and got.columns == ["n", "s", "at", "right_n", "right_s", "right_at"]
+    assert "bin" in got._jdf.queryExecution().executedPlan().toString()  # a key's rows do not all meet each other
+
+
 def test_windows_under_a_watermark(spark, tmp_path):
     hour = 3600
     rows = [[(0, "valid", 10), (1, "invalid", 20)], [(2, "valid", hour + 1), (3, "duplicate", 30)], [(4, "valid", 5 * hour)], [(7, "valid", 5 * hour + 2)], [(5, "valid", 40), (6, "valid", 5 * hour + 1)]]
