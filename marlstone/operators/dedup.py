@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from collections.abc import Iterator
 
@@ -19,6 +20,8 @@ from marlstone.streaming import scratch
 CAPACITY = SETTINGS.capacity
 #: Lanes among which the rows of one key are dealt.
 LANES = 256
+#: Stretches into which a bounded memory's sequence is cut at most: they are also the most rounds that it can take, but one.
+STRETCHES = 16
 
 
 def mark_repeats(df: DataFrame, keys: list[str], order: list[str], out: str = "is_duplicate", lanes: int = LANES, where: Column | None = None) -> DataFrame:
@@ -143,10 +146,12 @@ def bounded_memory(df: DataFrame, ids: list[str], order: list[str], capacity: in
     """What accept_by_memory gives without a scope, in parallel; and the rounds that it took.
 
     A row is a duplicate if no more than `capacity` rows were accepted since, and with, the last accepted one with an id of its. The
-    order is cut into stretches of `stretch` rows (4 * capacity), each of which is one sequence in one task. It starts from
+    order is cut into stretches of `stretch` rows (4 * capacity), longer ones where these were more than STRETCHES, each of which is one
+    sequence in one task, which holds no more than its memory. It starts from
     the accepted rows before it that may still be remembered; first ones are guessed (each id's first row), then those that
     the round before has accepted, until no row changes. Each round settles at least one more stretch, so the end is the one
-    sequence's own outcome; as a memory soon forgets what it started from, few rounds are needed.
+    sequence's own outcome; as a memory mostly soon forgets what it started from, few rounds are needed. Where it never does, each round
+    settles one stretch: that is why their number is bounded, whatever the rows'. Settled stretches take no part in later rounds.
 
     df is written once, with a number for each row. Rows whose ids come once are always accepted: they are counted up front and take
     no further part. A round shuffles and writes narrow rows of the others: number, place, hashed ids; an accepted one
@@ -175,7 +180,8 @@ def bounded_memory(df: DataFrame, ids: list[str], order: list[str], capacity: in
     sums = {"pos": F.lit(1).cast("long"), "fixed": (~F.col("again")).cast("long")}
     before = placed.groupBy("range").agg(*(F.sum(c).alias(n) for n, c in sums.items())).select("range", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}0") for n in sums))
     at = placed.select(*keys, "row", "again", "range", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(n) for n, c in sums.items())).join(before, "range")
-    part = F.floor((F.col("pos") + F.col("pos0")) / (stretch or max(1000, 4 * capacity))).alias("part")
+    length = max(stretch or max(1000, 4 * capacity), -(-placed.count() // STRETCHES))
+    part = F.floor((F.col("pos") + F.col("pos0")) / length).alias("part")
     at = stored(at.select(*keys, "row", "again", (F.col("pos") + F.col("pos0")).alias("pos"), (F.col("fixed") + F.col("fixed0")).alias("fixed"), part), "at")
     bases = stored(at.groupBy("part").agg(F.min("fixed").alias("fixed0")), "bases")
     first = F.lit(True)
@@ -183,22 +189,29 @@ def bounded_memory(df: DataFrame, ids: list[str], order: list[str], capacity: in
         first = first & (F.row_number().over(Window.partitionBy(k).orderBy("pos")) == 1)
     guess = at.filter("again").join(bases, "part").select(*keys, "row", "part", "pos", (F.col("fixed") - F.col("fixed0")).alias("gap"), first.alias("flag"), F.lit(None).cast("boolean").alias("was"))
     so_far = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    guess = stored(guess.withColumn("n", F.col("gap") + F.coalesce(F.sum(F.col("flag").cast("long")).over(so_far), F.lit(0))), "guess")
-    rounds, by = 0, Window.orderBy("part")
+    open_ = stored(guess.withColumn("n", F.col("gap") + F.coalesce(F.sum(F.col("flag").cast("long")).over(so_far), F.lit(0))), "guess")
+    rounds, by, settled, last = 0, Window.orderBy("part"), [], -1
     while True:
         rounds += 1
+        guess = functools.reduce(DataFrame.unionByName, settled, open_)
         taken = guess.groupBy("part").agg(F.sum(F.col("flag").cast("long")).alias("taken"))
         starts = bases.join(taken, "part", "left").select("part", (F.col("fixed0") + F.coalesce(F.sum("taken").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("start"))
         starts = starts.withColumn("reach", F.max("part").over(Window.orderBy("start").rangeBetween(0, capacity)))
         starts = starts.withColumn("reach", F.lead("reach").over(by))  # the last stretch that may remember a row of this one
         lent = guess.filter("flag").join(starts.filter("reach > part"), "part").withColumn("to", F.explode(F.sequence(F.col("part") + 1, "reach"))).withColumn("n", F.col("start") + F.col("n"))
         lent = lent.drop("part", "start").join(starts.select(F.col("part").alias("to"), "start"), "to").withColumn("n", F.col("n") - F.col("start")).filter(F.col("n") >= -capacity)
-        lent = lent.select(*keys, "row", F.col("to").alias("part"), "pos", "gap", F.lit(None).cast("boolean").alias("flag"), "was", "n")
-        both = guess.unionByName(lent).withColumn("own", F.col("flag").isNotNull()).repartition("part").sortWithinPartitions("part", "own", "pos")
-        guess = stored(both.mapInArrow(_remembered(keys, capacity, guess.columns), guess.schema), f"round{rounds}")
-        if guess.filter("flag <> was").isEmpty():
+        lent = lent.filter(F.col("to") > last).select(*keys, "row", F.col("to").alias("part"), "pos", "gap", F.lit(None).cast("boolean").alias("flag"), "was", "n")
+        both = open_.unionByName(lent).withColumn("own", F.col("flag").isNotNull()).repartition("part").sortWithinPartitions("part", "own", "pos")
+        told = stored(both.mapInArrow(_remembered(keys, capacity, open_.columns), open_.schema), f"round{rounds}")
+        # what comes before the first change started from what will not change any more, and so did the stretch of that change
+        first_changed = told.filter("flag <> was").agg(F.min("part")).first()[0]
+        if first_changed is None:
+            settled.append(told)
             break
-    flags = guess.select(F.col("row").alias(row), F.col("flag").alias(out))
+        last = first_changed
+        settled.append(told.filter(F.col("part") <= last))
+        open_ = told.filter(F.col("part") > last)
+    flags = functools.reduce(DataFrame.unionByName, settled).select(F.col("row").alias(row), F.col("flag").alias(out))
     got = whole.join(flags, row, "left").withColumn(out, F.col(ok) & F.coalesce(F.col(out), F.lit(True)))
     return got.select(*df.columns, out), rounds
 

@@ -287,3 +287,10 @@ def test_news_are_polled_at_their_own_pace():
     fast = feeds.NewsFeed(options | {"every": "0"}).simpleStreamReader(None)
     end = fast.read(fast.initialOffset())[1]
     assert len(list(fast.read(end)[0])) == 1
+
+
+def test_bounded_memory_that_never_forgets_its_start(spark):
+    df = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * F.col("id") % 71).alias("a"), ((F.col("id") * 31 + F.floor(F.col("id") / 5)) % 101).alias("b"))
+    got, rounds = dedup.bounded_memory(df, ["a", "b"], ["k"], 30, stretch=100)
+    want = dedup.accept_by_memory(df, ["a", "b"], ["k"], capacity=30)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and rounds <= dedup.STRETCHES + 1
