@@ -176,3 +176,21 @@ def test_messages_out(spark):
     out = parse.batch_message(df, "run").collect()
     assert len(out) == 1 and json.loads(bytes(out[0].value)) == [{"as_": 1, "z": None}, {"as_": 2, "z": "x"}]
     assert parse.batch_message(df.limit(0), "run").count() == 0
+
+
+def test_a_price_of_zero_is_invalid_in_trades_and_crypto(spark):
+    from marlstone.plans import cases
+
+    for stream, field, zero in (("trades", "p", "0.0"), ("crypto", "price", '"0.0"'), ("crypto", "size", '"0.0"')):
+        rows = spark.createDataFrame([(cases.message(stream, {field: zero}),)], "value string")
+        got = contracts.check(parse.parse_messages(rows), stream).first()
+        assert (got.status, got.codes) == ("invalid", [f"contract:{field}"])
+
+
+def test_no_field_is_read_again_by_the_rules(spark):
+    from marlstone.plans import cases
+
+    for stream in ("trades", "quotes"):
+        rows = spark.createDataFrame([(cases.message(stream, {}),)], "value string")
+        plan = contracts.check(parse.parse_messages(rows), stream).select("status", "codes")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("schema_of_variant") + plan.count("schemaOfVariant") <= 2 * 16
