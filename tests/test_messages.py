@@ -1,6 +1,7 @@
 """Parsing, contracts and normalisers, row by row."""
 
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -194,3 +195,13 @@ def test_no_field_is_read_again_by_the_rules(spark):
         rows = spark.createDataFrame([(cases.message(stream, {}),)], "value string")
         plan = contracts.check(parse.parse_messages(rows), stream).select("status", "codes")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("schema_of_variant") + plan.count("schemaOfVariant") <= 2 * 16
+
+
+@pytest.mark.parametrize("stream", pipelines.STREAMS)
+def test_no_step_is_too_large_to_be_compiled(spark, stream):
+    """HotSpot interprets methods of more than 8,000 bytes, however often they run."""
+    k = F.col("id").cast("string")
+    said = spark.range(3).select(F.current_timestamp().alias("at"), F.concat(F.lit('{"i":'), k, F.lit(',"T":"t","t":"2024-01-01","s":'), k, F.lit("}")).cast("binary").alias("value"))
+    for df in (pipelines.typed(said, stream), contracts.check(parse.parse_messages(said), stream)):
+        told = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told)), default=0) < 8000
