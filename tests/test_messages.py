@@ -205,3 +205,14 @@ def test_no_step_is_too_large_to_be_compiled(spark, stream):
     for df in (pipelines.typed(said, stream), contracts.check(parse.parse_messages(said), stream)):
         told = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
         assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told)), default=0) < 8000
+
+
+@pytest.mark.parametrize("stream", ["trades", "quotes", "crypto"])
+def test_counting_the_main_lane_reads_few_values(spark, stream):
+    """Kinds tell whether a number or a text will do; only times and what is asked for are taken out of their variants."""
+    said = spark.range(3).select(F.lit("{}").cast("binary").alias("value"))
+    counted = normalise.main_lane(pipelines.typed(said, stream)).groupBy().count()
+    plan = spark._jvm.PythonSQLUtils.explainString(counted._jdf.queryExecution(), "simple")
+    plan = plan[plan.index("Physical Plan") :]
+    assert not re.findall(r"\b(?:price|symbol|exchange|product_id|side|bid_price|trade_value)#", plan)
+    assert "round(" not in plan
