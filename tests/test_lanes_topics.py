@@ -70,6 +70,39 @@ def test_a_story_told_again_and_again_is_one_session(spark, tmp_path):
     assert sorted((str(r.key), r.session_start // us - 100, r.session_end // us - 100, r.n) for r in got if r.kind == "session") == [("None", 22, 34, 1), ("a", 0, 45, 4), ("b", 1, 13, 1), ("b", 30, 42, 1)]
 
 
+def test_states_of_sessions_grow_with_lanes_and_not_with_keys(spark, tmp_path):
+    """Many keys, some null or not a number, equal times and nulls in what is carried: the sessions of a sequence, in 16 states at most."""
+    hour, us = 3600, 3_600_000_000
+    nan, rows = float("nan"), []
+    for n in range(3000):
+        k = n * 7919 % 600
+        rows.append((n, None if k == 0 else nan if k == 1 else k / 2, 1 + n // 25 + (n * 31 % 7) / 8, None if n % 3 else 2**53 + n))
+    batches = [[r for r in rows if 30 * b < r[2] <= 30 * b + 30] for b in range(5)] + [[(3000, -1.0, 400.0, None)]]
+    s = stream_of(spark, tmp_path / "s", batches, "n long, story double, h double, big long").withColumn("at", F.timestamp_micros((F.col("h") * us).cast("long")))
+    out = stateful.accept_by_session(s, "story", "at", 12 * hour, "n", 0, lanes=16)
+    t = tables.BatchTable(spark, str(tmp_path / "out"))
+    q = sinks.started(out.writeStream.foreachBatch(lambda df, b: t.commit(df, "q", b) and None).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True), spark, empty_batches=True)
+    assert q.awaitTermination(240)
+    assert 0 < max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) <= 64  # a state and a timer's three entries
+
+    accepted, sessions, open_ = [], [], {}
+    for n, k, h, big in sorted(rows, key=lambda r: (r[2], r[0])):
+        k = str(k)
+        if k in open_ and h < open_[k][1] + 12:
+            open_[k] = (open_[k][0], h, open_[k][2] + 1)
+            continue
+        accepted.append((n, k, h, big))
+        if k in open_:
+            sessions.append((k, *open_[k]))
+        open_[k] = (h, h, 1)
+    sessions += [(k, *x) for k, x in open_.items()]
+    got = t.read(out.schema).withColumn("hours", F.unix_micros("row.at") / us).collect()
+    assert sorted((r.row.n, str(r.row.story), r.hours, r.row.big) for r in got if r.kind == "accepted" and r.row.n < 3000) == sorted(accepted)
+    assert all(str(r.key) == str(r.row.story) for r in got if r.kind == "accepted")
+    assert sorted((str(r.key), r.session_start / us, r.session_end / us - 12, r.n) for r in got if r.kind == "session") == sorted(sessions)
+    assert len(sessions) > 1000
+
+
 @pytest.mark.parametrize("fails", [0, 3])
 def test_topic_gets_every_message_of_a_batch(spark, tmp_path, fails):
     df = spark.range(0, 250, 1, 2).select(F.col("id").cast("string").cast("binary").alias("value"))
