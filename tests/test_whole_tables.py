@@ -23,3 +23,8 @@ def test_quotes_around_trades_counts_every_quote(spark):
     for n, _ in pairs(spark, lambda at, quoted: at - timedelta(minutes=5) <= quoted < at):
         want[n] = want.get(n, 0) + 1
     assert {r.event_id: r.n_quotes for r in entry.queries()["quotes_around_trades"](spark, SF).collect()} == want
+
+
+def test_stream_trade_quotes_joins_every_quote(spark):
+    got = [(r.event_id, r.quote_id) for r in entry.queries()["stream_trade_quotes"](spark, SF).collect()]
+    assert sorted(got) == sorted(pairs(spark, lambda at, quoted: at - timedelta(minutes=1) <= quoted <= at))
