@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 
 import __spark_entry__ as entry
+from marlstone.plans import queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the tables aren't there")
@@ -28,3 +29,10 @@ def test_quotes_around_trades_counts_every_quote(spark):
 def test_stream_trade_quotes_joins_every_quote(spark):
     got = [(r.event_id, r.quote_id) for r in entry.queries()["stream_trade_quotes"](spark, SF).collect()]
     assert sorted(got) == sorted(pairs(spark, lambda at, quoted: at - timedelta(minutes=1) <= quoted <= at))
+
+
+def test_streamed_messages_are_parsed_before_they_are_put_in_order(spark, monkeypatch):
+    given, in_order = [], queries._in_order
+    monkeypatch.setattr(queries, "_in_order", lambda s, rows, *more: given.append(rows._jdf.queryExecution().optimizedPlan().toString()) or in_order(s, rows, *more))
+    assert entry.queries()["stream_trade_quotes"](spark, SF).count() > 0
+    assert len(given) == 2 and all(plan.startswith("Relation") for plan in given)  # a range partitioning runs its rows twice
